@@ -214,12 +214,12 @@ def boxes(columns: list[str], by: str = "") -> str:
       f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lower_fence, q3 + 1.5 * (q3 - q1) AS upper_fence FROM (
         SELECT {key}"column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
                quantile_cont(value, 0.75) AS q3 FROM long GROUP BY ALL)),
-      boxes AS (SELECT {own}f."column", round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
-          round(lower_fence, 4) AS lower_fence, round(upper_fence, 4) AS upper_fence,
-          CAST(count(*) AS BIGINT) AS count, round(min(value), 4) AS min, round(max(value), 4) AS max,
+      boxes AS (SELECT {own}f."column", round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+          round(lower_fence, 6) AS lower_fence, round(upper_fence, 6) AS upper_fence,
+          CAST(count(*) AS BIGINT) AS count, round(min(value), 6) AS min, round(max(value), 6) AS max,
           count(*) FILTER (value < lower_fence OR value > upper_fence) AS outliers,
-          round(min(value) FILTER (value >= lower_fence AND value <= upper_fence), 4) AS lower_whisker,
-          round(max(value) FILTER (value >= lower_fence AND value <= upper_fence), 4) AS upper_whisker
+          round(min(value) FILTER (value >= lower_fence AND value <= upper_fence), 6) AS lower_whisker,
+          round(max(value) FILTER (value >= lower_fence AND value <= upper_fence), 6) AS upper_whisker
         FROM long JOIN f ON {match} GROUP BY ALL)"""
 
 
@@ -426,7 +426,7 @@ ORACLES: dict[str, str] = {
     "group_by_band": q(group_stats("discount_band", MEASURES)),
     "pivot_count": q(band_pivot("nullif(count(product_id) FILTER ({w}), 0)", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
     "pivot_count_filled": q(band_pivot("count(product_id) FILTER ({w})", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
-    "pivot_mean": q(band_pivot("round(avg(rating) FILTER ({w}), 4)")),
+    "pivot_mean": q(band_pivot("round(avg(rating) FILTER ({w}), 6)")),
     "pivot_median": q(band_pivot("round(quantile_cont(discounted_price, 0.5) FILTER ({w}), 4)")),
     "pivot_cells_std": q("SELECT main_category, discount_band, round(stddev_samp(rating), 4) AS cell FROM cat GROUP BY ALL"),
     "kpis": q("SELECT count(*) AS products, " + ", ".join(
@@ -438,12 +438,12 @@ ORACLES: dict[str, str] = {
     "category_means": q(f', {long(MEASURES, "main_category")} SELECT main_category, "column", round(avg(value), 4) AS mean FROM long GROUP BY ALL'),
     "category_counts": q("SELECT main_category, count(*) AS count FROM cat GROUP BY 1"),
     "category_rollup": q(f"""SELECT {', '.join(LEVELS)}, CAST(GROUPING_ID({', '.join(LEVELS)}) AS BIGINT) AS grouping_bits, count(*) AS count,
-        round(avg(discounted_price), 4) AS avg_discounted_price FROM cat GROUP BY ROLLUP ({', '.join(LEVELS)})"""),
+        round(avg(discounted_price), 6) AS avg_discounted_price FROM cat GROUP BY ROLLUP ({', '.join(LEVELS)})"""),
     "compare_products": q(f', {long(MEASURES, "product_id")} SELECT product_id, "column", round(value, 4) AS value FROM long WHERE product_id IN (\'P1\', \'P20\', \'P300\')'),
     "rating_price_bands": q("""SELECT CAST(floor(rating) AS INT) AS rating_band, CASE WHEN discounted_price <= 1000 THEN 'low'
         WHEN discounted_price <= 10000 THEN 'middle' ELSE 'high' END AS discount_band, count(*) AS cell FROM cat GROUP BY ALL"""),
     "filter_catalog": q(f", {FILTERED} SELECT product_id, main_category, round(discounted_price, 4) AS discounted_price, round(discount_percentage, 4) AS discount_percentage FROM filtered"),
-    "filtered_pivot": q(f", {FILTERED} " + band_pivot("round(avg(discounted_price) FILTER ({w}), 4)", source="filtered")),
+    "filtered_pivot": q(f", {FILTERED} " + band_pivot("round(avg(discounted_price) FILTER ({w}), 6)", source="filtered")),
     "filter_bounds": q(f', {long(MEASURES)} SELECT "column", round(min(value), 4) AS low, round(max(value), 4) AS high FROM long GROUP BY 1'),
     "product_search": q("SELECT product_id, product_name, main_category FROM cat WHERE main_category = 'ECONOMY' AND regexp_matches(product_name, '^(red|blue) .*(ring|bolt)', 'i')"),
     "product_search_literal": q("SELECT product_id, product_name, main_category FROM cat WHERE main_category = 'ECONOMY' AND contains(lower(product_name), 'ring')"),

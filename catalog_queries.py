@@ -15,20 +15,27 @@ from shelfline.schema import ALL_MEASURES, BAND_LABELS, LEVELS, MEASURES, SEGMEN
 from shelfline.session import materialize
 from shelfline.sources.listings import LISTING_ORDER, read_listings
 
-_prepared: dict[tuple[str, str], DataFrame] = {}
+_prepared: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table that later stages start from, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _prepared:
+        _prepared[key] = materialize(build(), name)
+    return _prepared[key]
 
 
 def listings(spark: SparkSession, folder: str) -> DataFrame:
     return read_listings(spark, folder)
 
 
+def unique_products(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(spark, folder, "unique", lambda: deduplicate(listings(spark, folder), LISTING_ORDER))
+
+
 def products(spark: SparkSession, folder: str) -> DataFrame:
-    """Cleaned catalog, written once per session and folder, as all later stages start from it."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _prepared:
-        unique = materialize(deduplicate(read_listings(spark, folder), LISTING_ORDER), "unique")
-        _prepared[key] = materialize(finish_catalog(unique), "catalog")
-    return _prepared[key]
+    return _once(spark, folder, "catalog", lambda: finish_catalog(unique_products(spark, folder)))
 
 
 def banded(spark: SparkSession, folder: str) -> DataFrame:
@@ -54,8 +61,8 @@ def _scaled_example(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _fitted(spark: SparkSession, folder: str):
-    vectors = segments.scaled_vectors(products(spark, folder)).select(
-        "product_id", "main_category", "discounted_price", "features").cache()
+    vectors = materialize(segments.scaled_vectors(products(spark, folder)).select(
+        "product_id", "main_category", "discounted_price", "features"), "vectors").cache()
     return vectors, segments.train_kmeans(vectors, 3, restarts=20)
 
 
@@ -70,7 +77,7 @@ def _representatives(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sweep(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = segments.scaled_vectors(products(spark, folder)).select("features").cache()
+    vectors = materialize(segments.scaled_vectors(products(spark, folder)).select("features"), "vectors").cache()
     return segments.elbow_table(segments.sweep_k(vectors))
 
 
@@ -116,7 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "parse_listings": _on(listings, lambda df: cleaning.parse_measures(df).select("product_id", "listing_ord", *MEASURES)),
     "parse_clean": _on(listings, lambda df: deduplicate(df, LISTING_ORDER).select("product_id", "product_name", "listing_ord", *MEASURES)),
     "duplicate_removal": _on(listings, lambda df: cleaning.duplicate_removal(df, "product_id")),
-    "impute_median": _on(listings, lambda df: cleaning.impute_median(deduplicate(df, LISTING_ORDER)).select("product_id", *MEASURES)),
+    "impute_median": _on(unique_products, lambda df: cleaning.impute_median(df).select("product_id", *MEASURES)),
     "clean_catalog": _on(products, lambda df: df.select("product_id", "product_name", *MEASURES, *LEVELS, "category_depth", "price_savings", "is_premium", "listing_ord")),
     "category_levels": _on(listings, lambda df: features.add_category_levels(df).select("product_id", "listing_ord", *LEVELS, "category_depth")),
     "features": _on(products, lambda df: df.select("product_id", *ALL_MEASURES, "has_high_rating", "is_heavily_discounted", "is_budget", "is_premium")),
@@ -147,7 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corr_spearman": _on(products, lambda df: assoc.correlation(df, MEASURES, "spearman"), 6),
     "corr_kendall": _on(products, lambda df: assoc.correlation(df, MEASURES, "kendall"), 6),
     "corr_matrix": _on(products, lambda df: assoc.to_matrix(assoc.correlation(df, MEASURES), MEASURES), 6),
-    "corr_spearman_nulls": _on(listings, lambda df: assoc.correlation(deduplicate(df, LISTING_ORDER), ["rating", "rating_count", "actual_price"], "spearman"), 6),
+    "corr_spearman_nulls": _on(unique_products, lambda df: assoc.correlation(df, ["rating", "rating_count", "actual_price"], "spearman"), 6),
     "cov_matrix": _on(products, assoc.covariance, 0),
     "corr_target": _on(products, lambda df: assoc.target_correlation(df, "rating", MEASURES), 6),
     "corr_target_signed": _on(products, lambda df: assoc.target_correlation(df, "rating", signed=True), 6),
@@ -157,7 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "group_by_band": _on(banded, lambda df: grouping.group_statistics(df, "discount_band")),
     "pivot_count": _on(banded, lambda df: grouping.band_pivot(df.where("not (main_category = 'PROMO' and discount_band = '0-10%')"), "product_id", "count")),
     "pivot_count_filled": _on(banded, lambda df: grouping.band_pivot(df.where("not (main_category = 'PROMO' and discount_band = '0-10%')"), "product_id", "count", 0)),
-    "pivot_mean": _on(banded, lambda df: grouping.band_pivot(df, "rating", "mean")),
+    "pivot_mean": _on(banded, lambda df: grouping.band_pivot(df, "rating", "mean"), 6),
     "pivot_median": _on(banded, lambda df: grouping.band_pivot(df, "discounted_price", "median")),
     "pivot_cells_std": _on(banded, lambda df: grouping.pivot_cells(df, "main_category", "discount_band", "rating", "std")),
     "kpis": _on(clustered, grouping.kpis),
@@ -165,7 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_metric": _on(products, lambda df: grouping.category_metric(df, "mean_discount_percentage")),
     "category_means": _on(products, grouping.category_means),
     "category_counts": _on(products, grouping.category_counts_ascending),
-    "category_rollup": _on(products, lambda df: grouping.category_rollup(df, LEVELS)),
+    "category_rollup": _on(products, lambda df: grouping.category_rollup(df, LEVELS), 6),
     "compare_products": _on(products, lambda df: grouping.compare_products(df, ["P1", "P20", "P300"])),
     "rating_price_bands": _on(products, lambda df: grouping.pivot_cells(
         features.add_discount_band(df.withColumn("rating_band", F.floor("rating").cast("int")), "discounted_price", 0.0,
@@ -173,7 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "rating_band", "discount_band", "product_id", "count")),
     # Filters and look-ups
     "filter_catalog": _on(_filtered, lambda df: df.select("product_id", "main_category", "discounted_price", "discount_percentage")),
-    "filtered_pivot": _on(_filtered, lambda df: grouping.band_pivot(df, "discounted_price", "mean")),
+    "filtered_pivot": _on(_filtered, lambda df: grouping.band_pivot(df, "discounted_price", "mean"), 6),
     "filter_bounds": _on(products, lambda df: filters.filter_bounds(df, MEASURES)),
     "product_search": _search_term(False),
     "product_search_literal": _search_term(True),
@@ -185,11 +192,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "histogram": _on(products, charts.histogram, 8),
     "distribution_markers": _on(products, charts.distribution_markers),
     "kde": _on(products, lambda df: charts.kde(df, ["discounted_price", "rating"]), 8),
-    "box_stats": _on(products, charts.box_stats),
-    "box_by_category": _on(products, lambda df: charts.box_stats(df, MEASURES, ["main_category"])),
+    "box_stats": _on(products, charts.box_stats, 6),
+    "box_by_category": _on(products, lambda df: charts.box_stats(df, MEASURES, ["main_category"]), 6),
     "outlier_values": _on(products, lambda df: charts.outliers(df, ["discounted_price", "price_savings"], ["main_category"])),
     "violin_density": _on(products, lambda df: charts.violin(df)["density"], 6),
-    "violin_box": _on(products, lambda df: charts.violin(df)["box"]),
+    "violin_box": _on(products, lambda df: charts.violin(df)["box"], 6),
     "ecdf": _on(products, lambda df: charts.ecdf(df, "discount_percentage")),
     "ecdf_price": _on(products, lambda df: charts.ecdf(df, "discounted_price")),
     "ecdf_markers": _on(products, charts.ecdf_markers),

@@ -39,6 +39,14 @@ def present(df: DataFrame, places: int = 4) -> DataFrame:
     ])
 
 
+def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
+    """Add the single value of a one-row table to every row, as one scalar subquery.
+
+    Referring to the new column, rather than to the subquery, keeps the plan to a single copy of it.
+    """
+    return df.withColumn(name, one_row.scalar())
+
+
 def share_pct(part: Column, whole: Column) -> Column:
     """Share rounded to 4 places and then scaled to percent, the order reports use."""
     return F.bround(part / whole, 4) * 100.0

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import two_sided_p
-from shelfline.functions.numeric import no_nan
+from shelfline.functions.numeric import no_nan, with_scalar
 from shelfline.operators.distribution import cumulative, long_values, quantiles, value_counts
 from shelfline.schema import MEASURES
 
@@ -17,8 +17,8 @@ from shelfline.schema import MEASURES
 KERNEL_REACH = 39.0
 
 
-def _range_struct(df: DataFrame, columns: list[str]) -> Column:
-    """Lowest and highest value of every column as one scalar struct."""
+def _ranges(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: the lowest and highest value of every column as one struct."""
     def span(c: str) -> Column:
         v = no_nan(F.col(c).cast("double"))
         low, high = F.min(v), F.max(v)
@@ -26,29 +26,28 @@ def _range_struct(df: DataFrame, columns: list[str]) -> Column:
         # A constant column gets a unit range around its value.
         return F.struct(F.when(flat, low - 0.5).otherwise(low).alias("low"),
                         F.when(flat, high + 0.5).otherwise(high).alias("high")).alias(c)
-    return df.agg(F.struct(*[span(c) for c in columns]).alias("ranges")).scalar()
+    return df.agg(F.struct(*[span(c) for c in columns]).alias("ranges"))
 
 
-def _bin(value: Column, span: Column, bins: int) -> Column:
-    """Equal-width bin of a value; the last bin includes the upper end."""
-    low, high = span.getField("low"), span.getField("high")
+def _bin(column: str, bins: int) -> Column:
+    """Equal-width bin of a value within `_ranges`; the last bin includes the upper end."""
+    value = no_nan(F.col(column).cast("double"))
+    low, high = F.col(f"_ranges.{column}.low"), F.col(f"_ranges.{column}.high")
     return F.least(F.floor((value - low) / (high - low) * bins), F.lit(bins - 1)).cast("int")
 
 
 def histogram(df: DataFrame, columns: list[str] = MEASURES, bins: int = 50,
               by: list[str] = ()) -> DataFrame:
     """(by..., column, bin, low, high, count, density) with every bin of every column present."""
-    ranges = _range_struct(df, columns)
+    ranges = _ranges(df, columns)
     binned = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"),
-                 _bin(no_nan(F.col(c).cast("double")), ranges.getField(c), bins).alias("bin"))
-        for c in columns]))
-    counts = (df.select(*by, binned).where("bin is not null")
+        F.struct(F.lit(c).alias("column"), _bin(c, bins).alias("bin")) for c in columns]))
+    counts = (with_scalar(df.select(*dict.fromkeys([*by, *columns])), ranges, "_ranges").select(*by, binned).where("bin is not null")
               .groupBy(*by, "column", "bin").agg(F.count(F.lit(1)).alias("count")))
     edges = F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), ranges.getField(c).getField("low").alias("start"),
-                 ranges.getField(c).getField("high").alias("stop")) for c in columns]))
-    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).select("bin", edges)
+        F.struct(F.lit(c).alias("column"), F.col(f"ranges.{c}.low").alias("start"),
+                 F.col(f"ranges.{c}.high").alias("stop")) for c in columns]))
+    frame = ranges.select(edges).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     if by:
         # Only groups that have values are framed; each brings `bins` rows per column.
         groups = counts.groupBy(*by, "column").agg(F.sum("count").alias("total"))
@@ -163,15 +162,11 @@ def scatter_bins(df: DataFrame, pairs: list[tuple[str, str]], bins: int = 50,
                  by: list[str] = ()) -> DataFrame:
     """(by..., x, y, x_bin, y_bin, count): two-dimensional bins, bounded at any table size."""
     columns = sorted({c for pair in pairs for c in pair})
-    ranges = _range_struct(df, columns)
-
-    def axis(c: str) -> Column:
-        return _bin(no_nan(F.col(c).cast("double")), ranges.getField(c), bins)
-
     cells = F.inline(F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), axis(a).alias("x_bin"), axis(b).alias("y_bin"))
+        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), _bin(a, bins).alias("x_bin"), _bin(b, bins).alias("y_bin"))
         for a, b in pairs]))
-    return (df.select(*by, cells).where("x_bin is not null and y_bin is not null")
+    binned = with_scalar(df.select(*dict.fromkeys([*by, *columns])), _ranges(df, columns), "_ranges")
+    return (binned.select(*by, cells).where("x_bin is not null and y_bin is not null")
             .groupBy(*by, "x", "y", "x_bin", "y_bin").agg(F.count(F.lit(1)).alias("count")))
 
 

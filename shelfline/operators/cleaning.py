@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import parsing
+from shelfline.functions.numeric import with_scalar
 from shelfline.operators.distribution import quantile_row
 from shelfline.schema import MEASURES
 
@@ -57,5 +58,5 @@ def duplicate_removal(df: DataFrame, key: str, columns: list[str] | None = None)
 
 def impute_median(df: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
     """Fill nulls by the exact interpolated median of each column."""
-    medians = quantile_row(df, columns, [0.5]).scalar()
-    return df.withColumns({c: F.coalesce(c, medians.getField(c).getItem(0)) for c in columns})
+    out = with_scalar(df, quantile_row(df, columns, [0.5]), "_medians")
+    return out.withColumns({c: F.coalesce(c, F.col(f"_medians.{c}")[0]) for c in columns}).drop("_medians")

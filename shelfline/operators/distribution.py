@@ -41,7 +41,9 @@ def value_counts(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataF
 
 def value_cell(value: Column) -> Column:
     """Cell number of a value, never decreasing in it."""
-    magnitude = F.floor(F.ln(F.abs(value)) * CELLS_PER_LN) + CELL_OFFSET
+    # Infinities share a cell beyond the largest finite double.
+    position = F.least(F.ln(F.abs(value)) * CELLS_PER_LN, F.lit(float(CELL_OFFSET)))
+    magnitude = F.floor(position) + CELL_OFFSET
     cell = F.when(value > 0, magnitude).when(value < 0, -magnitude)
     # Never null, so join keys need no null filter and equal inputs keep equal plans.
     return F.coalesce(cell, F.lit(0).cast("long"))

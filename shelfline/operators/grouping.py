@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.numeric import with_scalar
 from shelfline.operators.distribution import grouped_quantiles, long_values, quantile_row
 from shelfline.schema import BAND_LABELS, MEASURES
 
@@ -76,12 +77,12 @@ def band_pivot(df: DataFrame, values: str, aggfunc: str = "mean", fill: float |
 
 def kpis(df: DataFrame, columns: list[str] = ("discounted_price", "discount_percentage", "rating")) -> DataFrame:
     """One row: products, mean and median of the headline measures, distinct categories, clusters."""
-    medians = quantile_row(df, list(columns), [0.5]).scalar()
     extra = [F.count_distinct("cluster").alias("clusters")] if "cluster" in df.columns else []
     row = df.agg(F.count(F.lit(1)).alias("products"),
                  *[F.avg(c).alias(f"mean_{c}") for c in columns],
                  F.count_distinct("main_category").alias("categories"), *extra)
-    return row.withColumns({f"median_{c}": medians.getField(c)[0] for c in columns})
+    row = with_scalar(row, quantile_row(df, list(columns), [0.5]), "_medians")
+    return row.withColumns({f"median_{c}": F.col(f"_medians.{c}")[0] for c in columns}).drop("_medians")
 
 
 def category_overview(df: DataFrame, key: str = "main_category") -> DataFrame:

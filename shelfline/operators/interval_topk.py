@@ -67,9 +67,9 @@ def best_per_key(candidates: DataFrame, keys: list[str], order: Order, k: int) -
 
 def _cell(price: Column) -> Column:
     """Cell number 0 .. 2^14 - 1 of a price, never decreasing in it."""
-    cell = F.floor(F.ln(price) * CELLS_PER_LN) - LOWEST_LN * CELLS_PER_LN
-    inside = F.least(F.greatest(cell, F.lit(0)), F.lit(2 ** CELL_LEVELS - 1))
-    return F.coalesce(F.when(price > 0, inside), F.lit(0).cast("long"))
+    position = (F.ln(price) - LOWEST_LN) * CELLS_PER_LN
+    inside = F.least(F.greatest(position, F.lit(0.0)), F.lit(2.0 ** CELL_LEVELS - 1))
+    return F.coalesce(F.when(price > 0, F.floor(inside)), F.lit(0).cast("long"))
 
 
 def _levels(positions: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.numeric import with_scalar
 from shelfline.operators.filters import filter_preferences
 from shelfline.operators.interval_topk import Order, best_per_key, interval_topk
 from shelfline.schema import STRATEGIES, RankingWeights, RecommendParams
@@ -180,10 +181,11 @@ def by_preferences(products: DataFrame, category: str | None = None, max_price:
     parts = {"rating": F.col("rating"), "reviews": reviews, "discount": F.col("discount_percentage")}
     ranges = pool.agg(F.struct(*[
         F.struct(F.min(e).alias("low"), F.max(e).alias("high")).alias(c) for c, e in parts.items()
-    ]).alias("ranges")).scalar()
+    ]).alias("ranges"))
+    pool = with_scalar(pool, ranges, "_ranges")
 
     def scaled(name: str) -> Column:
-        low, high = ranges.getField(name).getField("low"), ranges.getField(name).getField("high")
+        low, high = F.col(f"_ranges.{name}.low"), F.col(f"_ranges.{name}.high")
         return (parts[name] - low) / (high - low + 1e-6)
 
     boost = F.lit(0.0)

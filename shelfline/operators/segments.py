@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.numeric import min_max_scaled, share_pct
+from shelfline.functions.numeric import min_max_scaled, share_pct, with_scalar
 from shelfline.operators.cleaning import impute_median
 from shelfline.operators.features import add_discount_band
 from shelfline.operators.grouping import group_statistics, require_columns
@@ -34,13 +34,14 @@ def zscore(df: DataFrame, features: list[str] = SEGMENT_FEATURES, suffix: str =
     """Add features scaled by mean and population deviation; a constant feature becomes 0."""
     stats = df.agg(F.struct(*[
         F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(c) for c in features
-    ]).alias("stats")).scalar()
+    ]).alias("stats"))
 
     def scaled(c: str) -> Column:
-        mean, std = stats.getField(c).getField("mean"), stats.getField(c).getField("std")
+        mean, std = F.col(f"_stats.{c}.mean"), F.col(f"_stats.{c}.std")
         return F.when(std > 0, (F.col(c) - mean) / std).when(F.col(c).isNotNull(), 0.0)
 
-    return df.withColumns({c + suffix: scaled(c) for c in features})
+    return (with_scalar(df, stats, "_stats").withColumns({c + suffix: scaled(c) for c in features})
+            .drop("_stats"))
 
 
 def scaled_vectors(df: DataFrame, features: list[str] = SEGMENT_FEATURES) -> DataFrame:
@@ -116,9 +117,9 @@ def silhouette_squared(df: DataFrame, columns: list[str], cluster: str = "cluste
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s_{c}") for c in columns],
         F.sum(sum((F.col(c) * F.col(c) for c in columns), F.lit(0.0))).alias("sq"))
     # One row per cluster.
-    packed = sums.agg(F.collect_list(F.struct("*")).alias("clusters")).scalar()
+    packed = sums.agg(F.collect_list(F.struct("*")).alias("clusters"))
     norm = sum((F.col(c) * F.col(c) for c in columns), F.lit(0.0))
-    rows = df.select(F.col(cluster).alias("own"), *columns, norm.alias("norm")).withColumn("clusters", packed)
+    rows = with_scalar(df.select(F.col(cluster).alias("own"), *columns, norm.alias("norm")), packed, "clusters")
 
     def distance_sum(s: Column) -> Column:
         """Sum of squared distances from this row to all rows of a cluster."""
@@ -251,18 +252,18 @@ def cluster_statistics(df: DataFrame, columns: list[str] = DASHBOARD_MEASURES) -
 
 def cluster_sizes(df: DataFrame) -> DataFrame:
     sizes = df.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return sizes.withColumn("percentage", F.col("size") / total * 100.0)
+    sizes = with_scalar(sizes, df.agg(F.count(F.lit(1)).alias("n")), "_total")
+    return sizes.withColumn("percentage", F.col("size") / F.col("_total") * 100.0).drop("_total")
 
 
 def _cluster_means(df: DataFrame, features: list[str]) -> DataFrame:
     """One row per cluster: size, share, its means and the overall means as `all_<feature>`."""
-    overall = df.agg(F.struct(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features]).alias("o")).scalar()
+    overall = df.agg(F.struct(F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in features]).alias("o"))
     means = df.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(
         F.count(F.lit(1)).alias("size"), *[F.avg(f).alias(f"mean_{f}") for f in features])
-    return means.withColumns({
-        "percentage": F.col("size") / overall.getField("n") * 100.0,
-        **{f"all_{f}": overall.getField(f) for f in features}})
+    return with_scalar(means, overall, "_all").withColumns({
+        "percentage": F.col("size") / F.col("_all.n") * 100.0,
+        **{f"all_{f}": F.col(f"_all.{f}") for f in features}}).drop("_all")
 
 
 def _relative(feature: str) -> Column:
@@ -306,10 +307,11 @@ def interpret_clusters(df: DataFrame, features: list[str] = SEGMENT_FEATURES,
 def cluster_profiles(df: DataFrame, features: list[str] = PROFILE_FEATURES) -> DataFrame:
     """Mean of each feature per cluster after scaling it to 0..1 over all rows."""
     ranges = df.agg(F.struct(*[
-        F.struct(F.min(f).alias("low"), F.max(f).alias("high")).alias(f) for f in features]).alias("r")).scalar()
-    norms = {f"{f}_norm": min_max_scaled(F.col(f), ranges.getField(f).getField("low"),
-                                         ranges.getField(f).getField("high")) for f in features}
-    return (df.where(F.col("cluster").isNotNull()).select("cluster", *[e.alias(n) for n, e in norms.items()])
+        F.struct(F.min(f).alias("low"), F.max(f).alias("high")).alias(f) for f in features]).alias("r"))
+    norms = {f"{f}_norm": min_max_scaled(F.col(f), F.col(f"_ranges.{f}.low"), F.col(f"_ranges.{f}.high"))
+             for f in features}
+    known = with_scalar(df.where(F.col("cluster").isNotNull()), ranges, "_ranges")
+    return (known.select("cluster", *[e.alias(n) for n, e in norms.items()])
             .groupBy("cluster").agg(*[F.avg(n).alias(n) for n in norms]))
 
 
@@ -320,7 +322,8 @@ def composition(df: DataFrame, by: str = "main_category", values: list[str] | No
     clusters = counts.select("cluster").distinct()
     if values is None:
         # Each cluster row carries the list of the few distinct labels, so no join forms the grid.
-        labels = counts.agg(F.sort_array(F.collect_set(by)).alias("v")).scalar()
+        labels = F.col("_labels")
+        clusters = with_scalar(clusters, counts.agg(F.sort_array(F.collect_set(by)).alias("v")), "_labels")
     else:
         labels = F.array(*[F.lit(v) for v in values])
     grid = clusters.select("cluster", F.explode(labels).alias(by))
@@ -350,11 +353,11 @@ def cluster_summary(df: DataFrame, names: dict[int, str] = SEGMENT_NAMES) -> Dat
     name = F.concat(F.lit("Cluster "), F.col("cluster").cast("string"))
     for cluster, text in names.items():
         name = F.when(F.col("cluster") == cluster, text).otherwise(name)
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    means = with_scalar(means, df.agg(F.count(F.lit(1)).alias("n")), "_total")
     return means.join(stats, "cluster").select(
         "cluster", name.alias("name"), "count", F.col("discounted_price_mean").alias("avg_price"),
         F.col("discounted_price_median").alias("median_price"), "avg_discount", "avg_rating", "avg_reviews",
-        (F.col("count") / total * 100.0).alias("percentage"))
+        (F.col("count") / F.col("_total") * 100.0).alias("percentage"))
 
 
 def tier(label: Column) -> Column:
