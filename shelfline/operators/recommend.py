@@ -147,9 +147,39 @@ def combined(recommendations: DataFrame, strategies: list[str] = STRATEGIES) ->
 
 def recommend_for(products: DataFrame, product_id: str, n: int = 5,
                   p: RecommendParams = RecommendParams()) -> DataFrame:
-    """All strategies for one product; no rows for an unknown id."""
-    target = products.where(F.col("product_id") == product_id).select("product_id")
-    return recommend_all(products, n, target, p)
+    """All strategies for one product, each as one filtered top-n scan; no rows for an unknown id."""
+    fields = ["product_id", "cluster", "main_category", "discounted_price", "rating"]
+    one = products.where(F.col("product_id") == product_id).agg(F.first(F.struct(*fields)).alias("t"))
+    others = with_scalar(products.where(F.col("product_id") != product_id), one, "t")
+    price, target = F.col("discounted_price"), F.col("t.discounted_price")
+    same_category = F.col("main_category") == F.col("t.main_category")
+    rules = {
+        "cluster_based": (F.col("cluster") == F.col("t.cluster"), BY_RATING_AND_REVIEWS),
+        "category_better_rated": (
+            same_category & (F.col("rating") >= F.col("t.rating") + p.better_rating_by)
+            & price.between(target * p.better_price_low, target * p.better_price_high), BY_RATING_AND_REVIEWS),
+        "budget_alternative": (
+            same_category & (F.col("rating") >= p.budget_min_rating) & (price <= target * p.budget_ratio), BY_VALUE),
+        "premium_upgrade": (
+            same_category & (F.col("rating") >= p.premium_min_rating) & (price >= target * p.premium_ratio),
+            BY_RATING_THEN_CHEAP),
+        "price_range": (price.between(target * (1 - p.price_tolerance), target * (1 + p.price_tolerance)), BY_RATING),
+    }
+    # At most n rows per strategy are left to number.
+    rank = F.row_number().over(Window.orderBy("sort"))
+    parts = []
+    for strategy in STRATEGIES:
+        condition, order = rules[strategy]
+        scored = others.where(condition).withColumn("value_score", F.try_divide(F.col("rating"), price + 1))
+        best = scored.select(
+            F.lit(product_id).alias("product_id"), F.col("product_id").alias("recommended_product_id"),
+            F.lit(strategy).alias("strategy"), price.alias("recommended_price"),
+            F.col("rating").alias("recommended_rating"), F.col("main_category").alias("recommended_category"),
+            order.struct().alias("sort")).orderBy(*order.fields()).limit(n)
+        parts.append(best.withColumn("rank", rank).drop("sort"))
+    return reduce(DataFrame.unionByName, parts).select(
+        "product_id", "recommended_product_id", "strategy", "rank", "recommended_price",
+        "recommended_rating", "recommended_category")
 
 
 def _positive(value) -> bool:

@@ -80,14 +80,14 @@ def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, pa
 
 
 def train_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 20, max_iter: int = 300,
-                 parallelism: int = 4) -> Fit:
+                 parallelism: int = 8) -> Fit:
     """Best of several seeded starts by training cost. `vectors` should be cached or written."""
     fits = _fit_many(vectors, [(k, seed + i) for i in range(restarts)], max_iter, parallelism)
     return min(fits, key=lambda f: (f.cost, f.seed))
 
 
 def sweep_k(vectors: DataFrame, ks=range(2, 11), seed: int = 42, restarts: int = 10, max_iter: int = 300,
-            metric: str = "squared_euclidean", parallelism: int = 4) -> DataFrame:
+            metric: str = "squared_euclidean", parallelism: int = 8) -> DataFrame:
     """(k, inertia, silhouette) for every k.
 
     `squared_euclidean` is linear in the rows at any size. `euclidean` is the plain silhouette, exact

@@ -21,7 +21,7 @@ class Segmentation:
 
 def segment_catalog(df: DataFrame, features: list[str] = SEGMENT_FEATURES, ks=range(2, 11), seed: int = 42,
                     sweep_restarts: int = 10, restarts: int = 20, metric: str = "squared_euclidean",
-                    k: int | None = None, parallelism: int = 4) -> Segmentation:
+                    k: int | None = None, parallelism: int = 8) -> Segmentation:
     """Scale, sweep K, choose it, train, assign canonical clusters and analyse them.
 
     The scaled vectors are written once; every iteration of every fit reads them.
