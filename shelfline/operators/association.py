@@ -21,6 +21,12 @@ KENDALL_MIN_CELL = 4096
 Pair = tuple[str, str]
 
 
+def pearson(x: Column, y: Column) -> Column:
+    """Pearson r over the rows where both are known; null, not an error, for a constant side."""
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def _pairwise(df: DataFrame, pairs: list[Pair], measure) -> DataFrame:
     """One global aggregate with one expression per pair, turned into rows."""
     row = df.agg(F.array(*[
@@ -78,7 +84,7 @@ def _ranked_pairs(cells: DataFrame) -> DataFrame:
 
 
 def _pearson_pairs(df: DataFrame, pairs: list[Pair]) -> DataFrame:
-    return _pairwise(df, pairs, F.corr)
+    return _pairwise(df, pairs, pearson)
 
 
 def _spearman_pairs(df: DataFrame, pairs: list[Pair]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import two_sided_p
 from shelfline.functions.numeric import no_nan, with_scalar
+from shelfline.operators.association import pearson
 from shelfline.operators.distribution import cumulative, long_values, quantiles, value_counts
 from shelfline.schema import MEASURES
 
@@ -173,7 +174,7 @@ def scatter_bins(df: DataFrame, pairs: list[tuple[str, str]], bins: int = 50,
 def scatter_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row: r, complete pairs, t statistic and two-sided p-value."""
     xs, ys = F.col(x).cast("double"), F.col(y).cast("double")
-    row = df.agg(no_nan(F.corr(xs, ys)).alias("r"),
+    row = df.agg(no_nan(pearson(xs, ys)).alias("r"),
                  F.count_if(xs.isNotNull() & ys.isNotNull()).alias("n"))
     row = row.withColumn("r", F.when(F.col("n") > 2, F.col("r")))
     t = F.try_divide(F.col("r") * F.sqrt(F.col("n") - 2), F.sqrt(1 - F.col("r") * F.col("r")))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import parsing
 from shelfline.functions.numeric import with_scalar
 from shelfline.operators.distribution import quantile_row
+from shelfline.operators.quality import row_versions
 from shelfline.schema import MEASURES
 
 PARSERS = {
@@ -45,9 +46,7 @@ def with_file_order(df: DataFrame, name: str = "file_order") -> DataFrame:
 
 def duplicate_removal(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
     """One row: rows before, exact copies removed, repeated keys removed, rows after."""
-    columns = columns or df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    per_key = copies.groupBy(key).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("versions"))
+    per_key = row_versions(df, key, columns).groupBy(key).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("versions"))
     return per_key.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("original_rows"),
         F.coalesce(F.sum(F.col("rows") - F.col("versions")), F.lit(0)).alias("removed_exact"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfline.functions.numeric import with_scalar
 from shelfline.schema import ALL_MEASURES, DERIVED_MEASURES, FLAGS, MEASURES
 
 
@@ -45,13 +46,26 @@ def inspect(df: DataFrame, order: list[str] | None = None, head: int = 3, tail:
     return out
 
 
+def row_versions(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
+    """(key, n): one row per distinct row of `df`, with how often it occurs.
+
+    Rows are counted by a 64-bit fingerprint first. A fingerprint seen once is a row seen once, so
+    only rows that share one are compared in full, and wide text is not shuffled for the others.
+    """
+    columns = columns or df.columns
+    printed = df.select(*columns, F.xxhash64(*columns).alias("_print"))
+    prints = printed.groupBy("_print").agg(F.count(F.lit(1)).alias("n"), F.first(key).alias(key))
+    shared = printed.join(prints.where("n > 1").select("_print"), "_print", "left_semi")
+    exact = shared.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    return prints.where("n = 1").select(key, "n").unionByName(exact.select(key, "n"))
+
+
 def duplicate_profile(df: DataFrame, key: str = "product_id", columns: list[str] | None = None) -> DataFrame:
     """Exact copies and repeated ids in one row.
 
     Rows are counted per distinct row first and those counts per id, so no id gathers its raw rows.
     """
-    columns = columns or df.columns
-    copies = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    copies = row_versions(df, key, columns)
     per_id = copies.groupBy(key).agg(
         F.sum("n").alias("rows"),
         F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("copied"),
@@ -77,18 +91,16 @@ def id_count_distribution(df: DataFrame, key: str = "product_id") -> DataFrame:
 
 def quality_summary(df: DataFrame, key: str = "product_id", measures: list[str] = MEASURES) -> DataFrame:
     """Final verification row: shape, residual nulls, extra copies, extra rows per id."""
-    nulls = sum((F.col(c).isNull().cast("long") for c in measures), F.lit(0).cast("long"))
-    copies = df.withColumn("_nulls", nulls).groupBy(*df.columns).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_nulls").alias("_nulls"))
-    per_id = copies.groupBy(key).agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("versions"),
-                                     F.sum("_nulls").alias("_nulls"))
+    nulls = df.agg(sum((F.count_if(F.col(c).isNull()) for c in measures), F.lit(0)).alias("n"))
+    per_id = row_versions(df, key).groupBy(key).agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("versions"))
     zero = F.lit(0)
-    return per_id.agg(
+    counts = per_id.agg(
         F.coalesce(F.sum("rows"), zero).alias("rows"),
         F.lit(len(df.columns)).alias("columns"),
-        F.coalesce(F.sum("_nulls"), zero).alias("residual_missing"),
         F.coalesce(F.sum(F.col("rows") - F.col("versions")), zero).alias("exact_duplicates"),
         F.coalesce(F.sum(F.col("rows") - 1), zero).alias("id_duplicates"))
+    return with_scalar(counts, nulls, "residual_missing")
 
 
 def category_counts(df: DataFrame, column: str = "main_category") -> DataFrame:
