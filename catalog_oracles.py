@@ -95,16 +95,16 @@ def long(columns: list[str], by: str = "", source: str = "cat") -> str:
     return "long AS (" + " UNION ALL ".join(parts) + ")"
 
 
-def rounds(names: list[str], places: int = 4) -> str:
+def rounds(names: list[str], places: int = 6) -> str:
     return ", ".join(f"round({n}, {places}) AS {n}" for n in names)
 
 
-MEAN_MEDIAN_MODE = """round(avg(value), 4) AS "Mean", round(quantile_cont(value, 0.5), 4) AS "Median",
-  round((SELECT value FROM long m WHERE m."column" = long."column" GROUP BY value ORDER BY count(*) DESC, value LIMIT 1), 4) AS "Mode\""""
-SPREAD = """round(min(value), 4) AS "Minimum", round(max(value), 4) AS "Maximum", round(max(value) - min(value), 4) AS "Range",
-  round(var_samp(value), 0) AS "Variance", round(stddev_samp(value), 4) AS "Std_Deviation\""""
-SHAPE = 'round(skewness(value), 4) AS "Skewness", round(kurtosis(value), 4) AS "Kurtosis"'
-PERCENTILES = ", ".join(f'round(quantile_cont(value, {p / 100}), 4) AS "P{p}"' for p in (10, 25, 50, 75, 90, 95, 99))
+MEAN_MEDIAN_MODE = """round(avg(value), 6) AS "Mean", round(quantile_cont(value, 0.5), 6) AS "Median",
+  round((SELECT value FROM long m WHERE m."column" = long."column" GROUP BY value ORDER BY count(*) DESC, value LIMIT 1), 6) AS "Mode\""""
+SPREAD = """round(min(value), 6) AS "Minimum", round(max(value), 6) AS "Maximum", round(max(value) - min(value), 6) AS "Range",
+  round(var_samp(value), 0) AS "Variance", round(stddev_samp(value), 6) AS "Std_Deviation\""""
+SHAPE = 'round(skewness(value), 6) AS "Skewness", round(kurtosis(value), 6) AS "Kurtosis"'
+PERCENTILES = ", ".join(f'round(quantile_cont(value, {p / 100}), 6) AS "P{p}"' for p in (10, 25, 50, 75, 90, 95, 99))
 
 
 def label(c: str, near: str, above: str, below: str) -> str:
@@ -154,7 +154,7 @@ def kendall(columns: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def group_stats(key: str, columns: list[str], places: int = 4) -> str:
+def group_stats(key: str, columns: list[str], places: int = 6) -> str:
     cells = ", ".join(
         f"round(avg({c}), {places}) AS {c}_mean, round(quantile_cont({c}, 0.5), {places}) AS {c}_median, "
         f"round(stddev_samp({c}), {places}) AS {c}_std, count({c}) AS {c}_count, "
@@ -239,8 +239,8 @@ def bins2d(pairs: list[tuple[str, str]], bins: int, by: str = "") -> str:
 
 
 def ecdf(column: str) -> str:
-    return q(f"""SELECT round(value, 4) AS value, n, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS cumulative_n,
-      round(sum(n) OVER (ORDER BY value) * 100.0 / sum(n) OVER (), 4) AS cumulative_pct
+    return q(f"""SELECT round(value, 6) AS value, n, CAST(sum(n) OVER (ORDER BY value) AS BIGINT) AS cumulative_n,
+      round(sum(n) OVER (ORDER BY value) * 100.0 / sum(n) OVER (), 6) AS cumulative_pct
       FROM (SELECT {column} AS value, count(*) AS n FROM cat GROUP BY 1)""")
 
 
@@ -293,7 +293,7 @@ def composition(by: str) -> str:
 
 def composition_query(by: str) -> str:
     return f"""WITH {PRODUCTS.strip()}, {composition(by)}
-      SELECT cluster, {by}, count, round(pct_in_cluster, 4) AS pct_in_cluster, round(pct_in_{by}, 4) AS pct_in_{by} FROM comp_{by}"""
+      SELECT cluster, {by}, count, round(pct_in_cluster, 6) AS pct_in_cluster, round(pct_in_{by}, 6) AS pct_in_{by} FROM comp_{by}"""
 
 
 def listed(by: str) -> str:
@@ -349,7 +349,7 @@ def preferences(where: str, boost: bool) -> str:
         return f"(({e}) - min({e}) OVER ()) / (max({e}) OVER () - min({e}) OVER () + 1e-6)"
     add = "CASE cluster WHEN 0 THEN 0.1 WHEN 1 THEN 0.05 ELSE 0.0 END" if boost else "0.0"
     return q(f"""SELECT product_id, product_name, main_category, {rounds(['actual_price', 'discounted_price',
-        'discount_percentage', 'rating', 'rating_count'])}, cluster, round(score, 4) AS composite_score,
+        'discount_percentage', 'rating', 'rating_count'])}, cluster, round(score, 6) AS composite_score,
         CAST(row_number() OVER (ORDER BY score DESC, product_id) AS INT) AS rank FROM (
         SELECT *, 0.4 * {mm('rating')} + 0.3 * {mm('ln(1 + rating_count)')} + 0.2 * {mm('discount_percentage')} + 0.1 * ({add}) AS score
         FROM cat WHERE {where}) QUALIFY rank <= 10""")
@@ -367,14 +367,14 @@ ORACLES: dict[str, str] = {
         count(DISTINCT product_id) AS final_rows FROM raw""", RAW),
     "impute_median": q(f"SELECT product_id, {rounds(MEASURES)} FROM imputed"),
     "clean_catalog": q(f"SELECT product_id, product_name, {rounds(MEASURES)}, {', '.join(LEVELS)}, category_depth, "
-                       "round(price_savings, 4) AS price_savings, is_premium, listing_ord FROM products"),
+                       "round(price_savings, 6) AS price_savings, is_premium, listing_ord FROM products"),
     "category_levels": q(f"SELECT product_id, listing_ord, {LEVEL_COLUMNS} FROM raw", RAW),
     "features": q(f"""SELECT product_id, {rounds(MEASURES)}, {rounds([c for c in DERIVED if c not in ('category_depth', 'review_count_parsed')])},
         category_depth, review_count_parsed, {', '.join(FLAGS)} FROM products"""),
-    "review_lists": q(f"""SELECT * REPLACE (round(avg_review_length, 4) AS avg_review_length) FROM (
-        SELECT product_id, listing_ord, {review_columns()}, round(discounted_price / nullif(actual_price, 0), 4) AS price_ratio
+    "review_lists": q(f"""SELECT * REPLACE (round(avg_review_length, 6) AS avg_review_length) FROM (
+        SELECT product_id, listing_ord, {review_columns()}, round(discounted_price / nullif(actual_price, 0), 6) AS price_ratio
         FROM parsed)""", PARSED),
-    "discount_bands": q(f"""SELECT product_id, round(discount_percentage, 4) AS discount_percentage, discount_band,
+    "discount_bands": q(f"""SELECT product_id, round(discount_percentage, 6) AS discount_percentage, discount_band,
         CAST(list_position({BANDS!r}, discount_band) - 1 AS INT) AS discount_band_ord FROM cat"""),
     "inspect_shape": q(f"SELECT count(*) AS rows, {len(RAW_COLUMNS)} AS columns FROM raw", RAW),
     "inspect_head": q("SELECT * FROM raw ORDER BY listing_ord, product_id, actual_price LIMIT 3", RAW),
@@ -401,7 +401,7 @@ ORACLES: dict[str, str] = {
     "feature_profile": q(" UNION ALL ".join(
         [f"""SELECT '{c}' AS "column", count(*) FILTER ({c}) AS true_count, count(*) FILTER (NOT {c}) AS false_count,
              CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS std FROM cat""" for c in FLAGS]
-        + [f"""SELECT '{c}', NULL, NULL, round(avg({c}), 4), round(stddev_samp({c}), 4) FROM cat""" for c in DERIVED])),
+        + [f"""SELECT '{c}', NULL, NULL, round(avg({c}), 6), round(stddev_samp({c}), 6) FROM cat""" for c in DERIVED])),
     "distinct_values": q("SELECT DISTINCT sub_category FROM cat WHERE sub_category IS NOT NULL"),
     "central_tendency": q(f', {long(MEASURES)} SELECT "column", {MEAN_MEDIAN_MODE} FROM long GROUP BY 1'),
     "dispersion": q(f', {long(MEASURES)} SELECT "column", {SPREAD} FROM long GROUP BY 1'),
@@ -427,37 +427,37 @@ ORACLES: dict[str, str] = {
     "pivot_count": q(band_pivot("nullif(count(product_id) FILTER ({w}), 0)", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
     "pivot_count_filled": q(band_pivot("count(product_id) FILTER ({w})", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
     "pivot_mean": q(band_pivot("round(avg(rating) FILTER ({w}), 6)")),
-    "pivot_median": q(band_pivot("round(quantile_cont(discounted_price, 0.5) FILTER ({w}), 4)")),
-    "pivot_cells_std": q("SELECT main_category, discount_band, round(stddev_samp(rating), 4) AS cell FROM cat GROUP BY ALL"),
+    "pivot_median": q(band_pivot("round(quantile_cont(discounted_price, 0.5) FILTER ({w}), 6)")),
+    "pivot_cells_std": q("SELECT main_category, discount_band, round(stddev_samp(rating), 6) AS cell FROM cat GROUP BY ALL"),
     "kpis": q("SELECT count(*) AS products, " + ", ".join(
-        f"round(avg({c}), 4) AS mean_{c}, round(quantile_cont({c}, 0.5), 4) AS median_{c}"
+        f"round(avg({c}), 6) AS mean_{c}, round(quantile_cont({c}, 0.5), 6) AS median_{c}"
         for c in ("discounted_price", "discount_percentage", "rating"))
         + ", count(DISTINCT main_category) AS categories, count(DISTINCT cluster) AS clusters FROM cat"),
-    "category_overview": q("SELECT main_category, count(*) AS count, round(avg(discounted_price), 4) AS avg_price, round(avg(rating), 4) AS avg_rating FROM cat GROUP BY 1"),
-    "category_metric": q("SELECT main_category, round(avg(discount_percentage), 4) AS mean_discount_percentage FROM cat GROUP BY 1"),
-    "category_means": q(f', {long(MEASURES, "main_category")} SELECT main_category, "column", round(avg(value), 4) AS mean FROM long GROUP BY ALL'),
+    "category_overview": q("SELECT main_category, count(*) AS count, round(avg(discounted_price), 6) AS avg_price, round(avg(rating), 6) AS avg_rating FROM cat GROUP BY 1"),
+    "category_metric": q("SELECT main_category, round(avg(discount_percentage), 6) AS mean_discount_percentage FROM cat GROUP BY 1"),
+    "category_means": q(f', {long(MEASURES, "main_category")} SELECT main_category, "column", round(avg(value), 6) AS mean FROM long GROUP BY ALL'),
     "category_counts": q("SELECT main_category, count(*) AS count FROM cat GROUP BY 1"),
     "category_rollup": q(f"""SELECT {', '.join(LEVELS)}, CAST(GROUPING_ID({', '.join(LEVELS)}) AS BIGINT) AS grouping_bits, count(*) AS count,
         round(avg(discounted_price), 6) AS avg_discounted_price FROM cat GROUP BY ROLLUP ({', '.join(LEVELS)})"""),
-    "compare_products": q(f', {long(MEASURES, "product_id")} SELECT product_id, "column", round(value, 4) AS value FROM long WHERE product_id IN (\'P1\', \'P20\', \'P300\')'),
+    "compare_products": q(f', {long(MEASURES, "product_id")} SELECT product_id, "column", round(value, 6) AS value FROM long WHERE product_id IN (\'P1\', \'P20\', \'P300\')'),
     "rating_price_bands": q("""SELECT CAST(floor(rating) AS INT) AS rating_band, CASE WHEN discounted_price <= 1000 THEN 'low'
         WHEN discounted_price <= 10000 THEN 'middle' ELSE 'high' END AS discount_band, count(*) AS cell FROM cat GROUP BY ALL"""),
-    "filter_catalog": q(f", {FILTERED} SELECT product_id, main_category, round(discounted_price, 4) AS discounted_price, round(discount_percentage, 4) AS discount_percentage FROM filtered"),
+    "filter_catalog": q(f", {FILTERED} SELECT product_id, main_category, round(discounted_price, 6) AS discounted_price, round(discount_percentage, 6) AS discount_percentage FROM filtered"),
     "filtered_pivot": q(f", {FILTERED} " + band_pivot("round(avg(discounted_price) FILTER ({w}), 6)", source="filtered")),
-    "filter_bounds": q(f', {long(MEASURES)} SELECT "column", round(min(value), 4) AS low, round(max(value), 4) AS high FROM long GROUP BY 1'),
+    "filter_bounds": q(f', {long(MEASURES)} SELECT "column", round(min(value), 6) AS low, round(max(value), 6) AS high FROM long GROUP BY 1'),
     "product_search": q("SELECT product_id, product_name, main_category FROM cat WHERE main_category = 'ECONOMY' AND regexp_matches(product_name, '^(red|blue) .*(ring|bolt)', 'i')"),
     "product_search_literal": q("SELECT product_id, product_name, main_category FROM cat WHERE main_category = 'ECONOMY' AND contains(lower(product_name), 'ring')"),
-    "filter_preferences": q("SELECT product_id, round(discounted_price, 4) AS discounted_price, round(rating, 4) AS rating FROM cat WHERE main_category = 'SMALL' AND discounted_price <= 40000 AND rating >= 3.5 AND discount_percentage >= 20"),
+    "filter_preferences": q("SELECT product_id, round(discounted_price, 6) AS discounted_price, round(rating, 6) AS rating FROM cat WHERE main_category = 'SMALL' AND discounted_price <= 40000 AND rating >= 3.5 AND discount_percentage >= 20"),
     "product_details": q(f"""SELECT product_id, CASE WHEN length(product_name) > 8 THEN concat(substring(product_name, 1, 8), '...') ELSE product_name END AS product_name,
         main_category, {rounds(MEASURES)}, cluster FROM cat WHERE product_id = 'P20'"""),
     "cluster_lookup": q("SELECT product_id, CASE WHEN cluster <> 2 THEN cluster END AS cluster FROM cat"),
     "histogram": histogram(MEASURES, 50),
-    "distribution_markers": q(f', {long(MEASURES)} SELECT "column", round(avg(value), 4) AS mean, round(quantile_cont(value, 0.5), 4) AS median FROM long GROUP BY 1'),
+    "distribution_markers": q(f', {long(MEASURES)} SELECT "column", round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS median FROM long GROUP BY 1'),
     "kde": kde(["discounted_price", "rating"], 300),
     "box_stats": box_query(MEASURES),
     "box_by_category": box_query(MEASURES, "main_category"),
     "outlier_values": q(boxes(["discounted_price", "price_savings"], "main_category") + """
-        SELECT main_category, long."column", round(value, 4) AS value, count(*) AS n FROM long JOIN f USING (main_category, "column")
+        SELECT main_category, long."column", round(value, 6) AS value, count(*) AS n FROM long JOIN f USING (main_category, "column")
         WHERE value < lower_fence OR value > upper_fence GROUP BY ALL"""),
     "violin_density": kde(["rating"], 100, "main_category", 2.0, 6),
     "violin_box": box_query(["rating"], "main_category"),
@@ -468,14 +468,14 @@ ORACLES: dict[str, str] = {
         for p in (25, 50, 75)),
     "scatter_points": q(f"SELECT {rounds(['discounted_price', 'rating', 'discount_percentage'])} FROM cat"),
     "scatter_bins": bins2d([("discounted_price", "rating"), ("discount_percentage", "rating")], 50),
-    "scatter_corr": q("""SELECT round(r, 4) AS r, n, round(r * sqrt(n - 2) / sqrt(1 - r * r), 4) AS t FROM (
+    "scatter_corr": q("""SELECT round(r, 6) AS r, n, round(r * sqrt(n - 2) / sqrt(1 - r * r), 6) AS t FROM (
         SELECT corr(discount_percentage, discounted_price) AS r, count(*) AS n FROM cat)"""),
     "pair_histograms": histogram(MEASURES, 20, "cluster"),
     "pair_bins": bins2d(list(combinations(MEASURES, 2)), 20, "cluster"),
     "zscore_features": q(f", {ZSCORES} SELECT product_id, cluster, {rounds([c + '_z' for c in FEATURES], 6)} FROM z"),
-    "cluster_sizes": q("SELECT cluster, count(*) AS size, round(count(*) * 100.0 / (SELECT count(*) FROM cat), 4) AS percentage FROM cat GROUP BY 1"),
+    "cluster_sizes": q("SELECT cluster, count(*) AS size, round(count(*) * 100.0 / (SELECT count(*) FROM cat), 6) AS percentage FROM cat GROUP BY 1"),
     "cluster_stats": q(group_stats("cluster", MEASURES + ["price_savings"])),
-    "cluster_labels": q(f""", {CLUSTER_MEANS} SELECT cluster, {LABEL} AS label, size, round(percentage, 4) AS percentage,
+    "cluster_labels": q(f""", {CLUSTER_MEANS} SELECT cluster, {LABEL} AS label, size, round(percentage, 6) AS percentage,
         {rounds(['mean_' + f for f in FEATURES])}, concat_ws('; ', {_NOTES}) AS characteristics FROM cm"""),
     "cluster_profile": q("SELECT cluster, " + ", ".join(
         f"round(avg(({f} - (SELECT min({f}) FROM cat)) / ((SELECT max({f}) FROM cat) - (SELECT min({f}) FROM cat))), 6) AS {f}_norm"
@@ -484,11 +484,11 @@ ORACLES: dict[str, str] = {
     "cluster_bands": composition_query("discount_band"),
     "cluster_band_matrix": q("SELECT cluster, " + ", ".join(f"count(*) FILTER (discount_band = '{b}') AS \"{b}\"" for b in BANDS) + " FROM cat GROUP BY 1"),
     "cluster_summary": q("""SELECT cluster, CASE cluster WHEN 0 THEN 'Mainstream' WHEN 1 THEN 'Budget/Deep-Discount' ELSE 'Premium' END AS name,
-        count(*) AS count, round(avg(discounted_price), 4) AS avg_price, round(quantile_cont(discounted_price, 0.5), 4) AS median_price,
-        round(avg(discount_percentage), 4) AS avg_discount, round(avg(rating), 4) AS avg_rating, round(avg(rating_count), 4) AS avg_reviews,
-        round(count(*) * 100.0 / (SELECT count(*) FROM cat), 4) AS percentage FROM cat GROUP BY 1"""),
+        count(*) AS count, round(avg(discounted_price), 6) AS avg_price, round(quantile_cont(discounted_price, 0.5), 6) AS median_price,
+        round(avg(discount_percentage), 6) AS avg_discount, round(avg(rating), 6) AS avg_rating, round(avg(rating_count), 6) AS avg_reviews,
+        round(count(*) * 100.0 / (SELECT count(*) FROM cat), 6) AS percentage FROM cat GROUP BY 1"""),
     "cluster_facts": q(f""", {CLUSTER_MEANS}, {composition('main_category')}, {composition('discount_band')}
-        SELECT cluster, {LABEL} AS label, {tier(LABEL)} AS tier, size, round(percentage, 4) AS percentage,
+        SELECT cluster, {LABEL} AS label, {tier(LABEL)} AS tier, size, round(percentage, 6) AS percentage,
         {rounds(['mean_' + f for f in FEATURES[:4]])}, {listed('main_category')} AS categories, {listed('discount_band')} AS bands FROM cm"""),
     "canonical_clusters": q("""SELECT product_id, c.canonical AS cluster FROM cat JOIN (SELECT cluster, CAST(row_number() OVER (
         ORDER BY count(*) DESC, avg(discounted_price)) - 1 AS INT) AS canonical FROM cat GROUP BY 1) c USING (cluster)"""),

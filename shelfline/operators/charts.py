@@ -96,7 +96,7 @@ def kde(df: DataFrame, columns: list[str] = MEASURES, points: int = 300, by: lis
     reach = F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high, last).cast("int"), F.lit(1))
     z = (x - F.col("value")) / F.col("h")
     sums = (counts.join(grid, keys)
-            .where((F.ceil(low) <= last) & (high >= 0) & (low <= high))
+            .where((low <= last) & (high >= 0) & (low <= high))
             .withColumn("point", F.explode(reach))
             .groupBy(*keys, "point").agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("mass")))
     framed = grid.withColumn("point", F.explode(F.sequence(F.lit(0), last)))
