@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_folders: dict[str, str] = {}
+
+
 def build_session(app_name: str = "shelfline", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are planned for; `conf` keys use `_` for `.`."""
     settings = {
@@ -36,9 +39,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to storage that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="shelfline-")
+    return _local_folders[app]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
