@@ -7,16 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.numeric import min_max_scaled, share_pct, with_scalar
 from shelfline.operators.cleaning import impute_median
+from shelfline.operators.distribution import grouped_quantiles
 from shelfline.operators.features import add_discount_band
 from shelfline.operators.grouping import group_statistics, require_columns
 from shelfline.schema import (
@@ -52,12 +52,30 @@ def scaled_vectors(df: DataFrame, features: list[str] = SEGMENT_FEATURES) -> Dat
     return assembler.transform(scaled).drop(*[c + "_z" for c in features])
 
 
-def scaling_pipeline(features: list[str] = SEGMENT_FEATURES) -> Pipeline:
-    """Scaler stages for saving next to a model. The ML scaler divides by the sample deviation, so
-    its vectors are all smaller by sqrt((n-1)/n); the assignment to centres is the same."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=features, outputCol="raw_features"),
-        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)])
+def scaling_parameters(df: DataFrame, features: list[str] = SEGMENT_FEATURES) -> DataFrame:
+    """(position, feature, median, mean, std): what is needed to scale further products alike."""
+    filled = select_features(df, features)
+    stats = filled.agg(F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f).alias("feature"), F.avg(f).alias("mean"),
+                 F.stddev_pop(f).alias("std")) for i, f in enumerate(features)]).alias("rows"))
+    medians = grouped_quantiles(df, features, [0.5]).select(
+        F.col("column").alias("feature"), F.col("q")[0].alias("median"))
+    return stats.select(F.inline("rows")).join(medians, "feature", "left").select(
+        "position", "feature", "median", "mean", "std")
+
+
+def scale_with(df: DataFrame, parameters: DataFrame, features: list[str] = SEGMENT_FEATURES) -> DataFrame:
+    """Vectors of further products under saved parameters; no statistics are taken from `df`."""
+    entry = F.struct("feature", F.struct("median", "mean", "std"))
+    out = with_scalar(df, parameters.agg(F.map_from_entries(F.collect_list(entry)).alias("m")), "_scaling")
+
+    def scaled(c: str) -> Column:
+        p = F.col("_scaling")[c]
+        return F.when(p["std"] > 0, (F.coalesce(c, p["median"]) - p["mean"]) / p["std"]).otherwise(0.0)
+
+    out = out.withColumns({c + "_z": scaled(c) for c in features}).drop("_scaling")
+    assembler = VectorAssembler(inputCols=[c + "_z" for c in features], outputCol="features", handleInvalid="error")
+    return assembler.transform(out).drop(*[c + "_z" for c in features])
 
 
 @dataclass(frozen=True)
@@ -397,7 +415,3 @@ def representatives(vectors: DataFrame, model: KMeansModel, n: int = 1) -> DataF
     ranked = F.row_number().over(Window.partitionBy("cluster").orderBy("distance", "product_id"))
     return (assigned.select("product_id", "cluster", F.sqrt(gap).alias("distance"))
             .withColumn("rank", ranked).where(F.col("rank") <= n))
-
-
-def save_model(model: KMeansModel | PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)

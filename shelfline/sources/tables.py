@@ -89,5 +89,11 @@ def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
     return _read(spark, path, RECOMMENDATION_SCHEMA, "parquet").select(*RECOMMENDATION_SCHEMA.names)
 
 
-def read_model(path: str) -> KMeansModel:
-    return KMeansModel.load(path)
+def write_model(model: KMeansModel, parameters: DataFrame, path: str) -> None:
+    """The K-Means model with the scaling parameters of its features, in their order."""
+    model.write().overwrite().save(f"{path}/kmeans")
+    _write(parameters, f"{path}/scaling", "parquet")
+
+
+def read_model(spark: SparkSession, path: str) -> tuple[KMeansModel, DataFrame]:
+    return KMeansModel.load(f"{path}/kmeans"), spark.read.parquet(f"{path}/scaling")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import segments
 from shelfline.plans.segmentation import segment_catalog
 from shelfline.schema import SEGMENT_FEATURES
-from shelfline.sources.tables import read_model
+from shelfline.sources.tables import read_model, write_model
 
 # Known result of the K sweep: k, inertia, silhouette.
 SWEEP = [(2, 6483.67, .2118), (3, 5243.38, .2188), (4, 4318.21, .2317), (5, 3693.07, .2286), (6, 3299.61, .2225),
@@ -131,7 +131,11 @@ def test_segmentation_end_to_end(spark, catalog, tmp_path):
     own = segments.silhouette_squared(segments.zscore(result.products, SEGMENT_FEATURES), [f + "_z" for f in SEGMENT_FEATURES])
     assert own.first()["silhouette"] == pytest.approx(segments.silhouette(result.fit.model.transform(vectors)), abs=1e-6)
 
-    segments.save_model(result.fit.model, str(tmp_path / "model"))
-    assert np.allclose(read_model(str(tmp_path / "model")).clusterCenters(), centres)
+    write_model(result.fit.model, segments.scaling_parameters(catalog), str(tmp_path / "model"))
+    model, parameters = read_model(spark, str(tmp_path / "model"))
+    assert np.allclose(model.clusterCenters(), centres)
+    few = segments.scale_with(catalog.where("product_id in ('p1', 'p5')"), parameters)
+    whole = {r["product_id"]: r["features"] for r in vectors.collect()}
+    assert all(np.allclose(r["features"].toArray(), whole[r["product_id"]].toArray()) for r in few.collect())
     near = segments.representatives(vectors, result.fit.model, 2).collect()
     assert len(near) == 6 and all(r["distance"] >= 0 for r in near)
