@@ -147,3 +147,11 @@ def span_counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     total = np.zeros(len(flags) + 1, np.int64)
     np.cumsum(flags, out=total[1:])
     return total[ends] - total[starts]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with as many underscores before it as keep it apart from the columns of `df`."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name

@@ -42,3 +42,15 @@ def _summary(edges: DataFrame) -> tuple:
     h = F.xxhash64("u", "v")
     row = edges.agg(F.count("*"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))), F.sum(F.shiftrightunsigned(h, 32))).first()
     return tuple(row)
+
+
+def smallest_members(nodes: DataFrame, edges: DataFrame, node: str, least: str, name: str = "component") -> DataFrame:
+    """(node, `name`): for each of the distinct `nodes`, the smallest `least` of the nodes that `edges` (a, b) join it to.
+
+    `nodes` is read several times and should be a written table. Runs jobs when called.
+    """
+    linked = connected_components(edges).withColumnsRenamed({"node": "__n", "component": "__c"})
+    known = linked.join(nodes.select(F.col(node).alias("__n"), F.col(least).alias("__l")), "__n")
+    joint = known.groupBy("__c").agg(F.min("__l").alias("__joint"))
+    found = known.join(joint, "__c").select(F.col("__n").alias(node), "__joint")
+    return nodes.join(found, node, "left").select(node, F.coalesce("__joint", least).alias(name))
