@@ -59,11 +59,12 @@ def map_runs(df: DataFrame, column: str, fields: list[str], schema: str,
         for batch in batches:
             for run in runs(batch, "__text"):
                 cut = batch.slice(run.first, run.rows)
-                out = work(run, {f: cut.column(cut.schema.get_field_index(f"__f{i}")) for i, f in enumerate(fields)})
+                out = work(run, {f: cut.column(cut.schema.get_field_index(places[f])) for f in fields})
                 if out is not None:
                     yield out
 
-    given = [F.col(_quoted(f)).alias(f"__f{i}") for i, f in enumerate(fields)]
+    places = {f: "__text" if f == column else f"__f{i}" for i, f in enumerate(fields)}
+    given = [F.col(_quoted(f)).alias(places[f]) for f in fields if f != column]
     return df.select(F.col(_quoted(column)).alias("__text"), *given).mapInArrow(task, schema)
 
 
@@ -149,6 +150,13 @@ def span_counts(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return total[ends] - total[starts]
 
 
+def sheltered(df: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """`df` under column names that no operator uses, its columns' new names, and the way back."""
+    names = {c: f"__column{i}" for i, c in enumerate(df.columns)}
+    return (df.select(*[F.col(_quoted(c)).alias(n) for c, n in names.items()]), names,
+            lambda out: out.select(*[F.col(n).alias(c) for c, n in names.items()]))
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, with as many underscores before it as keep it apart from the columns of `df`."""
     taken = {c.lower() for c in df.columns}

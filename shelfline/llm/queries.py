@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from shelfline.llm import (chat_template, embedding_dedup, language_id, lm_ctw, packing, piece_sampling, pii,
                            quality_ledger, simhash, warc)
+from shelfline.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -85,6 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_packing": length_packing,
     "op9_chat_formatting": chat_formatting,
     "op10_quality_rules": quality_rules,
+    "pipeline": corpus_pipeline.run,
 }
-
-ORACLES: dict[str, str] = {}
