@@ -137,14 +137,14 @@ def proposals(text: str) -> list[Span]:
 
 def features(text: str, span: Span) -> list[float]:
     start, kind, end = span
-    body = text[start:end]
+    body = text[start:end].lstrip("+")
     groups = [len(g) for g in re.findall("[0-9]+", body)]
     digits = sum(groups)
     before, after = text[max(0, start - 40):start], text[end:end + 20]
     words = [w.lower() for w in _WORD.findall(before)][-3:]
     return [kind, len(body), digits, sum(c.isalpha() for c in body), len(groups), max(groups, default=0),
             min(groups, default=0), body.count(" "), body.count("."), body.count("-"), body.count("(") + body.count(")"),
-            body.count("@"), digits / len(body), float(body.lstrip("+(")[:1] == "0"),
+            body.count("@"), digits / len(body), float(body.lstrip("(")[:1] == "0"),
             float(any(w in _HINTS[kind] for w in words)), float(bool(words)), float(bool(_WORD.search(after))),
             float(before[-1:].isalnum()), float(after[:1].isalnum()), len(body.rpartition(".")[2]) if kind == 0 else 0]
 

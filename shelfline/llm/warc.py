@@ -218,7 +218,7 @@ def write_archives(df: DataFrame, folder: str, page_id: str = "page_id", url: st
                 if out is None:
                     held.append(raw)
                     waiting += len(raw)
-                    if waiting < SAMPLE_BYTES:
+                    if waiting < min(SAMPLE_BYTES, archive_bytes):
                         continue
                     start()
                     for x in held:
