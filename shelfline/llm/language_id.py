@@ -124,12 +124,16 @@ def _ranked(letters: np.ndarray, of: np.ndarray, n_rows: int, size: int | None)
 
 def learn_profiles(df: DataFrame, lang: str = "lang", text: str = "text", doc_id: str = "doc_id",
                    size: int = PROFILE_SIZE, max_per_language: int = MAX_PER_LANGUAGE) -> DataFrame:
-    """(lang, gram, rank) of every language of `df`, ranks from 0."""
+    """(lang, gram, rank) of every language of `df`, ranks from 0. Runs a job when called: the languages are counted."""
     rows = df.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("__text"), F.col(doc_id).alias("id")).where(
         F.col("lang").isNotNull() & F.col("__text").isNotNull())
     share = 1 << 20
-    wanted = rows.groupBy("lang").agg(F.ceil(F.lit(float(share * max_per_language)) / F.count("*")).alias("below"))
-    chosen = rows.join(wanted, "lang").where(
+    counts = rows.groupBy("lang").agg(F.ceil(F.lit(float(share * max_per_language)) / F.count("*")).alias("below"))
+    known = counts.limit(MAX_LANGUAGES + 1).collect()
+    if len(known) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    wanted = df.sparkSession.createDataFrame(known, counts.schema)
+    chosen = rows.join(F.broadcast(wanted), "lang").where(
         F.pmod(F.xxhash64("id", "__text"), F.lit(share)) < F.col("below")).select("lang", "__text")
 
     def task(batches):
@@ -151,9 +155,7 @@ class Languages:
     """Profiles as arrays: all n-grams in order, and their rank in each language."""
 
     def __init__(self, profiles: DataFrame, size: int = PROFILE_SIZE):
-        rows = profiles.limit(MAX_LANGUAGES * size + 1).toArrow()
-        if rows.num_rows > MAX_LANGUAGES * size:
-            raise ValueError(f"more than {MAX_LANGUAGES} languages")
+        rows = profiles.toArrow()
         self.size = size
         self.names, of = np.unique(rows.column("lang").to_numpy().astype(str), return_inverse=True)
         self.grams, at = np.unique(rows.column("gram").to_numpy(), return_inverse=True)
