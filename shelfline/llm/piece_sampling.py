@@ -11,8 +11,8 @@ of rank r weighs 1 / (r + `RANK_OFFSET`), as word frequencies do. `alpha` sharpe
 A character without a piece, and a literal U+2581, becomes its UTF-8 bytes, so decoding gives back
 every text exactly.
 
-Lattices are worked out once per distinct segment and kept while `CACHE_SEGMENTS` are not exceeded; draws are
-vectorised over a run of rows.
+Lattices are worked out once per distinct segment of a run of rows; filtering and draws are vectorised over all
+of them.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text. Repeated rows with one key
 get the same segmentation; a null key is a key like any other. An empty table gives an empty result. Other
@@ -34,7 +34,6 @@ from shelfline.llm.arrays import U64, Run, map_runs, mixed
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RANK_OFFSET = 10.0
 SEGMENT_CHARS = 48
-CACHE_SEGMENTS = 200_000
 SEED = 5
 _SPACE = "▁"
 _SEGMENT = re.compile(r" ?[^ \n]{1,%d}| |\n" % SEGMENT_CHARS)
@@ -69,84 +68,115 @@ class Vocabulary:
             self.weights[piece] = weight ** alpha * 200.0 ** len(piece)
             self.ids[piece] = i
         self.rare = min(self.weights[p] / 200.0 ** len(p) for p in self.weights) * 200.0
-        for piece in list(self.weights):
-            for stop in range(1, len(piece)):
-                self.weights.setdefault(piece[:stop], 0.0)
+        self._make_trie()
+
+    def _make_trie(self) -> None:
+        """The pieces as a trie in arrays: children by (node, character), and the piece that ends at a node."""
+        alphabet = sorted({c for piece in self.ids for c in piece})
+        self.letter = np.full(0x110000, -1, np.int32)
+        self.letter[[ord(c) for c in alphabet]] = np.arange(len(alphabet))
+        self.letters = len(alphabet)
+        number = {c: i for i, c in enumerate(alphabet)}
+        children: dict[tuple[int, int], int] = {}
+        ends = {}
+        for piece, i in self.ids.items():
+            node = 0
+            for c in piece:
+                node = children.setdefault((node, number[c]), len(children) + 1)
+            ends[node] = i, self.weights[piece]
+        keys = np.array([n * self.letters + c for n, c in children], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], np.array(list(children.values()), np.int32)[order]
+        self.ending = np.full(len(children) + 1, -1, np.int32)
+        self.weight = np.zeros(len(children) + 1)
+        for node, (i, w) in ends.items():
+            self.ending[node], self.weight[node] = i, w
+
+    def step(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The child of each node by a character, or -1."""
+        key = node.astype(np.int64) * self.letters + letter
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((letter >= 0) & (self.keys[at] == key), self.child[at], -1)
 
 
 class Lattices:
-    """Cumulative shares of the pieces that end at each character of the segments met so far."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.nodes = 0
-        self.last = np.zeros(0, np.int64)
-        self.shares, self.back, self.piece = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
-
-    def of(self, segments: list[str]) -> np.ndarray:
-        """The number of each segment; lattices that are new are worked out."""
-        if len(self.known) > CACHE_SEGMENTS:
-            self.clear()
-        get = self.known.get
-        found = list(map(get, segments))
-        if None in found:
-            last, shares, back, piece = [], [], [], []
-            for s in dict.fromkeys(s for s, f in zip(segments, found) if f is None):
-                self.known[s] = len(self.last) + len(last)
-                self._filter(s, shares, back, piece)
-                last.append(self.nodes - 1)
-            self.last = np.concatenate([self.last, np.array(last, np.int64)])
-            self.shares = np.concatenate([self.shares, np.array(shares, np.int64)])
-            self.back = np.concatenate([self.back, np.array(back, np.int32)])
-            self.piece = np.concatenate([self.piece, np.array(piece, np.int32)])
-            found = list(map(get, segments))
-        return np.array(found, np.int64)
-
-    def _filter(self, segment: str, shares: list, back: list, piece: list) -> None:
-        """Forward filtering: appends a node for each character with the pieces that end there."""
-        weights, ids, rare = self.vocabulary.weights, self.vocabulary.ids, self.vocabulary.rare
-        n = len(segment)
-        sums = [0.0] * (n + 1)
-        sums[0] = 1.0
-        ending: list[list] = [[] for _ in range(n + 1)]
-        for start in range(n):
-            here = sums[start]
-            for stop in range(start + 1, n + 1):
-                part = segment[start:stop]
-                weight = weights.get(part)
-                if weight is None:
-                    break
-                if weight:
-                    mass = here * weight
-                    sums[stop] += mass
-                    ending[stop].append((mass, start, ids[part]))
-            one = segment[start]
-            if one not in ids:
-                mass = here * rare
-                sums[start + 1] += mass
-                ending[start + 1].append((mass, start, _FALLBACK + ord(one)))
-        for stop in range(1, n + 1):
-            node, whole, run = self.nodes, sums[stop], 0.0
-            for mass, start, number in ending[stop]:
-                run += mass
-                shares.append((node << _BITS) + min(1 << _BITS, int(run / whole * (1 << _BITS))))
-                back.append(start)
-                piece.append(number)
-            shares[-1] = (node + 1) << _BITS
-            self.nodes = node + 1
+    """The lattices of some distinct segments: for each of their characters, the pieces that end there."""
+
+    def __init__(self, segments: list[str], vocabulary: Vocabulary):
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
+        codes = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = vocabulary.letter[codes]
+        self.first = np.cumsum(sizes) - sizes
+        stop_of = np.repeat(self.first + sizes, sizes)
+        place_of = np.arange(len(codes)) - np.repeat(self.first, sizes)
+        starts, stops, pieces, weights = [], [], [], []
+        at, node = np.arange(len(codes)), np.zeros(len(codes), np.int32)
+        length = 0
+        while len(at):
+            node = vocabulary.step(node, letter[at + length])
+            length += 1
+            alive = node >= 0
+            if length == 1:
+                lone = at[~alive | (vocabulary.ending[node] < 0)]
+                starts.append(lone), stops.append(lone), weights.append(np.full(len(lone), vocabulary.rare))
+                pieces.append(_FALLBACK + codes[lone].astype(np.int64))
+            at, node = at[alive], node[alive]
+            whole = vocabulary.ending[node] >= 0
+            starts.append(at[whole]), stops.append(at[whole] + length - 1)
+            pieces.append(vocabulary.ending[node[whole]].astype(np.int64)), weights.append(vocabulary.weight[node[whole]])
+            more = at + length < stop_of[at]
+            at, node = at[more], node[more]
+        start, stop = np.concatenate(starts), np.concatenate(stops)
+        # By the last character's place in its segment, then by segment, then by length: each list above is in order.
+        order = np.argsort(stop, kind="stable")
+        order = order[np.argsort(place_of[stop[order]].astype(np.uint8), kind="stable")]
+        start, stop = start[order], stop[order]
+        self.piece, weight = np.concatenate(pieces)[order], np.concatenate(weights)[order]
+        self.back = place_of[start]
+        self._filter(start, stop, weight, place_of)
+
+    def _filter(self, start: np.ndarray, stop: np.ndarray, weight: np.ndarray, place_of: np.ndarray) -> None:
+        """Forward filtering, one place of all segments at a time; leaves the shares of the pieces of each node.
+
+        Sums are added up in one order whatever other segments there are, so a segment's shares never vary.
+        """
+        new = np.ones(len(stop), bool)
+        new[1:] = stop[1:] != stop[:-1]
+        node = np.cumsum(new) - 1
+        rank = np.arange(len(stop)) - np.flatnonzero(new)[node]
+        self.node_of = np.empty(len(place_of), np.int64)
+        self.node_of[stop] = node
+        # `sums[i]` is that of the place behind the character i; a segment's start has 1.
+        sums = np.ones(len(place_of))
+        total = np.zeros(len(stop))
+        mass = np.zeros(len(stop))
+        bounds = np.searchsorted(place_of[stop], np.arange(SEGMENT_CHARS + 2))
+        for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if low == high:
+                continue
+            part = slice(low, high)
+            inner = place_of[start[part]] > 0
+            mass[part] = weight[part] * np.where(inner, sums[start[part] - 1], 1.0)
+            total[part] = mass[part]
+            ranks = rank[part]
+            for r in range(1, int(ranks.max()) + 1):
+                at = low + np.flatnonzero(ranks == r)
+                total[at] = total[at - 1] + mass[at]
+            sums[stop[part]] = total[part]
+        last = np.append(new[1:], True)
+        whole = total[np.flatnonzero(last)][node]
+        share = np.minimum(1 << _BITS, (total / whole * (1 << _BITS)).astype(np.int64))
+        share[last] = 1 << _BITS
+        self.shares = (node << _BITS) + share
 
     def sample(self, numbers: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward sampling: the pieces of each segment in order, and their number per segment."""
-        first = self.last[numbers] - lengths
+        first = self.first[numbers] - 1
         place = lengths.astype(np.int64)
         active = np.arange(len(numbers))
         drawn, step = [], 0
         while len(active):
-            node = first[active] + place[active]
+            node = self.node_of[first[active] + place[active]]
             draw = (mixed(keys[active] + U64(step)) >> U64(64 - _BITS)).astype(np.int64)
             edge = np.searchsorted(self.shares, (node << _BITS) + draw, "right")
             drawn.append((active, self.piece[edge]))
@@ -163,16 +193,17 @@ class Lattices:
         return out, counts
 
 
-_lattices: dict = {}
+_vocabularies: dict = {}
 
 
-def _lattices_of(path: str, alpha: float) -> Lattices:
-    if (path, alpha) not in _lattices:
-        _lattices[path, alpha] = Lattices(Vocabulary(path, alpha))
-    return _lattices[path, alpha]
+def vocabulary_of(path: str, alpha: float = 1.0) -> Vocabulary:
+    """A model's vocabulary, read once per process."""
+    if (path, alpha) not in _vocabularies:
+        _vocabularies[path, alpha] = Vocabulary(path, alpha)
+    return _vocabularies[path, alpha]
 
 
-def encode_run(run: Run, keys: np.ndarray, lattices: Lattices) -> tuple[np.ndarray, np.ndarray]:
+def encode_run(run: Run, keys: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all rows, and their number per row."""
     segments: list[str] = []
     per_row = np.zeros(run.rows, np.int64)
@@ -184,13 +215,15 @@ def encode_run(run: Run, keys: np.ndarray, lattices: Lattices) -> tuple[np.ndarr
         return np.zeros(0, np.int64), np.zeros(run.rows, np.int64)
     rows = np.repeat(np.arange(run.rows), per_row)
     number = np.arange(len(segments)) - np.repeat(np.cumsum(per_row) - per_row, per_row)
-    known = lattices.of(segments)
-    lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+    index = {s: i for i, s in enumerate(dict.fromkeys(segments))}
+    distinct = list(index)
+    known = np.fromiter(map(index.__getitem__, segments), np.int64, len(segments))
+    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[known]
     seeds = mixed(mixed(keys[rows]) + number.astype(U64)) << U64(8)
-    pieces, counts = lattices.sample(known, lengths, seeds)
+    pieces, counts = Lattices(distinct, vocabulary).sample(known, lengths, seeds)
     owner = np.repeat(rows, counts)
     if (pieces >= _FALLBACK).any():
-        byte_ids = lattices.vocabulary.byte_ids
+        byte_ids = vocabulary.byte_ids
         far = np.flatnonzero(pieces >= _FALLBACK)
         raw = [chr(c).encode() for c in (pieces[far] - _FALLBACK).tolist()]
         sizes = np.ones(len(pieces), np.int64)
@@ -214,7 +247,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[st
 
     def work(run: Run, fields: dict[str, pa.Array]) -> pa.RecordBatch:
         keys = fields.pop("__key").to_numpy(zero_copy_only=False).view(U64)
-        pieces, counts = encode_run(run, keys, _lattices_of(model, alpha))
+        pieces, counts = encode_run(run, keys, vocabulary_of(model, alpha))
         cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
         ids = pa.ListArray.from_arrays(cuts, pa.array(pieces.astype(np.int32)))
         return pa.RecordBatch.from_arrays([*fields.values(), ids], names=[*keep, "piece_ids"])
@@ -230,7 +263,7 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 def decode(df: DataFrame, pieces: str = "piece_ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
     """`df` with the text of its piece ids; null pieces give the empty text."""
     def task(batches):
-        vocabulary = _lattices_of(model, 1.0).vocabulary
+        vocabulary = vocabulary_of(model)
         for batch in batches:
             place = batch.schema.get_field_index(pieces)
             for start in range(0, batch.num_rows, 256):

@@ -2,18 +2,18 @@ from collections import Counter
 from math import isclose
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shelfline.llm import piece_sampling as p
 from shelfline.llm.arrays import runs
-import pyarrow as pa
 
 
 @pytest.fixture(scope="module")
-def lattices():
-    return p._lattices_of(p.MODEL, 1.0)
+def vocabulary():
+    return p.vocabulary_of(p.MODEL)
 
 
 def coverings(segment, vocabulary):
@@ -31,12 +31,12 @@ def coverings(segment, vocabulary):
 
 
 @pytest.mark.parametrize("segment", [" the", "hello", " a", "▁x", "é中", " \U0001F600b"])
-def test_draws_follow_the_lattice(lattices, segment):
-    ways = coverings(segment, lattices.vocabulary)
+def test_draws_follow_the_lattice(vocabulary, segment):
+    ways = coverings(segment, vocabulary)
     total = sum(w for _, w in ways)
     n = 40_000
-    numbers = np.repeat(lattices.of([segment]), n)
-    pieces, counts = lattices.sample(numbers, np.full(n, len(segment)), p.mixed(np.arange(n, dtype=np.uint64)) << np.uint64(8))
+    lattices = p.Lattices(["hello", segment, " other", "x"], vocabulary)
+    pieces, counts = lattices.sample(np.ones(n, np.int64), np.full(n, len(segment)), p.mixed(np.arange(n, dtype=np.uint64)) << np.uint64(8))
     ends = np.cumsum(counts)
     seen = Counter(tuple(pieces[e - c:e].tolist()) for e, c in zip(ends, counts))
     assert set(seen) <= {w for w, _ in ways}
@@ -47,19 +47,19 @@ def test_draws_follow_the_lattice(lattices, segment):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.text("ab ▁\n", max_size=80)), max_size=6), st.integers(1, 50))
-def test_round_trip_and_independence(lattices, texts, limit):
+def test_round_trip_and_independence(vocabulary, texts, limit):
     keys = np.arange(len(texts), dtype=np.uint64)
 
     def encoded(limit):
         batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["t"])
         out = []
         for run in runs(batch, "t", limit):
-            ids, counts = p.encode_run(run, keys[run.first:run.first + run.rows], lattices)
+            ids, counts = p.encode_run(run, keys[run.first:run.first + run.rows], vocabulary)
             out += [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         return out
 
     got = encoded(limit)
-    assert [p.decode_ids(ids, lattices.vocabulary) for ids in got] == [t or "" for t in texts]
+    assert [p.decode_ids(ids, vocabulary) for ids in got] == [t or "" for t in texts]
     assert got == encoded(1 << 20)
 
 
@@ -78,12 +78,11 @@ def test_tables(spark, folder):
     assert p.encode(df.where("false")).collect() == []
 
 
-def test_a_small_cache_changes_nothing(spark, folder, monkeypatch):
+def test_shares_do_not_depend_on_other_segments(spark, folder, vocabulary):
+    """The same draws whether a run holds one row or all of them."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(40)
     texts = pa.RecordBatch.from_arrays([pa.array(docs.toPandas().text, pa.string())], names=["t"])
-    fresh, small = p.Lattices(p.Vocabulary(p.MODEL)), p.Lattices(p.Vocabulary(p.MODEL))
     keys = np.arange(40, dtype=np.uint64)
-    whole = [p.encode_run(r, keys[r.first:r.first + r.rows], fresh)[0] for r in runs(texts, "t", 1 << 20)]
-    monkeypatch.setattr(p, "CACHE_SEGMENTS", 50)
-    cut = [p.encode_run(r, keys[r.first:r.first + r.rows], small)[0] for r in runs(texts, "t", 4000)]
-    assert np.concatenate(whole).tolist() == np.concatenate(cut).tolist()
+    whole, single = ([p.encode_run(r, keys[r.first:r.first + r.rows], vocabulary)[0] for r in runs(texts, "t", limit)]
+                     for limit in (1 << 20, 1))
+    assert len(whole) == 1 and np.concatenate(whole).tolist() == np.concatenate(single).tolist()
