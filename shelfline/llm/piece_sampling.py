@@ -238,8 +238,11 @@ def encode_run(run: Run, keys: np.ndarray, vocabulary: Vocabulary) -> tuple[np.n
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None, model: str = MODEL,
-           alpha: float = 1.0, seed: int = SEED) -> DataFrame:
-    """The columns `keep` (default: the key) and `piece_ids`, one sampled segmentation of each row."""
+           alpha: float = 1.0, seed: int = SEED, verified: str | None = None) -> DataFrame:
+    """The columns `keep` (default: the key) and `piece_ids`, one sampled segmentation of each row.
+
+    With `verified`, a boolean column of that name says whether the pieces decode to the text again.
+    """
     keep = [key] if keep is None else keep
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     given = df.select(*[F.col(c) for c in keep], F.col(text).alias("__text"),
@@ -247,12 +250,18 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[st
 
     def work(run: Run, fields: dict[str, pa.Array]) -> pa.RecordBatch:
         keys = fields.pop("__key").to_numpy(zero_copy_only=False).view(U64)
-        pieces, counts = encode_run(run, keys, vocabulary_of(model, alpha))
-        cuts = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-        ids = pa.ListArray.from_arrays(cuts, pa.array(pieces.astype(np.int32)))
-        return pa.RecordBatch.from_arrays([*fields.values(), ids], names=[*keep, "piece_ids"])
-
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["piece_ids array<int>"])
+        vocabulary = vocabulary_of(model, alpha)
+        pieces, counts = encode_run(run, keys, vocabulary)
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        columns = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(pieces.astype(np.int32)))]
+        if verified:
+            body = vocabulary.bytes_
+            columns.append(pa.array([b"".join([body[i] for i in pieces[a:b].tolist()]) == text for a, b, text in zip(
+                cuts[:-1].tolist(), cuts[1:].tolist(), run.texts())], pa.bool_()))
+        return pa.RecordBatch.from_arrays([*fields.values(), *columns], names=[*keep, "piece_ids", *added])
+
+    added = [verified] if verified else []
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["piece_ids array<int>", *(f"`{c}` boolean" for c in added)])
     return map_runs(given, "__text", [*keep, "__key"], schema, work)
 
 

@@ -39,10 +39,8 @@ def embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentencepiece_sampling(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
-    decoded = piece_sampling.decode(piece_sampling.encode(docs, keep=["doc_id", "text"]))
-    return decoded.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"),
-                          F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("lossless"))
+    encoded = piece_sampling.encode(_table(spark, folder, "documents"), verified="lossless")
+    return encoded.select("doc_id", "piece_ids", F.size("piece_ids").alias("n_pieces"), "lossless")
 
 
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:

@@ -69,6 +69,7 @@ def test_tables(spark, folder):
     df = spark.createDataFrame(rows, "doc_id long, text string, piece_ids string")
     got = p.decode(p.encode(df, keep=["doc_id", "text"])).collect()
     assert len(got) == len(rows) and all(r["decoded"] == (r["text"] or "") for r in got)
+    assert all(r["ok"] for r in p.encode(df, verified="ok").collect())
     same = [r["piece_ids"] for r in got if r["doc_id"] == 1]
     assert same[0] == same[1]
     again = p.encode(df.repartition(5), keep=["doc_id"]).collect()
