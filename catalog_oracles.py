@@ -102,7 +102,7 @@ def rounds(names: list[str], places: int = 6) -> str:
 MEAN_MEDIAN_MODE = """round(avg(value), 6) AS "Mean", round(quantile_cont(value, 0.5), 6) AS "Median",
   round((SELECT value FROM long m WHERE m."column" = long."column" GROUP BY value ORDER BY count(*) DESC, value LIMIT 1), 6) AS "Mode\""""
 SPREAD = """round(min(value), 6) AS "Minimum", round(max(value), 6) AS "Maximum", round(max(value) - min(value), 6) AS "Range",
-  round(var_samp(value), 0) AS "Variance", round(stddev_samp(value), 6) AS "Std_Deviation\""""
+  printf('%.7e', var_samp(value)) AS "Variance", round(stddev_samp(value), 6) AS "Std_Deviation\""""
 SHAPE = 'round(skewness(value), 6) AS "Skewness", round(kurtosis(value), 6) AS "Kurtosis"'
 PERCENTILES = ", ".join(f'round(quantile_cont(value, {p / 100}), 6) AS "P{p}"' for p in (10, 25, 50, 75, 90, 95, 99))
 
@@ -118,10 +118,10 @@ def missing(columns: list[str], source: str, only: bool = False) -> str:
     return f"SELECT * FROM ({union})" + (" WHERE missing > 0" if only else "")
 
 
-def pair_table(columns: list[str], measure: str, source: str = "cat") -> str:
+def pair_table(columns: list[str], measure: str, name: str = "value", source: str = "cat") -> str:
     """All ordered pairs of `measure(a, b)`."""
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS row, '{b}' AS col, {measure.format(a=a, b=b)} AS value FROM {source}"
+        f"SELECT '{a}' AS row, '{b}' AS col, {measure.format(a=a, b=b)} AS {name} FROM {source}"
         for a in columns for b in columns)
 
 
@@ -163,9 +163,9 @@ def group_stats(key: str, columns: list[str], places: int = 6) -> str:
     return f"SELECT {key}, {cells} FROM cat WHERE {key} IS NOT NULL GROUP BY {key}"
 
 
-def band_pivot(cell: str, where: str = "true", source: str = "cat") -> str:
+def band_pivot(cell: str, where: str = "true", source: str = "cat", index: str = "main_category") -> str:
     cells = ", ".join(f"{cell.format(w=f'discount_band = {chr(39)}{b}{chr(39)}')} AS \"{b}\"" for b in BANDS)
-    return f"SELECT main_category, {cells} FROM {source} WHERE {where} GROUP BY main_category"
+    return f"SELECT {index}, {cells} FROM {source} WHERE {where} GROUP BY {index}"
 
 
 FILTERED = """filtered AS (SELECT * FROM cat WHERE main_category IN ('ECONOMY', 'PROMO', 'SMALL')
@@ -418,14 +418,17 @@ ORACLES: dict[str, str] = {
         f"SELECT '{a}' AS \"column\", " + ", ".join(f"round(corr({a}, {b}), 6) AS {b}" for b in MEASURES) + " FROM cat"
         for a in MEASURES)),
     "corr_spearman_nulls": q(spearman(["rating", "rating_count", "actual_price"], "uniq"), UNIQUE),
-    "cov_matrix": q(pair_table(MEASURES, "round(covar_samp({a}, {b}), 0)")),
+    "cov_matrix": q(pair_table(MEASURES, "round(covar_samp({a}, {b}), 0) AS value, round(covar_samp({a}, {b}) / stddev_samp({a}) / stddev_samp({b}), 6)", "scaled")),
     "corr_target": q(" UNION ALL ".join(f"SELECT '{c}' AS feature, round(corr(rating, {c}), 6) AS value FROM cat" for c in MEASURES)),
     "corr_target_signed": q(" UNION ALL ".join(f"SELECT '{c}' AS feature, round(corr(rating, {c}), 6) AS value FROM cat" for c in MEASURES if c != "rating")),
     "heatmap_lower": q(f"SELECT * FROM ({spearman(MEASURES, 'cat')}) WHERE list_position({MEASURES!r}, row) > list_position({MEASURES!r}, col)"),
     "group_by_category": q(group_stats("main_category", MEASURES)),
     "group_by_band": q(group_stats("discount_band", MEASURES)),
-    "pivot_count": q(band_pivot("nullif(count(product_id) FILTER ({w}), 0)", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
-    "pivot_count_filled": q(band_pivot("count(product_id) FILTER ({w})", "not (main_category = 'PROMO' and discount_band = '0-10%')")),
+    "pivot_count": q(band_pivot("nullif(count(product_id) FILTER ({w}), 0)", "level_3 IS NOT NULL", index="level_3")),
+    "pivot_count_filled": q(band_pivot("count(product_id) FILTER ({w})", "level_3 IS NOT NULL", index="level_3")),
+    "pivot_sum": q(band_pivot("round(sum(rating_count) FILTER ({w}), 6)")),
+    "pivot_min": q(band_pivot("round(min(discounted_price) FILTER ({w}), 6)")),
+    "pivot_max": q(band_pivot("round(max(discounted_price) FILTER ({w}), 6)")),
     "pivot_mean": q(band_pivot("round(avg(rating) FILTER ({w}), 6)")),
     "pivot_median": q(band_pivot("round(quantile_cont(discounted_price, 0.5) FILTER ({w}), 6)")),
     "pivot_cells_std": q("SELECT main_category, discount_band, round(stddev_samp(rating), 6) AS cell FROM cat GROUP BY ALL"),
@@ -450,7 +453,10 @@ ORACLES: dict[str, str] = {
     "filter_preferences": q("SELECT product_id, round(discounted_price, 6) AS discounted_price, round(rating, 6) AS rating FROM cat WHERE main_category = 'SMALL' AND discounted_price <= 40000 AND rating >= 3.5 AND discount_percentage >= 20"),
     "product_details": q(f"""SELECT product_id, CASE WHEN length(product_name) > 8 THEN concat(substring(product_name, 1, 8), '...') ELSE product_name END AS product_name,
         main_category, {rounds(MEASURES)}, cluster FROM cat WHERE product_id = 'P20'"""),
-    "cluster_lookup": q("SELECT product_id, CASE WHEN cluster <> 2 THEN cluster END AS cluster FROM cat"),
+    "cluster_lookup": q("""SELECT concat('P', p_partkey) AS product_id, cluster FROM part LEFT JOIN cat ON product_id = concat('P', p_partkey)
+        UNION ALL SELECT concat('S', s_suppkey), NULL FROM supplier"""),
+    "product_search_accents": q("""SELECT product_id, name AS product_name FROM (SELECT product_id, concat(product_name, CASE WHEN is_heavily_discounted
+        THEN ' GRÖSSE ÉTÉ' ELSE ' größe etc' END) AS name FROM cat) WHERE regexp_matches(name, 'ing größe|RED.*été$', 'i')"""),
     "histogram": histogram(MEASURES, 50),
     "distribution_markers": q(f', {long(MEASURES)} SELECT "column", round(avg(value), 6) AS mean, round(quantile_cont(value, 0.5), 6) AS median FROM long GROUP BY 1'),
     "kde": kde(["discounted_price", "rating"], 300),
@@ -507,3 +513,92 @@ ORACLES: dict[str, str] = {
     "rec_preferences": preferences("discounted_price <= 50000 AND rating >= 3.0 AND discount_percentage >= 20", True),
     "rec_preferences_open": preferences("true", False),
 }
+
+# Sources, sinks and bundles return what the tables written to them hold.
+for _name, _same in {"csv_source": "listings_text", "catalog_round_trip": "clean_catalog", "report_round_trip": "group_by_band",
+                     "recommendations_round_trip": "rec_all", "segment_report_round_trip": "cluster_labels",
+                     "silhouette_pipeline": "silhouette_squared"}.items():
+    ORACLES[_name] = ORACLES[_same]
+
+
+def row_counts(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS name, ({count}) AS rows" for name, count in tables.items())
+
+
+_CATEGORIES = "SELECT count(DISTINCT main_category) FROM cat"
+_BANDS_SEEN = "SELECT count(DISTINCT discount_band) FROM cat"
+_CLUSTERS = "SELECT count(DISTINCT cluster) FROM cat"
+
+ORACLES |= {
+    "segments_round_trip": q("SELECT product_id, cluster FROM cat"),
+    "model_round_trip": q("SELECT count(*) AS rows, 0 AS moved FROM cat"),
+    "report_presented": q(" UNION ALL ".join(
+        f"SELECT main_category, '{c}' AS \"column\", round_even(avg({c}), 2) AS mean FROM cat GROUP BY 1" for c in MEASURES)),
+    "report_bundle": q(row_counts({
+        "summary": "SELECT 5", "correlation": "SELECT 5", "covariance": "SELECT 5", "group_by_category": _CATEGORIES,
+        "group_by_discount_band": _BANDS_SEEN, "pivot_category_discount": _CATEGORIES, "pivot_category_rating": _CATEGORIES})),
+    "chart_bundle": q(row_counts({
+        "category_counts": _CATEGORIES, "category_means": f"SELECT 5 * ({_CATEGORIES})", "pivot_counts": _CATEGORIES,
+        "pivot_mean_rating": _CATEGORIES, "cumulative_discount": "SELECT count(DISTINCT discount_percentage) FROM cat",
+        "scatter_rating_vs_discounted_price": "SELECT count(*) FROM cat", "boxes": "SELECT 5",
+        "correlation_heatmap_pearson": "SELECT 10"})),
+    "segment_bundle": q(row_counts({
+        "cluster_statistics": _CLUSTERS, "cluster_interpretations": _CLUSTERS,
+        "cluster_category": "SELECT count(*) FROM (SELECT DISTINCT cluster, main_category FROM cat)",
+        "cluster_discount_band": f"SELECT 5 * ({_CLUSTERS})",
+        "cluster_summary": _CLUSTERS, "cluster_dashboard_profile": _CLUSTERS, "cluster_facts": _CLUSTERS})),
+    "kmeans_segments": q("SELECT count(*) AS rows, 0 AS misplaced, true AS cost_agrees, true AS centres_are_means, true AS ids_by_size FROM cat"),
+    "k_sweep": "SELECT k, 'squared_euclidean' AS metric, true AS falls, true AS in_range, true AS bend_inside FROM range(2, 11) t(k)",
+    "sample_per_cluster": q("""SELECT product_id, cluster FROM cat
+        QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY md5(concat(product_id, '42')), product_id) = 1"""),
+    "segment_features_filled": q(f""", f AS (SELECT product_id, discounted_price, discount_percentage, rating, rating_count,
+        ln(1 + rating_count) AS log_rating_count, ln(1 + discounted_price) AS log_discounted_price FROM uniq)
+        SELECT product_id, {', '.join(f'round(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM f)), 6) AS {c}' for c in FEATURES)} FROM f""", UNIQUE),
+    "cluster_representatives": q(f""", {ZSCORES},
+      c AS (SELECT cluster, {', '.join(f'avg({f}_z) AS {f}_c' for f in FEATURES)} FROM z GROUP BY 1),
+      d AS (SELECT product_id, cluster, sqrt({' + '.join(f'pow({f}_z - {f}_c, 2)' for f in FEATURES)}) AS distance FROM z JOIN c USING (cluster)),
+      r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY distance, product_id) AS rank FROM d)
+      SELECT product_id, cluster, round(distance, 6) AS distance, rank FROM r WHERE rank <= 3"""),
+    # Student's t for whole degrees of freedom as a finite series in cos(atan(t / sqrt(n - 2))).
+    "scatter_p_value": q("""SELECT round(r, 6) AS r, n, round(t, 6) AS t, round(1 - CASE WHEN v % 2 = 0
+          THEN sin(a) * list_sum(list_transform(range(0, CAST(v / 2 AS BIGINT)), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi()) * pow(cos(a), 2 * k)))
+          ELSE 2 / pi() * (a + sin(a) * cos(a) * coalesce(list_sum(list_transform(range(0, CAST((v - 1) / 2 AS BIGINT)),
+               lambda k: exp(lgamma(k + 1) - lgamma(k + 1.5)) * sqrt(pi()) / 2 * pow(cos(a), 2 * k))), 0)) END, 6) AS p
+        FROM (SELECT *, n - 2 AS v, atan(abs(t) / sqrt(n - 2)) AS a FROM (SELECT r, n, r * sqrt(n - 2) / sqrt(1 - r * r) AS t
+          FROM (SELECT corr(actual_price, rating) AS r, count(*) AS n FROM cat)))"""),
+}
+
+
+def principal(select: str) -> str:
+    """Two principal components of the scaled features: a matrix squared until one direction is left, then deflated."""
+    d = range(len(FEATURES))
+    cells = [(i, j) for i in d for j in d]
+    squared = ", ".join(f"{' + '.join(f'm{i}{k} * m{k}{j}' for k in d)} AS m{i}{j}" for i, j in cells)
+    scaled = ", ".join(f"m{i}{j} / ({' + '.join(f'm{k}{k}' for k in d)}) AS m{i}{j}" for i, j in cells)
+    start = [1.0, 0.7, 0.3, -0.2, 0.5, 0.4]
+
+    def component(n: int, matrix: str) -> str:
+        raw = ", ".join(f"{' + '.join(f'm{i}{j} * {start[j]}' for j in d)} AS y{i}" for i in d)
+        norm = "sqrt(" + " + ".join(f"y{i} * y{i}" for i in d) + ")"
+        value = " + ".join(f"x{i} * x{j} * m{i}{j}" for i, j in cells)
+        return f"""power{n} AS (SELECT 0 AS step, {scaled} FROM {matrix} UNION ALL SELECT step + 1, {scaled}
+              FROM (SELECT step, {squared} FROM power{n} WHERE step < 16)),
+            unsigned{n} AS (SELECT [{', '.join(f'y{i} / {norm}' for i in d)}] AS x FROM (SELECT {raw} FROM power{n} WHERE step = 16)),
+            vector{n} AS (SELECT {', '.join(f'x[{i + 1}] * s AS x{i}' for i in d)} FROM (SELECT x, sign(x[list_position(
+              list_transform(x, lambda a: abs(a)), list_max(list_transform(x, lambda a: abs(a))))]) AS s FROM unsigned{n})),
+            value{n} AS (SELECT {value} AS l FROM vector{n}, {matrix})"""
+
+    covariances = ", ".join(f"covar_samp({FEATURES[i]}_z, {FEATURES[j]}_z) AS m{i}{j}" for i, j in cells)
+    deflated = ", ".join(f"m{i}{j} - l * x{i} * x{j} AS m{i}{j}" for i, j in cells)
+    return q(f""", {ZSCORES}, spread AS (SELECT {covariances} FROM z), {component(1, 'spread')},
+        rest AS (SELECT {deflated} FROM spread, vector1, value1), {component(2, 'rest')} {select}""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_TRACE = "(SELECT " + " + ".join(f"m{i}{i}" for i in range(len(FEATURES))) + " FROM spread)"
+ORACLES |= {
+    "pca_variance": principal(" UNION ALL ".join(f"SELECT 'PC{n}' AS component, round(l / {_TRACE}, 6) AS explained FROM value{n}" for n in (1, 2))),
+    "pca_loadings": principal(" UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(a.x{i}, 6) AS PC1, round(b.x{i}, 6) AS PC2 FROM vector1 a, vector2 b" for i, f in enumerate(FEATURES))),
+    "pca_projection": principal("SELECT product_id, cluster, " + ", ".join(
+        f"round({' + '.join(f'{f}_z * v{n}.x{i}' for i, f in enumerate(FEATURES))}, 6) AS PC{n}" for n in (1, 2)) + " FROM z, vector1 v1, vector2 v2"),
+}

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline.operators import association as assoc
+from shelfline.functions.numeric import present
 from shelfline.operators import charts, cleaning, features, filters, grouping, quality, recommend, segments, summary
+from shelfline.plans import report, segmentation
 from shelfline.plans.catalog import deduplicate, finish_catalog
 from shelfline.schema import ALL_MEASURES, BAND_LABELS, LEVELS, MEASURES, SEGMENT_FEATURES
-from shelfline.session import materialize
+from shelfline.session import materialize, shared_folder
+from shelfline.sources import tables
 from shelfline.sources.listings import LISTING_ORDER, read_listings
 
 _prepared: dict[tuple[str, str, str], DataFrame] = {}
@@ -61,31 +67,149 @@ def _scaled_example(spark: SparkSession, folder: str) -> DataFrame:
     return scaled.select("product_id", "cluster", *columns)
 
 
-def _fitted(spark: SparkSession, folder: str):
-    vectors = materialize(segments.scaled_vectors(products(spark, folder)).select(
-        "product_id", "main_category", "discounted_price", "features"), "vectors").cache()
-    return vectors, segments.train_kmeans(vectors, 3, restarts=20)
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(spark, folder, "vectors", lambda: segments.scaled_vectors(products(spark, folder)).select(
+        "product_id", "main_category", "discounted_price", "features"))
 
 
 def _kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
-    vectors, fit = _fitted(spark, folder)
-    return segments.assign_clusters(vectors, fit.model).select("product_id", "cluster")
+    """Facts that hold for any right clustering: every row is with its nearest centre, centres are means, ids go by size."""
+    vectors = _vectors(spark, folder).cache()
+    fit = segments.train_kmeans(vectors, 3, restarts=20)
+    vectors.unpersist()
+    centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in fit.model.clusterCenters()])
+    placed = fit.model.transform(vectors).withColumn("p", vector_to_array("features"))
+    gaps = F.transform(centres, lambda c: F.aggregate(
+        F.zip_with("p", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    rows = placed.withColumn("gaps", gaps)
+    width = len(SEGMENT_FEATURES)
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(F.col("p")[i]) for i in range(width)]).alias("mean"))
+    drift = means.select(F.array_max(F.zip_with("mean", centres[F.col("cluster")], lambda a, b: F.abs(a - b))).alias("d"))
+    sizes = segments.assign_clusters(vectors, fit.model).groupBy("cluster").count()
+    by_size = sizes.agg(F.sort_array(F.collect_list(F.struct("cluster", "count"))).alias("s")).select(
+        F.aggregate(F.slice("s", 1, 10), F.struct(F.lit(True).alias("ok"), F.lit(1 << 62).alias("last")),
+                    lambda a, x: F.struct((a["ok"] & (x["count"] <= a["last"])).alias("ok"), x["count"].alias("last")))["ok"])
+    own = F.col("gaps")[F.col("cluster")]
+    facts = rows.agg(F.count("*").alias("rows"), F.count_if(own > F.array_min("gaps") + 1e-9).alias("misplaced"),
+                     (F.abs(F.sum(own) / fit.cost - 1) < 0.01).alias("cost_agrees"))
+    return facts.select("*", (drift.agg(F.max("d")).scalar() < 0.05).alias("centres_are_means"),
+                        by_size.scalar().alias("ids_by_size"))
 
 
-def _representatives(spark: SparkSession, folder: str) -> DataFrame:
-    vectors, fit = _fitted(spark, folder)
-    return segments.representatives(vectors, fit.model, 3)
+def _sweep(spark: SparkSession, folder: str) -> DataFrame:
+    """Facts of a sweep: a row for each k, inertia that does not rise by more than a hundredth, silhouettes in range."""
+    vectors = _vectors(spark, folder).select("features").cache()
+    table = segments.elbow_table(segments.sweep_k(vectors))
+    vectors.unpersist()
+    before = F.lag("inertia").over(Window.orderBy("k"))
+    return table.select("k", "metric", F.coalesce(F.col("inertia") <= before * 1.01, F.lit(True)).alias("falls"),
+                        F.col("silhouette").between(-1, 1).alias("in_range"),
+                        (F.col("bend").isNull() == F.col("k").isin(2, 10)).alias("bend_inside"))
 
 
-def _sweep(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = materialize(segments.scaled_vectors(products(spark, folder)).select("features"), "vectors").cache()
-    return segments.elbow_table(segments.sweep_k(vectors))
+def _pipeline_silhouette(spark: SparkSession, folder: str) -> DataFrame:
+    """The evaluator that sweeps use, on the stand-in clusters."""
+    rows = segments.scaled_vectors(clustered(spark, folder)).select("features", F.col("cluster").cast("int").alias("cluster"))
+    return spark.createDataFrame([(segments.silhouette(rows),)], "silhouette double")
+
+
+def _segment_plan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every table of the analysis of segments, by its number of rows."""
+    return _sizes(segmentation.analyse_segments(clustered(spark, folder)))
+
+
+def _chart_plan(df: DataFrame) -> DataFrame:
+    data = report.chart_data(df)
+    return _sizes({name: data[name] for name in (
+        "category_counts", "category_means", "pivot_counts", "pivot_mean_rating", "cumulative_discount",
+        "scatter_rating_vs_discounted_price", "boxes", "correlation_heatmap_pearson")})
+
+
+def _sizes(bundle: dict[str, DataFrame]) -> DataFrame:
+    parts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, df in bundle.items()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _round_trip(write: Callable, read: Callable) -> Callable:
+    """A query that writes its table to a fresh folder and returns what is read back."""
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path = f"{shared_folder(spark)}/round-trip-{uuid.uuid4().hex}"
+        write(spark, folder, path)
+        return read(spark, folder, path)
+    return query
+
+
+def _write_listing_files(spark: SparkSession, folder: str, path: str) -> None:
+    text = listings(spark, folder)
+    text.select(*sorted(text.columns, reverse=True), F.lit("more").alias("extra")).write.option("header", True).option(
+        "escape", '"').csv(path)
+
+
+def _read_listing_files(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    names = listings(spark, folder).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    return tables.read_raw_catalog(spark, path, schema, multi_line=False).withColumn("listing_ord", F.col("listing_ord").cast("long"))
+
+
+def _segment_report(spark: SparkSession, folder: str) -> DataFrame:
+    interpreted = segments.interpret_clusters(clustered(spark, folder))
+    path = f"{shared_folder(spark)}/segment-report-{uuid.uuid4().hex}"
+    tables.write_segment_report({"labels": interpreted}, path)
+    schema = T.StructType([T.StructField(f.name, T.StringType() if f.name == "characteristics" else f.dataType)
+                           for f in interpreted.schema.fields])
+    back = tables.read_report(spark, path, {"labels": schema})["labels"]
+    return rounded(back.withColumn("characteristics", F.array_join(F.from_json("characteristics", "array<string>"), "; ")))
+
+
+def _model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """All products placed by a fitted and by the saved and loaded model, scaled by the saved parameters."""
+    catalog = products(spark, folder)
+    path = f"{shared_folder(spark)}/model-{uuid.uuid4().hex}"
+    fit = segments.train_kmeans(_vectors(spark, folder), 3, restarts=1)
+    tables.write_model(fit.model, segments.scaling_parameters(catalog), path)
+    model, parameters = tables.read_model(spark, path)
+    first = fit.model.transform(segments.scaled_vectors(catalog)).select("product_id", F.col("cluster").alias("before"))
+    second = model.transform(segments.scale_with(catalog, parameters)).select("product_id", "cluster")
+    return first.join(second, "product_id").agg(F.count("*").alias("rows"), F.count_if(F.col("before") != F.col("cluster")).alias("moved"))
+
+
+def _scaled_covariance(df: DataFrame) -> DataFrame:
+    """Covariances, also as shares of the deviations: cells of small measures are compared as closely as large ones."""
+    cells = assoc.covariance(df)
+    own = cells.where(F.col("row") == F.col("col")).select(F.col("row").alias("of"), F.sqrt("value").alias("sd"))
+    sides = [own.withColumnsRenamed({"of": side, "sd": f"sd_{side}"}) for side in ("row", "col")]
+    return cells.join(sides[0], "row").join(sides[1], "col").select(
+        "row", "col", F.round("value", 0).alias("value"), (F.col("value") / F.col("sd_row") / F.col("sd_col")).alias("scaled"))
+
+
+def _digits(df: DataFrame, *names: str) -> DataFrame:
+    """Eight significant digits as text."""
+    return df.withColumns({n: F.format_string("%.7e", n) for n in names})
+
+
+def _accented_search(spark: SparkSession, folder: str) -> DataFrame:
+    named = products(spark, folder).withColumn("product_name", F.concat("product_name", F.when(
+        F.col("is_heavily_discounted"), " GRÖSSE ÉTÉ").otherwise(" größe etc")))
+    return filters.search_products(named, "ing größe|RED.*été$").select("product_id", "product_name")
+
+
+def _marketplace_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all parts and of all suppliers, which share no id with products."""
+    part = spark.read.parquet(f"{folder}/part.parquet").select(F.concat(F.lit("P"), "p_partkey").alias("product_id"))
+    supplier = spark.read.parquet(f"{folder}/supplier.parquet").select(F.concat(F.lit("S"), "s_suppkey").alias("product_id"))
+    return segments.attach_clusters(part.union(supplier), clustered(spark, folder).select("product_id", "cluster"))
+
+
+def _gappy_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Filled cluster features of products whose ratings and counts may be missing."""
+    raw = features.add_features(unique_products(spark, folder))
+    return segments.select_features(raw).select("product_id", *SEGMENT_FEATURES)
 
 
 def _pca(part: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         vectors = segments.scaled_vectors(clustered(spark, folder))
-        return segments.pca_projection(vectors)[part]
+        return rounded(segments.pca_projection(vectors)[part])
     return query
 
 
@@ -147,24 +271,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_values": _on(products, lambda df: filters.distinct_values(df, "sub_category")),
     # Statistics
     "central_tendency": _on(products, summary.central_tendency),
-    "dispersion": _on(products, lambda df: summary.dispersion(df).withColumn("Variance", F.round("Variance", 0))),
+    "dispersion": _on(products, lambda df: _digits(summary.dispersion(df), "Variance")),
     "distribution_labels": _on(products, summary.shape_labels),
     "percentiles": _on(products, summary.percentiles),
-    "summary_statistics": _on(products, lambda df: summary.summary_statistics(df).withColumn("Variance", F.round("Variance", 0))),
+    "summary_statistics": _on(products, lambda df: _digits(summary.summary_statistics(df), "Variance")),
     "corr_pearson": _on(products, lambda df: assoc.correlation(df, MEASURES), 6),
     "corr_spearman": _on(products, lambda df: assoc.correlation(df, MEASURES, "spearman"), 6),
     "corr_kendall": _on(products, lambda df: assoc.correlation(df, MEASURES, "kendall"), 6),
     "corr_matrix": _on(products, lambda df: assoc.to_matrix(assoc.correlation(df, MEASURES), MEASURES), 6),
     "corr_spearman_nulls": _on(unique_products, lambda df: assoc.correlation(df, ["rating", "rating_count", "actual_price"], "spearman"), 6),
-    "cov_matrix": _on(products, assoc.covariance, 0),
+    "cov_matrix": _on(products, _scaled_covariance),
     "corr_target": _on(products, lambda df: assoc.target_correlation(df, "rating", MEASURES), 6),
     "corr_target_signed": _on(products, lambda df: assoc.target_correlation(df, "rating", signed=True), 6),
     "heatmap_lower": _on(products, lambda df: assoc.lower_triangle(df, MEASURES, "spearman"), 6),
     # Groups and pivots
     "group_by_category": _on(products, lambda df: grouping.group_statistics(df, "main_category")),
     "group_by_band": _on(banded, lambda df: grouping.group_statistics(df, "discount_band")),
-    "pivot_count": _on(banded, lambda df: grouping.band_pivot(df.where("not (main_category = 'PROMO' and discount_band = '0-10%')"), "product_id", "count")),
-    "pivot_count_filled": _on(banded, lambda df: grouping.band_pivot(df.where("not (main_category = 'PROMO' and discount_band = '0-10%')"), "product_id", "count", 0)),
+    "pivot_count": _on(banded, lambda df: grouping.pivot(df, "level_3", "discount_band", "product_id", "count", BAND_LABELS)),
+    "pivot_count_filled": _on(banded, lambda df: grouping.pivot(df, "level_3", "discount_band", "product_id", "count", BAND_LABELS, 0)),
+    "pivot_sum": _on(banded, lambda df: grouping.band_pivot(df, "rating_count", "sum")),
+    "pivot_min": _on(banded, lambda df: grouping.band_pivot(df, "discounted_price", "min")),
+    "pivot_max": _on(banded, lambda df: grouping.band_pivot(df, "discounted_price", "max")),
     "pivot_mean": _on(banded, lambda df: grouping.band_pivot(df, "rating", "mean"), 6),
     "pivot_median": _on(banded, lambda df: grouping.band_pivot(df, "discounted_price", "median")),
     "pivot_cells_std": _on(banded, lambda df: grouping.pivot_cells(df, "main_category", "discount_band", "rating", "std")),
@@ -185,10 +312,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_bounds": _on(products, lambda df: filters.filter_bounds(df, MEASURES)),
     "product_search": _search_term(False),
     "product_search_literal": _search_term(True),
+    "product_search_accents": _accented_search,
     "filter_preferences": _on(products, lambda df: filters.filter_preferences(df, "SMALL", 40000, 3.5, 20).select("product_id", "discounted_price", "rating")),
     "product_details": _on(clustered, lambda df: filters.product_details(df, "P20", 8)),
-    "cluster_lookup": lambda s, d: rounded(segments.attach_clusters(
-        products(s, d), clustered(s, d).where("cluster <> 2").select("product_id", "cluster")).select("product_id", "cluster")),
+    "cluster_lookup": _marketplace_lookup,
     # Charts
     "histogram": _on(products, charts.histogram, 8),
     "distribution_markers": _on(products, charts.distribution_markers),
@@ -227,7 +354,31 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_projection": _pca("scores"),
     "pca_variance": _pca("variance"),
     "pca_loadings": _pca("loadings"),
-    "cluster_representatives": _representatives,
+    "cluster_representatives": _on(_scaled_example, lambda df: segments.mean_representatives(df, [c + "_z" for c in SEGMENT_FEATURES], 3)),
+    "silhouette_pipeline": _on(_pipeline_silhouette, lambda df: df, 6),
+    "segment_features_filled": _on(_gappy_features, lambda df: df),
+    # Sources, sinks and bundles
+    "csv_source": _round_trip(_write_listing_files, _read_listing_files),
+    "catalog_round_trip": _round_trip(
+        lambda s, d, path: tables.write_catalog(products(s, d), path, "csv"),
+        lambda s, d, path: rounded(tables.read_catalog(s, path, "csv", products(s, d).schema).select(
+            "product_id", "product_name", *MEASURES, *LEVELS, "category_depth", "price_savings", "is_premium", "listing_ord"))),
+    "report_round_trip": _round_trip(
+        lambda s, d, path: tables.write_report({"bands": grouping.group_statistics(banded(s, d), "discount_band")}, path),
+        lambda s, d, path: rounded(tables.read_report(s, path, {
+            "bands": grouping.group_statistics(banded(s, d), "discount_band").schema})["bands"])),
+    "recommendations_round_trip": _round_trip(
+        lambda s, d, path: tables.write_recommendations(recommend.recommend_all(clustered(s, d), 3), path),
+        lambda s, d, path: rounded(tables.read_recommendations(s, path), 2)),
+    "segments_round_trip": _round_trip(
+        lambda s, d, path: tables.write_segments(clustered(s, d), path),
+        lambda s, d, path: tables.read_segments(s, path).select("product_id", "cluster")),
+    "segment_report_round_trip": _segment_report,
+    "model_round_trip": _model_round_trip,
+    "report_bundle": _on(products, lambda df: _sizes(report.statistical_report(df))),
+    "report_presented": _on(products, lambda df: present(grouping.category_means(df), 2), 2),
+    "chart_bundle": _on(products, _chart_plan),
+    "segment_bundle": _segment_plan,
     # Recommendations
     "rec_cluster": _recommend(recommend.by_cluster),
     "rec_category": _recommend(recommend.by_category),

@@ -33,7 +33,7 @@ def search_products(df: DataFrame, term: str, category: str | None = None,
         df = df.where(F.col("main_category") == category)
     if literal:
         return df.where(F.lower(column).contains(term.lower()))
-    return df.where(F.col(column).rlike("(?i)" + term))
+    return df.where(F.col(column).rlike("(?iu)" + term))
 
 
 def filter_preferences(df: DataFrame, category: str | None = None, max_price: float | None = None,

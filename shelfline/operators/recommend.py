@@ -237,6 +237,7 @@ def by_preferences(products: DataFrame, category: str | None = None, max_price:
 def sample_per_cluster(products: DataFrame, seed: int = 42, n: int = 1) -> DataFrame:
     """n products per cluster, chosen by a seeded hash of the id and so repeatable."""
     position = F.row_number().over(
-        Window.partitionBy("cluster").orderBy(F.xxhash64("product_id", F.lit(seed)), "product_id"))
+        Window.partitionBy("cluster").orderBy(
+            F.md5(F.concat(F.col("product_id").cast("string"), F.lit(str(seed)))), "product_id"))
     return products.where(F.col("cluster").isNotNull()).withColumn("_n", position).where(
         F.col("_n") <= n).drop("_n")

@@ -106,18 +106,23 @@ def train_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 20,
 
 def sweep_k(vectors: DataFrame, ks=range(2, 11), seed: int = 42, restarts: int = 10, max_iter: int = 300,
             metric: str = "squared_euclidean", parallelism: int = 8) -> DataFrame:
-    """(k, inertia, silhouette) for every k.
+    """(k, inertia, silhouette, metric) for every k, and with metric "both" also `silhouette_euclidean`.
 
-    `squared_euclidean` is linear in the rows at any size. `euclidean` is the plain silhouette, exact
-    but quadratic in the rows.
+    `squared_euclidean` is linear in the rows at any size and larger than the plain one, so the margin of
+    `choose_k` must be chosen for the metric. `euclidean` is the plain silhouette, exact but quadratic in
+    the rows. `both` puts the linear one into `silhouette`.
     """
     jobs = [(k, seed + i) for k in ks for i in range(restarts)]
     fits = _fit_many(vectors, jobs, max_iter, parallelism)
     rows = []
     for k in ks:
         best = min((f for f in fits if f.k == k), key=lambda f: (f.cost, f.seed))
-        rows.append((k, best.cost, silhouette(best.model.transform(vectors), metric)))
-    return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+        assigned = best.model.transform(vectors)
+        first = "squared_euclidean" if metric == "both" else metric
+        row = (k, best.cost, silhouette(assigned, first), first)
+        rows.append((*row, silhouette(assigned, "euclidean")) if metric == "both" else row)
+    schema = "k int, inertia double, silhouette double, metric string"
+    return vectors.sparkSession.createDataFrame(rows, schema + ", silhouette_euclidean double" * (metric == "both"))
 
 
 def silhouette(assigned: DataFrame, metric: str = "squared_euclidean") -> float:
@@ -170,6 +175,7 @@ def silhouette_euclidean(assigned: DataFrame, features: str = "features", cluste
     """
     points = assigned.select(F.col(cluster).alias("own"), vector_to_array(features).alias("p")
                              if dict(assigned.dtypes)[features] == "vector" else F.col(features).alias("p"))
+    # The number of rows is needed to lay out the blocks, so this counts them when called.
     blocks = max(1, -(-points.count() // rows_per_block))
     # Equal points are interchangeable, so distinct points with counts stand for all of them.
     points = (points.groupBy("own", "p").agg(F.count(F.lit(1)).alias("n"))
@@ -183,10 +189,13 @@ def silhouette_euclidean(assigned: DataFrame, features: str = "features", cluste
             return pd.DataFrame({"own": [], "p": [], "n": [], "cluster": [], "d": []})
         x, y = np.stack(a["p"].to_numpy()), np.stack(b["p"].to_numpy())
         weight, labels = b["n"].to_numpy("float64"), b["own"].to_numpy()
+        y_squares = (y ** 2).sum(axis=1)
         parts = []
         for lo in range(0, len(x), 256):
             chunk = x[lo:lo + 256]
-            gap = np.sqrt(((chunk[:, None, :] - y[None, :, :]) ** 2).sum(axis=2)) * weight
+            # |x - y|^2 by a matrix product needs one matrix of distances and no copy per feature.
+            squares = (chunk ** 2).sum(axis=1)[:, None] + y_squares - 2.0 * (chunk @ y.T)
+            gap = np.sqrt(np.maximum(squares, 0.0)) * weight
             for label in np.unique(labels):
                 part = a.iloc[lo:lo + 256][["own", "p", "n"]].copy()
                 part["cluster"], part["d"] = label, gap[:, labels == label].sum(axis=1)
@@ -226,12 +235,15 @@ def elbow_table(sweep: DataFrame) -> DataFrame:
 
 
 def canonical_clusters(assigned: DataFrame, by: str = "discounted_price") -> DataFrame:
-    """Renumber clusters by size, largest first, ties by mean price; ids then keep their meaning."""
-    sizes = assigned.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(by).alias("mean"))
+    """Renumber clusters by size, largest first, ties by mean price; ids then keep their meaning.
+
+    Rows without a cluster stay and have no number.
+    """
+    sizes = assigned.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(by).alias("mean"))
     # One row per cluster.
     order = F.row_number().over(Window.orderBy(F.desc("n"), "mean", "cluster")) - 1
     ids = sizes.select("cluster", order.cast("int").alias("canonical"))
-    return (assigned.join(F.broadcast(ids), "cluster").drop("cluster")
+    return (assigned.join(F.broadcast(ids), "cluster", "left").drop("cluster")
             .withColumnRenamed("canonical", "cluster"))
 
 
@@ -410,8 +422,21 @@ def representatives(vectors: DataFrame, model: KMeansModel, n: int = 1) -> DataF
     """The n products nearest to the centre of their cluster."""
     centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in model.clusterCenters()])
     assigned = model.transform(vectors).withColumn("p", vector_to_array("features"))
-    gap = F.aggregate(F.zip_with("p", centres[F.col("cluster")], lambda a, b: (a - b) * (a - b)),
-                      F.lit(0.0), lambda s, v: s + v)
+    return _nearest(assigned, centres[F.col("cluster")], n)
+
+
+def mean_representatives(df: DataFrame, columns: list[str], n: int = 1) -> DataFrame:
+    """The n products nearest to the mean of the given clusters; rows without a cluster have none."""
+    rows = df.where(F.col("cluster").isNotNull())
+    # One row per cluster.
+    means = rows.groupBy("cluster").agg(F.array(*[F.avg(c) for c in columns]).alias("mean"))
+    lookup = means.agg(F.map_from_entries(F.collect_list(F.struct("cluster", "mean"))))
+    placed = with_scalar(rows.withColumn("p", F.array(*columns)), lookup, "_means")
+    return _nearest(placed, F.col("_means")[F.col("cluster")], n)
+
+
+def _nearest(assigned: DataFrame, centre: Column, n: int) -> DataFrame:
+    gap = F.aggregate(F.zip_with("p", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
     ranked = F.row_number().over(Window.partitionBy("cluster").orderBy("distance", "product_id"))
     return (assigned.select("product_id", "cluster", F.sqrt(gap).alias("distance"))
             .withColumn("rank", ranked).where(F.col("rank") <= n))

@@ -21,16 +21,18 @@ class Segmentation:
 
 def segment_catalog(df: DataFrame, features: list[str] = SEGMENT_FEATURES, ks=range(2, 11), seed: int = 42,
                     sweep_restarts: int = 10, restarts: int = 20, metric: str = "squared_euclidean",
-                    k: int | None = None, parallelism: int = 8) -> Segmentation:
+                    k: int | None = None, parallelism: int = 8, margin: float = 0.05) -> Segmentation:
     """Scale, sweep K, choose it, train, assign canonical clusters and analyse them.
 
-    The scaled vectors are written once; every iteration of every fit reads them.
+    The scaled vectors are written once; every iteration of every fit reads them. `margin` is how much
+    better another K's silhouette must be than the elbow's. 0.05 suits the plain metric; squared
+    silhouettes are larger and differ more, so give a larger margin with them to keep the elbow as often.
     """
     vectors = materialize(segments.scaled_vectors(df, features), "vectors").cache()
     sweep = segments.sweep_k(vectors, ks, seed, sweep_restarts, metric=metric, parallelism=parallelism)
     if k is None:
         # One row per k.
-        k = segments.choose_k([(r["k"], r["inertia"], r["silhouette"]) for r in sweep.collect()])
+        k = segments.choose_k([(r["k"], r["inertia"], r["silhouette"]) for r in sweep.collect()], margin)
     fit = segments.train_kmeans(vectors, k, seed, restarts, parallelism=parallelism)
     assigned = materialize(segments.assign_clusters(vectors, fit.model), "segments")
     vectors.unpersist()

@@ -6,16 +6,38 @@ from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from shelfline.operators.segments import attach_clusters
 from shelfline.schema import CLEAN_SCHEMA, RAW_SCHEMA, RECOMMENDATION_SCHEMA, SEGMENT_COLUMNS, SEGMENT_SCHEMA
 
 
-def read_raw_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """CSV catalog with every column as text. Quoted fields may hold commas, quotes and line breaks."""
-    return (spark.read.schema(RAW_SCHEMA).option("header", True).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(path))
+def _read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool, mode: str) -> DataFrame:
+    """Columns by the names in the header, in any order; columns beyond the schema are left out.
+
+    Every file must have the header that was found. Rows with too few or too many fields, or with values
+    that aren't of their type, follow `mode`: FAILFAST fails, PERMISSIVE fills with nulls, DROPMALFORMED
+    drops. The header is read when called.
+    """
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line, "enforceSchema": False,
+               # Pruned columns would hide rows with too many fields.
+               "columnPruning": False, "mode": mode}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    given = StructType([schema[c] if c in schema.names else StructField(c, StringType()) for c in header])
+    return spark.read.schema(given).options(**options).csv(path).select(*schema.names)
+
+
+def read_raw_catalog(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA, multi_line: bool = True,
+                     mode: str = "FAILFAST") -> DataFrame:
+    """CSV catalog with every column as text, columns by name. Quoted fields may hold commas, quotes and line breaks.
+
+    Spark can't split a file whose fields may hold line breaks; `multi_line=False` reads large files without such
+    fields in parallel.
+    """
+    return _read_csv(spark, path, schema, multi_line, mode)
 
 
 def _write(df: DataFrame, path: str, file_format: str, partition_by: list[str] = ()) -> None:
@@ -33,10 +55,9 @@ def write_catalog(df: DataFrame, path: str, file_format: str = "parquet") -> Non
 
 
 def _read(spark: SparkSession, path: str, schema: StructType, file_format: str) -> DataFrame:
-    reader = spark.read.schema(schema)
     if file_format == "csv":
-        return reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return reader.format(file_format).load(path)
+        return _read_csv(spark, path, schema, True, "FAILFAST")
+    return spark.read.schema(schema).format(file_format).load(path)
 
 
 def read_catalog(spark: SparkSession, path: str, file_format: str = "parquet",
@@ -60,7 +81,9 @@ def read_report(spark: SparkSession, folder: str, schemas: dict[str, StructType]
     for name, schema in schemas.items():
         try:
             out[name] = _read(spark, f"{folder}/{name}", schema, "csv")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             out[name] = spark.createDataFrame([], schema)
     return out
 

@@ -1,5 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from shelfline.operators.filters import search_products
+from shelfline.operators.segments import canonical_clusters
 from shelfline.plans.catalog import clean_catalog
 from shelfline.plans.report import chart_data, manifest, statistical_report
 from shelfline.schema import CLEAN_SCHEMA, MEASURES, RAW_COLUMNS
@@ -59,3 +63,50 @@ def test_clusters_are_looked_up_by_id(spark, tmp_path):
     tables.write_segments(clean.where("product_id = 'a'").withColumn("cluster", F.lit(1)), str(tmp_path / "s"))
     got = tables.read_catalog_with_clusters(spark, str(tmp_path / "c"), str(tmp_path / "s"))
     assert {r["product_id"]: r["cluster"] for r in got.collect()} == {"a": 1, "b": None}
+
+
+def small_schema(*names):
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    for name, text in (("a.csv", "b,a,extra\n1,2,3\n"), ("b.csv", "b,a,extra\n4,5,6\n")):
+        (tmp_path / name).write_text(text)
+    got = tables.read_raw_catalog(spark, str(tmp_path), small_schema("a", "b"))
+    assert sorted(map(tuple, got.collect())) == [("2", "1"), ("5", "4")]
+    with pytest.raises(ValueError, match="no column c"):
+        tables.read_raw_catalog(spark, str(tmp_path), small_schema("a", "c"))
+    (tmp_path / "c.csv").write_text("a,b,extra\n7,8,9\n")
+    with pytest.raises(Exception):
+        tables.read_raw_catalog(spark, str(tmp_path), small_schema("a", "b")).collect()
+
+
+@pytest.mark.parametrize("row", ["1,2,3", "1"])
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rows_of_another_width_are_errors(spark, tmp_path, row, multi_line):
+    (tmp_path / "x.csv").write_text(f"a,b\n0,0\n{row}\n")
+    read = lambda mode: tables.read_raw_catalog(spark, str(tmp_path / "x.csv"), small_schema("a", "b"), multi_line, mode)
+    with pytest.raises(Exception):
+        read("FAILFAST").select("a").collect()
+    assert [r["a"] for r in read("DROPMALFORMED").collect()] == ["0"]
+
+
+def test_only_a_missing_report_is_empty(spark, tmp_path):
+    tables.write_report({"one": spark.range(3)}, str(tmp_path / "r"))
+    schema = spark.range(1).schema
+    got = tables.read_report(spark, str(tmp_path / "r"), {"one": schema, "two": schema})
+    assert got["one"].count() == 3 and got["two"].count() == 0
+    with pytest.raises(Exception):
+        tables.read_report(spark, "nosuchstore://x", {"one": schema})
+
+
+def test_rows_without_a_cluster_keep_none(spark):
+    df = spark.createDataFrame([("a", 1.0, 5), ("b", 2.0, 5), ("c", 3.0, 7), ("d", 4.0, None)], "product_id string, discounted_price double, cluster int")
+    got = {r["product_id"]: r["cluster"] for r in canonical_clusters(df).collect()}
+    assert got == {"a": 0, "b": 0, "c": 1, "d": None}
+
+
+def test_search_folds_letters_of_all_scripts(spark):
+    df = spark.createDataFrame([("CAFÉ",), ("café",), ("cafe",), (None,)], "product_name string")
+    for literal in (True, False):
+        assert {r[0] for r in search_products(df, "café", literal=literal).collect()} == {"CAFÉ", "café"}
