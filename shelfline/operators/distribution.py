@@ -2,9 +2,10 @@
 
 A distribution is a table (keys..., value, n) with one row per distinct value. Counting happens
 before the shuffle, so a value that owns a large share of the rows costs one row per map task.
-Ranks come from a hierarchy of cells: values fall into narrow logarithmic cells, cells into buckets,
-and only the values of one cell are ordered together. Cell numbers depend on nothing but the value,
-so no boundaries are sampled and a recomputed task repeats its answer.
+Ranks come from a hierarchy of prefixes: a value's code is a whole number of 64 bits in the order of the
+values, and each level orders what shares all but 16 further bits. So no window holds more than 65,536
+rows, however the values lie. Codes depend on nothing but the value, so no boundaries are sampled and a
+recomputed task repeats its answer.
 """
 
 from __future__ import annotations
@@ -12,12 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells per unit of ln(value): a cell spans 1.5e-5 of its price. A bucket is 1024 cells, 1.6 %, and
-# the range of doubles holds fewer than 190,000 buckets, so a window over buckets stays bounded.
-CELLS_PER_LN = 65536
-CELLS_PER_BUCKET = 1024
-# The smallest ln of a positive double is -744.4; the offset keeps cells of positive values positive.
-CELL_OFFSET = 746 * CELLS_PER_LN
+# Bits that a prefix leaves out, from the coarsest to the finest; the values themselves come last.
+PREFIX_SHIFTS = [48, 32, 16]
 
 
 def long_values(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -39,18 +36,23 @@ def value_counts(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataF
         F.count(F.lit(1)).alias("n"))
 
 
-def value_cell(value: Column) -> Column:
-    """Cell number of a value, never decreasing in it."""
-    # Infinities share a cell beyond the largest finite double.
-    position = F.least(F.ln(F.abs(value)) * CELLS_PER_LN, F.lit(float(CELL_OFFSET)))
-    magnitude = F.floor(position) + CELL_OFFSET
-    cell = F.when(value > 0, magnitude).when(value < 0, -magnitude)
-    # Never null, so join keys need no null filter and equal inputs keep equal plans.
-    return F.coalesce(cell, F.lit(0).cast("long"))
-
+def value_code(value: Column) -> Column:
+    """A long that grows with a double and is different for every one: its exponent, then its mantissa, then the sign.
 
-def _with_cells(counts: DataFrame) -> DataFrame:
-    return counts.withColumn("cell", value_cell(F.col("value")))
+    Powers of two and products with them are exact, so no step rounds. Null and NaN have the code 0.
+    """
+    size = F.abs(value)
+    near = F.floor(F.log2(size))
+    power = F.pow(F.lit(2.0), near.cast("double"))
+    # The logarithm may round to the wrong side of a power of two.
+    exponent = near - F.when(power > size, 1).otherwise(0) + F.when(power * 2.0 <= size, 1).otherwise(0)
+    mantissa = (size / F.pow(F.lit(2.0), exponent.cast("double")) - 1.0) * float(1 << 52)
+    normal = (exponent + 1023) * (1 << 52) + mantissa.cast("long")
+    tiny = (size * 2.0 ** 537 * 2.0 ** 537).cast("long")
+    code = (F.when(size == float("inf"), F.lit(2047 << 52)).when(size >= 2.0 ** -1022, normal).otherwise(tiny)).cast("long")
+    signed = F.when(value > 0, code).when(value < 0, -code)
+    # Never null, so join keys need no null filter and equal inputs keep equal plans.
+    return F.coalesce(signed, F.lit(0).cast("long"))
 
 
 def _running(keys: list[str], order: str) -> Column:
@@ -60,30 +62,52 @@ def _running(keys: list[str], order: str) -> Column:
     return F.sum("n").over(window) - F.col("n")
 
 
-def _cells(counts: DataFrame, keys: list[str]) -> DataFrame:
-    bucket = F.floor(F.col("cell") / CELLS_PER_BUCKET)
-    return (counts.groupBy(*keys, "cell").agg(F.sum("n").alias("n"))
-            .withColumn("bucket", F.coalesce(bucket, F.lit(0).cast("long"))))
+def _prefix(shift: int) -> str:
+    return f"prefix_{shift}"
+
+
+def _levels(counts: DataFrame, keys: list[str]) -> list[DataFrame]:
+    """Rows per prefix, from the coarsest level to the finest; each level is summed from the next finer one.
 
+    Each also has the prefix of the level above it, the coarsest only the keys.
+    """
+    levels, source, code = [], counts.withColumn("code", value_code(F.col("value"))), "code"
+    for shift, above in zip(reversed(PREFIX_SHIFTS), [*reversed(PREFIX_SHIFTS[:-1]), None]):
+        taken = 0 if code == "code" else int(code.rpartition("_")[2])
+        source = source.groupBy(*keys, F.shiftright(code, shift - taken).alias(_prefix(shift))).agg(F.sum("n").alias("n"))
+        code = _prefix(shift)
+        levels.append(source if above is None else source.withColumn(_prefix(above), F.shiftright(code, above - shift)))
+    return levels[::-1]
+
+
+def _top(level: DataFrame, keys: list[str]) -> DataFrame:
+    """The coarsest prefixes with the rows below each and the rows of its key; at most 65,536 of a key."""
+    return level.select(*keys, _prefix(PREFIX_SHIFTS[0]), "n", _running(keys, _prefix(PREFIX_SHIFTS[0])).alias("below"),
+                        F.sum("n").over(Window.partitionBy(*keys)).alias("total"))
 
-def _buckets(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Per bucket: its rows, the rows below it and the rows of its key."""
-    return cells.groupBy(*keys, "bucket").agg(F.sum("n").alias("n")).select(
-        *keys, "bucket", "n", _running(keys, "bucket").alias("below"),
-        F.sum("n").over(Window.partitionBy(*keys)).alias("total"))
+
+def _descend(found: DataFrame, level: DataFrame, keys: list[str], prefix: str, order: str, extra: list[str] = ()) -> DataFrame:
+    """The entries of the next finer level below the prefixes `found`, with the rows below each."""
+    known = found.select(*keys, prefix, F.col("below").alias("_below"), "total")
+    below = F.col("_below") + _running([*keys, prefix], order)
+    return level.join(known, [*keys, prefix]).select(*keys, order, "n", below.alias("below"), "total", *extra)
 
 
 def with_ranks(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Add `below` (rows with a smaller value) and `total` (rows of the key) to a distribution."""
-    counts = _with_cells(counts)
-    cells = _cells(counts, keys)
-    buckets = _buckets(cells, keys).withColumnRenamed("below", "bucket_below").drop("n")
-    cells = cells.withColumn("cell_below", _running([*keys, "bucket"], "cell")).drop("n")
-    cells = cells.join(buckets, [*keys, "bucket"]).select(
-        *keys, "cell", (F.col("bucket_below") + F.col("cell_below")).alias("cell_below"), "total")
-    below = F.col("cell_below") + _running([*keys, "cell"], "value")
-    return (counts.join(cells, [*keys, "cell"]).withColumn("below", below)
-            .drop("cell", "cell_below"))
+    return _walk(counts, keys, lambda level: level)
+
+
+def _walk(counts: DataFrame, keys: list[str], choose) -> DataFrame:
+    """From the coarsest prefixes down to the values, through the entries of each level that `choose` keeps."""
+    levels = _levels(counts, keys)
+    found = choose(_top(levels[0], keys))
+    for above, shift, level in zip(PREFIX_SHIFTS, PREFIX_SHIFTS[1:], levels[1:]):
+        found = choose(_descend(found, level, keys, _prefix(above), _prefix(shift)))
+    last = PREFIX_SHIFTS[-1]
+    values = counts.withColumn(_prefix(last), F.shiftright(value_code(F.col("value")), last))
+    extra = [c for c in counts.columns if c not in (*keys, "value", "n")]
+    return choose(_descend(found, values, keys, _prefix(last), "value", extra))
 
 
 def _hits(wanted: Column) -> Column:
@@ -100,21 +124,11 @@ def _interpolation(total: Column, p: float) -> tuple[Column, Column, Column]:
 def quantiles(counts: DataFrame, keys: list[str], probabilities: list[float]) -> DataFrame:
     """(keys..., total, q): exact linearly interpolated quantiles, `q` in the order asked for.
 
-    Only the bucket, and in it the cell, that holds a wanted position is looked into.
+    Only prefixes that hold a wanted position are looked into.
     """
-    counts = _with_cells(counts)
     wanted = F.array_distinct(F.flatten(F.array(*[
         F.array(*_interpolation(F.col("total"), p)[:2]) for p in probabilities])))
-    holds_wanted = F.size(_hits(wanted)) > 0
-    cells = _cells(counts, keys)
-    buckets = (_buckets(cells, keys).where(holds_wanted)
-               .select(*keys, "bucket", F.col("below").alias("bucket_below"), "total"))
-    cells = (cells.join(buckets, [*keys, "bucket"])
-             .withColumn("below", F.col("bucket_below") + _running([*keys, "bucket"], "cell"))
-             .where(holds_wanted)
-             .select(*keys, "cell", F.col("below").alias("cell_below"), "total"))
-    found = (counts.join(cells, [*keys, "cell"])
-             .withColumn("below", F.col("cell_below") + _running([*keys, "cell"], "value"))
+    found = (_walk(counts, keys, lambda level: level.where(F.size(_hits(wanted)) > 0))
              .select(*keys, "total", F.explode(_hits(wanted)).alias("i"), "value"))
     picked = found.groupBy(*keys).agg(
         F.first("total").alias("total"),

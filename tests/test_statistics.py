@@ -7,10 +7,12 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import two_sided_p, weighted_inversions
 from shelfline.operators import association as assoc
 from shelfline.operators import charts, distribution, grouping, summary
+from shelfline.operators.distribution import PREFIX_SHIFTS, quantiles, value_code, with_ranks
 
 
 @pytest.fixture(scope="module")
@@ -154,3 +156,32 @@ def test_group_statistics_skip_null_groups(spark):
     assert rows["c"]["v_count"] == 0 and rows["c"]["v_mean"] is None
     with pytest.raises(ValueError):
         grouping.group_statistics(df, "missing", ["v"])
+
+
+def test_codes_follow_the_order_of_doubles(spark):
+    rng = np.random.default_rng(4)
+    bits = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64).view(np.float64)
+    near = [np.nextafter(2.0 ** k, to) for k in range(-1074, 1024, 7) for to in (0.0, np.inf)]
+    edge = [0.0, -0.0, 5e-324, 2.0 ** -1022, float(np.nextafter(2.0 ** -1022, 0)), 1.7e308, float("inf"), 1.0, 0.1, 99.5, 1.7e12]
+    values = np.unique(np.concatenate([bits[~np.isnan(bits)], near, [2.0 ** k for k in range(-1074, 1024)], edge, -np.array(edge)]))
+    df = spark.createDataFrame([(float(v),) for v in values], "value double")
+    got = np.array([r[0] for r in df.select(value_code(F.col("value"))).collect()])
+    expected = np.abs(values).view(np.int64) * np.where(values < 0, -1, 1)
+    assert (got == expected).all()
+
+
+@pytest.mark.parametrize("low, step", [(1.7e12, 0.25), (99.5, 1e-9)])
+def test_windows_stay_small_whatever_the_values(spark, low, step):
+    counts = spark.range(1_000_000).select(F.lit("k").alias("column"), (F.lit(low) + F.col("id") * step).alias("value"),
+                                           F.lit(1).cast("long").alias("n"))
+    code = value_code(F.col("value"))
+    widths = []
+    for above, finer in zip([None, *PREFIX_SHIFTS], [*PREFIX_SHIFTS, 0]):
+        outer = F.lit(0) if above is None else F.shiftright(code, above)
+        sizes = counts.select(outer.alias("o"), F.shiftright(code, finer).alias("f")).distinct().groupBy("o").count()
+        widths.append(sizes.agg(F.max("count")).first()[0])
+    assert max(widths) <= 65_536
+    got = with_ranks(counts, ["column"]).where("below in (0, 500000, 999999)").orderBy("below").collect()
+    assert [r["below"] for r in got] == [0, 500_000, 999_999] and all(r["total"] == 1_000_000 for r in got)
+    assert got[1]["value"] == low + 500_000 * step
+    assert quantiles(counts, ["column"], [0.5]).first()["q"] == [low + 499_999 * step + (low + 500_000 * step - low - 499_999 * step) * 0.5]
