@@ -31,7 +31,7 @@ def weighted_inversions(first: np.ndarray, second: np.ndarray, weight: np.ndarra
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, by Lentz's method."""
+    """Continued fraction of the incomplete beta function, by Lentz's method; an error if it does not settle."""
     tiny = 1e-300
 
     def away_from_zero(v: float) -> float:
@@ -39,15 +39,15 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
 
     c, d = 1.0, 1.0 / away_from_zero(1.0 - (a + b) * x / (a + 1.0))
     value = d
-    for m in range(1, 500):
+    for m in range(1, 100_000):
         for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
                      -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
             d = 1.0 / away_from_zero(1.0 + step * d)
             c = away_from_zero(1.0 + step / c)
             value *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"no p-value for a={a}, b={b}, x={x}")
 
 
 def two_sided_p(r: float, n: float) -> float | None:

@@ -50,3 +50,15 @@ def with_scalar(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
 def share_pct(part: Column, whole: Column) -> Column:
     """Share rounded to 4 places and then scaled to percent, the order reports use."""
     return F.bround(part / whole, 4) * 100.0
+
+
+def spread_join(big: DataFrame, small: DataFrame, keys: list[str], spread: list[str], how: str = "inner",
+                salts: int = 16) -> DataFrame:
+    """Join rows to facts that `small` has once per key, so that no key's rows meet in one task.
+
+    Rows of `big` are dealt out by a hash of their columns `spread` within each key, and the facts repeated
+    for each part. A key that owns a third of the rows then spans `salts` tasks at any size.
+    """
+    salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return big.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")

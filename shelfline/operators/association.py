@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import weighted_inversions
-from shelfline.functions.numeric import no_nan
+from shelfline.functions.numeric import no_nan, spread_join
 from shelfline.operators.distribution import with_ranks
 from shelfline.schema import MEASURES
+from shelfline.session import materialize
 
 # Rank cells per axis of the Kendall count, and the fewest rows a cell is made for.
 KENDALL_CELLS = 512
@@ -79,8 +80,8 @@ def _ranked_pairs(cells: DataFrame) -> DataFrame:
             *pair, F.col("value").alias(s), F.col("n").alias(f"n_{s}"),
             F.col("below").alias(f"below_{s}"), *keep)
 
-    return (cells.join(side("x", [F.col("total")]), [*pair, "x"])
-            .join(side("y", []), [*pair, "y"]))
+    # A value that many pairs share, as in a column of few values, is spread by the other side's value.
+    return spread_join(spread_join(cells, side("x", [F.col("total")]), [*pair, "x"], ["y"]), side("y", []), [*pair, "y"], ["x"])
 
 
 def _pearson_pairs(df: DataFrame, pairs: list[Pair]) -> DataFrame:
@@ -111,11 +112,12 @@ def _kendall_pairs(df: DataFrame, pairs: list[Pair], cells: int = KENDALL_CELLS,
 
     Both values are cut into rank cells. Two rows in different cells on both axes are judged by a
     matrix of cell counts; rows that share a cell on one axis are counted inside that cell, which
-    holds below two cells' worth of rows unless it is a single value, and that has no such pair.
+    holds below two cells' worth of rows unless it is a single value, and that has no such pair. The ranked
+    pairs are written to the shared folder once when called, as four counts read them.
     """
-    points = _ranked_pairs(contingency(df, pairs)).select(
+    points = materialize(_ranked_pairs(contingency(df, pairs)).select(
         "row", "col", "x", "y", "n", "n_x", "n_y", "total",
-        _rank_cell("x", cells, smallest).alias("cx"), _rank_cell("y", cells, smallest).alias("cy"))
+        _rank_cell("x", cells, smallest).alias("cx"), _rank_cell("y", cells, smallest).alias("cy")), "ranked-pairs")
     discordant = "row string, col string, d double"
 
     def across(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -125,13 +125,15 @@ def interval_topk(candidates: DataFrame, targets: DataFrame, keys: list[str], or
         *keys, "target_price", "kind", "sort", "row", "cell", F.sum(is_price).over(upto).alias("upto"),
         F.sum(is_price).over(cell).alias("size"))
 
-    # Blocks of whole cells have scope -1; blocks of positions inside a cell have it as their scope.
+    # Blocks of whole cells have scope -1; blocks of positions inside a cell have it as their scope. A block of
+    # whole cells needs no more than the k best of each, so only those climb its ladder.
     across, address = F.lit(-1).cast("long"), ["scope", "level", "block"]
-    ladders = F.inline(F.array(
-        F.struct(across.alias("scope"), F.col("cell").alias("position"), F.lit(CELL_LEVELS).alias("top")),
-        F.struct(F.col("cell").alias("scope"), (F.col("upto") - 1).alias("position"),
-                 _levels(F.col("size")).alias("top"))))
-    placed = (numbered.where("kind = 1").select(*keys, "sort", "row", ladders)
+    priced = numbered.where("kind = 1")
+    within = priced.select(*keys, "sort", "row", F.col("cell").alias("scope"), (F.col("upto") - 1).alias("position"),
+                           _levels(F.col("size")).alias("top"))
+    whole = _cut(priced.select(*keys, "cell", "sort", "row"), [*keys, "cell"], order, k).select(
+        *keys, "sort", "row", across.alias("scope"), F.col("cell").alias("position"), F.lit(CELL_LEVELS).alias("top"))
+    placed = (within.unionByName(whole)
               .withColumn("level", F.explode(F.sequence(F.lit(0), F.col("top"))))
               .withColumn("block", F.floor(F.col("position") / _level_size(F.col("level")))))
     blocks = _gather(placed.select(*keys, *address, "sort", "row"), [*keys, *address], order, k)

@@ -49,15 +49,13 @@ def inspect(df: DataFrame, order: list[str] | None = None, head: int = 3, tail:
 def row_versions(df: DataFrame, key: str, columns: list[str] | None = None) -> DataFrame:
     """(key, n): one row per distinct row of `df`, with how often it occurs.
 
-    Rows are counted by a 64-bit fingerprint first. A fingerprint seen once is a row seen once, so
-    only rows that share one are compared in full, and wide text is not shuffled for the others.
+    Rows are the same if their SHA-256 over all columns is; so one shuffle of digests counts them, combined
+    before it, and wide text stays where it is.
     """
     columns = columns or df.columns
-    printed = df.select(*columns, F.xxhash64(*columns).alias("_print"))
-    prints = printed.groupBy("_print").agg(F.count(F.lit(1)).alias("n"), F.first(key).alias(key))
-    shared = printed.join(prints.where("n > 1").select("_print"), "_print", "left_semi")
-    exact = shared.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return prints.where("n = 1").select(key, "n").unionByName(exact.select(key, "n"))
+    digest = F.sha2(F.to_json(F.struct(*columns)), 256)
+    return (df.select(F.col(key), digest.alias("_print")).groupBy("_print")
+            .agg(F.count(F.lit(1)).alias("n"), F.first(key).alias(key)).select(key, "n"))
 
 
 def duplicate_profile(df: DataFrame, key: str = "product_id", columns: list[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.numeric import with_scalar
+from shelfline.functions.numeric import spread_join, with_scalar
 from shelfline.operators.filters import filter_preferences
 from shelfline.operators.interval_topk import Order, best_per_key, interval_topk
 from shelfline.schema import STRATEGIES, RankingWeights, RecommendParams
@@ -17,6 +17,8 @@ BY_RATING = Order((("rating", True),))
 BY_VALUE = Order((("value_score", True),))
 BY_RATING_THEN_CHEAP = Order((("rating", True), ("discounted_price", False)))
 
+# Parts of a target price's rows; each repeats the price's few best candidates.
+PRICE_SALTS = 4
 CANDIDATE_COLUMNS = ["product_id", "main_category", "discounted_price", "rating", "rating_count"]
 
 
@@ -49,7 +51,8 @@ def _same_key(products: DataFrame, key: str, n: int, targets: DataFrame | None,
     """Best n of the same key; one spare candidate makes room for the target itself."""
     candidates = products.where(F.col(key).isNotNull()).select(*dict.fromkeys([*CANDIDATE_COLUMNS, key]))
     best = best_per_key(candidates, [key], BY_RATING_AND_REVIEWS, n + 1)
-    return _unpack(_chosen(products, targets).join(best, key), n, exclude_same=exclude_same)
+    matched = spread_join(_chosen(products, targets), best, [key], ["product_id"])
+    return _unpack(matched, n, exclude_same=exclude_same)
 
 
 def _in_interval(products: DataFrame, keys: list[str], order: Order, low: Column, high: Column, n: int,
@@ -64,7 +67,7 @@ def _in_interval(products: DataFrame, keys: list[str], order: Order, low: Column
     asked = distinct.select(*keys, "target_price", low.alias("low"), high.alias("high"))
     best = interval_topk(pool, asked, keys, order, n + 1)
     matched = chosen.select(*dict.fromkeys(["product_id", "rating", *keys]), F.col("discounted_price").alias("target_price"))
-    return _unpack(matched.join(best, [*keys, "target_price"]), n, keep)
+    return _unpack(spread_join(matched, best, [*keys, "target_price"], ["product_id"], salts=PRICE_SALTS), n, keep)
 
 
 def _times(factor: float) -> Column:
@@ -190,13 +193,13 @@ def _check_preferences(products: DataFrame, category, max_price, min_rating, min
     def within(value, top: float) -> bool:
         return isinstance(value, (int, float)) and 0 <= value <= top
     if max_price is not None and not _positive(max_price):
-        raise ValueError("max_price must be a positive number")
+        raise ValueError(f"a price limit above zero is needed, not {max_price!r}")
     if min_rating is not None and not within(min_rating, 5):
-        raise ValueError("min_rating must be between 0 and 5")
+        raise ValueError(f"ratings go from 0 to 5, so none is at least {min_rating!r}")
     if min_discount is not None and not within(min_discount, 100):
-        raise ValueError("min_discount must be between 0 and 100")
+        raise ValueError(f"discounts go from 0 to 100 percent, so none is at least {min_discount!r}")
     if not isinstance(n, int) or n <= 0:
-        raise ValueError("n must be a positive integer")
+        raise ValueError(f"the number of results is a whole number above zero, not {n!r}")
     if category is not None and products.where(F.col("main_category") == category).limit(1).isEmpty():
         raise ValueError(f"unknown category: {category!r}")
 

@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import types as T
 
+# Column names and lists of the catalog, and the default thresholds and parameters below.
 RAW_COLUMNS = [
     "product_id", "product_name", "category", "discounted_price", "actual_price",
     "discount_percentage", "rating", "rating_count", "about_product", "user_id",

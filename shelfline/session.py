@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-_local_folders: dict[str, str] = {}
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
+_written: dict[str, list[str]] = {}
 
 
 def build_session(app_name: str = "shelfline", master: str | None = None, **conf) -> SparkSession:
@@ -32,7 +33,7 @@ def build_session(app_name: str = "shelfline", master: str | None = None, **conf
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a local session without that setting gets a temporary folder of its own, which ends with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -41,8 +42,8 @@ def shared_folder(spark: SparkSession) -> str:
         raise ValueError("set spark.checkpoint.dir to storage that every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="shelfline-")
-    return _local_folders[app]
+        _local_folders[app] = tempfile.TemporaryDirectory(prefix="shelfline-")
+    return _local_folders[app].name
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -53,4 +54,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Drop the tables that `materialize` wrote in this application, and return how many. Results that read them end."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfline.operators import recommend
+from shelfline.operators import charts, recommend
 from shelfline.operators.interval_topk import Order, interval_topk
 from shelfline.plans.recommendation import save_batch
 from shelfline.schema import STRATEGIES
@@ -135,3 +135,24 @@ def test_sample_per_cluster_repeats(spark):
     _, df = build(spark)
     a, b = (sorted(r["product_id"] for r in recommend.sample_per_cluster(d).collect()) for d in (df, df.repartition(9)))
     assert a == b and len(a) == 2
+
+
+def test_large_sides_are_dealt_by_more_than_the_hot_key(spark):
+    """With joins that can't broadcast, no product meets its category, cluster or price by that key alone."""
+    df = spark.range(2000).select(F.concat(F.lit("p"), "id").alias("product_id"), F.lit("all").alias("main_category"), F.lit(0).alias("cluster"),
+                                  F.when(F.col("id") % 10 > 0, 100.0).otherwise(F.col("id") + 1.0).alias("discounted_price"),
+                                  (F.col("id") % 5).cast("double").alias("rating"), (F.col("id") % 7).cast("double").alias("rating_count"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    try:
+        for rule, key in ((recommend.by_cluster, "cluster"), (recommend.by_category, "main_category"), (recommend.by_price_range, "target_price")):
+            out = rule(df, 3)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            joins = [x for x in plan.split("\n") if "SortMergeJoin" in x]
+            assert any("_salt#" in x for x in joins), (key, joins)
+            assert out.count() > 5000
+        for table in (charts.kde(df, ["rating"]), charts.box_stats(df, ["rating"])):
+            plan = table._jdf.queryExecution().executedPlan().toString()
+            assert any("_salt#" in x for x in plan.split("\n") if "SortMergeJoin" in x)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
