@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 U64 = np.uint64
 
 
