@@ -84,19 +84,38 @@ class Vocabulary:
             for c in piece:
                 node = children.setdefault((node, number[c]), len(children) + 1)
             ends[node] = i, self.weights[piece]
+        # Open addressing with a third of the places in use at most.
+        self.shift = U64(64 - (3 * len(children)).bit_length())
+        size = 1 << (64 - int(self.shift))
+        self.keys, self.child = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
         keys = np.array([n * self.letters + c for n, c in children], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.child = keys[order], np.array(list(children.values()), np.int32)[order]
+        for place, key, child in zip(self._place(keys).tolist(), keys.tolist(), children.values()):
+            while self.keys[place] >= 0:
+                place = (place + 1) % size
+            self.keys[place], self.child[place] = key, child
         self.ending = np.full(len(children) + 1, -1, np.int32)
         self.weight = np.zeros(len(children) + 1)
         for node, (i, w) in ends.items():
             self.ending[node], self.weight[node] = i, w
 
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(U64) * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def step(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
         """The child of each node by a character, or -1."""
         key = node.astype(np.int64) * self.letters + letter
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where((letter >= 0) & (self.keys[at] == key), self.child[at], -1)
+        place = self._place(key)
+        there = self.keys[place]
+        found = np.where(there == key, self.child[place], -1)
+        found[letter < 0] = -1
+        open_ = np.flatnonzero((there != key) & (there >= 0) & (letter >= 0))
+        while len(open_):
+            place[open_] = (place[open_] + 1) % len(self.keys)
+            there = self.keys[place[open_]]
+            hit = there == key[open_]
+            found[open_[hit]] = self.child[place[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return found
 
 
 class Lattices:
@@ -167,7 +186,8 @@ class Lattices:
         whole = total[np.flatnonzero(last)][node]
         share = np.minimum(1 << _BITS, (total / whole * (1 << _BITS)).astype(np.int64))
         share[last] = 1 << _BITS
-        self.shares = (node << _BITS) + share
+        self.shares = share
+        self.first_piece = np.flatnonzero(new)
 
     def sample(self, numbers: np.ndarray, lengths: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Backward sampling: the pieces of each segment in order, and their number per segment."""
@@ -178,7 +198,12 @@ class Lattices:
         while len(active):
             node = self.node_of[first[active] + place[active]]
             draw = (mixed(keys[active] + U64(step)) >> U64(64 - _BITS)).astype(np.int64)
-            edge = np.searchsorted(self.shares, (node << _BITS) + draw, "right")
+            # A node has few pieces, so a step along them is quicker than a search.
+            edge = self.first_piece[node]
+            low = np.flatnonzero(self.shares[edge] <= draw)
+            while len(low):
+                edge[low] += 1
+                low = low[self.shares[edge[low]] <= draw[low]]
             drawn.append((active, self.piece[edge]))
             place[active] = self.back[edge]
             active = active[place[active] > 0]
