@@ -79,7 +79,7 @@ q AS (
 b AS (
     SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (n_words > 1000000)::INT
                  + 8 * (word_chars < 2 * n_words)::INT + 16 * (word_chars > 15 * n_words)::INT
-                 + 32 * (10 * n_symbols > n_words)::INT + 64 * (10 * n_dup_lines > 3 * n_lines)::INT
+                 + 32 * (10 * n_symbols > n_words)::INT + 64 * (2 * n_dup_lines > n_lines AND n_lines >= 6)::INT
                  + 128 * (10 * n_alpha < 7 * n_words)::INT
                  + 256 * (20 * n_distinct < n_words AND n_words < 2000)::INT AS BIGINT) AS failed FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,

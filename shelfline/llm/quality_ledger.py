@@ -41,7 +41,8 @@ RULES = [
     Rule("short_mean_word", "word_chars < 2 * n_words"),
     Rule("long_mean_word", "word_chars > 15 * n_words"),
     Rule("symbols", "10 * n_symbols > n_words"),
-    Rule("repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    # A repeated line or two in a short text is no fault.
+    Rule("repeated_lines", "2 * n_dup_lines > n_lines and n_lines >= 6"),
     Rule("few_letters", "10 * n_alpha_words < 7 * n_words"),
     Rule("few_distinct_words", "20 * n_distinct_words < n_words and n_words < 2000"),
 ]

@@ -34,7 +34,7 @@ def test_measures_agree_with_plain_code(texts, limit):
 
 def test_policies_and_ablations(spark):
     texts = [None, "", "word " * 60, " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}#" for i in range(60)),
-             " ".join(str(i) for i in range(100, 160)), "a b"]
+             " ".join(str(i) for i in range(100, 160)), "a b", "one line\n" * 7, "two\nlines\ntwo"]
     df = spark.createDataFrame([(i, t, -1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int")
     table = q.ledger(df)
     assert table.columns == ["doc_id", *q.MEASURES, "failed"]
@@ -44,7 +44,7 @@ def test_policies_and_ablations(spark):
         failed = [name for name, test in [
             ("few_words", m["n_words"] < 50), ("repeated_windows", 100 * m["n_repeat_words"] > 50 * m["n_words"]),
             ("short_mean_word", m["word_chars"] < 2 * m["n_words"]), ("symbols", 10 * m["n_symbols"] > m["n_words"]),
-            ("few_letters", 10 * m["n_alpha_words"] < 7 * m["n_words"]),
+            ("repeated_lines", 2 * m["n_dup_lines"] > m["n_lines"] >= 6), ("few_letters", 10 * m["n_alpha_words"] < 7 * m["n_words"]),
             ("few_distinct_words", 20 * m["n_distinct_words"] < m["n_words"] < 2000)] if test]
         assert rows[i]["failed"] == q.mask(tuple(failed))
         for p in q.POLICIES:
