@@ -15,9 +15,11 @@ from shelfline.operators.distribution import with_ranks
 from shelfline.schema import MEASURES
 from shelfline.session import materialize
 
-# Rank cells per axis of the Kendall count, and the fewest rows a cell is made for.
+# Rank cells per axis of the Kendall count, and the fewest rows that a cell is made for.
 KENDALL_CELLS = 512
 KENDALL_MIN_CELL = 4096
+# The most distinct value pairs of a cell that one task counts at once.
+KENDALL_LIMIT = 1_000_000
 
 Pair = tuple[str, str]
 
@@ -65,23 +67,22 @@ def contingency(df: DataFrame, pairs: list[Pair]) -> DataFrame:
             .groupBy("row", "col", "x", "y").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _ranked_pairs(cells: DataFrame) -> DataFrame:
-    """Contingency with the count, the rows below and the row total of both values."""
-    pair = ["row", "col"]
+def _ranked_pairs(cells: DataFrame, keys: list[str] = ("row", "col")) -> DataFrame:
+    """Contingency with the count, the rows below and the total of both values, within each key."""
     sides = F.inline(F.array(
         F.struct(F.lit("x").alias("side"), F.col("x").alias("value")),
         F.struct(F.lit("y").alias("side"), F.col("y").alias("value"))))
-    counts = (cells.select(*pair, "n", sides).groupBy(*pair, "side", "value")
+    counts = (cells.select(*keys, "n", sides).groupBy(*keys, "side", "value")
               .agg(F.sum("n").alias("n")))
-    ranked = with_ranks(counts, [*pair, "side"])
+    ranked = with_ranks(counts, [*keys, "side"])
 
     def side(s: str, keep: list[Column]) -> DataFrame:
         return ranked.where(F.col("side") == s).select(
-            *pair, F.col("value").alias(s), F.col("n").alias(f"n_{s}"),
+            *keys, F.col("value").alias(s), F.col("n").alias(f"n_{s}"),
             F.col("below").alias(f"below_{s}"), *keep)
 
     # A value that many pairs share, as in a column of few values, is spread by the other side's value.
-    return spread_join(spread_join(cells, side("x", [F.col("total")]), [*pair, "x"], ["y"]), side("y", []), [*pair, "y"], ["x"])
+    return spread_join(spread_join(cells, side("x", [F.col("total")]), [*keys, "x"], ["y"]), side("y", []), [*keys, "y"], ["x"])
 
 
 def _pearson_pairs(df: DataFrame, pairs: list[Pair]) -> DataFrame:
@@ -106,45 +107,56 @@ def _rank_cell(s: str, cells: int, smallest: int) -> Column:
     return F.floor(F.col(f"below_{s}") / size) * 2 + F.when(F.col(f"n_{s}") >= size, 1).otherwise(0)
 
 
-def _kendall_pairs(df: DataFrame, pairs: list[Pair], cells: int = KENDALL_CELLS,
-                   smallest: int = KENDALL_MIN_CELL) -> DataFrame:
-    """Tau-b. Discordant pairs are counted without forming pairs.
+def _discordant(items: DataFrame, keys: list[str], cells: int, smallest: int, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(keys..., d): weighted pairs of items (x, y, n) whose x and y run against each other; and the ranked items.
 
-    Both values are cut into rank cells. Two rows in different cells on both axes are judged by a
-    matrix of cell counts; rows that share a cell on one axis are counted inside that cell, which
-    holds below two cells' worth of rows unless it is a single value, and that has no such pair. The ranked
-    pairs are written to the shared folder once when called, as four counts read them.
+    Both values are cut into rank cells. Two items in different cells on both axes are judged by a matrix
+    of cell counts. Items that share a cell on one axis are counted inside that cell, which holds below two
+    cells' worth of rows unless it is a single value, and that has no such pair. A cell with more than `limit`
+    items is cut again in the same way, so no task holds more. Ranked items are written once when called.
     """
-    points = materialize(_ranked_pairs(contingency(df, pairs)).select(
-        "row", "col", "x", "y", "n", "n_x", "n_y", "total",
+    points = materialize(_ranked_pairs(items, keys).select(
+        *keys, "x", "y", "n", "n_x", "n_y", "total",
         _rank_cell("x", cells, smallest).alias("cx"), _rank_cell("y", cells, smallest).alias("cy")), "ranked-pairs")
-    discordant = "row string, col string, d double"
+    kinds = {f.name: f.dataType.simpleString() for f in points.schema.fields}
+    schema = ", ".join([f"{k} {kinds[k]}" for k in keys] + ["d double"])
+
+    def row(key: tuple, d: float) -> pd.DataFrame:
+        return pd.DataFrame([(*key[:len(keys)], float(d))], columns=[*keys, "d"])
 
-    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+    def across(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         cx, ix = np.unique(pdf["cx"], return_inverse=True)
         cy, iy = np.unique(pdf["cy"], return_inverse=True)
         grid = np.zeros((len(cx), len(cy)))
         np.add.at(grid, (ix, iy), pdf["n"].to_numpy("float64"))
         left = np.cumsum(grid, axis=0) - grid
         above = np.flip(np.cumsum(np.flip(left, 1), axis=1), 1) - left
-        return pd.DataFrame([(pdf["row"].iloc[0], pdf["col"].iloc[0], float((grid * above).sum()))],
-                            columns=["row", "col", "d"])
-
-    def inside(first: str, second: str):
-        def count(pdf: pd.DataFrame) -> pd.DataFrame:
-            d = weighted_inversions(pdf[first].to_numpy(), pdf[second].to_numpy(), pdf["n"].to_numpy())
-            return pd.DataFrame([(pdf["row"].iloc[0], pdf["col"].iloc[0], d)],
-                                columns=["row", "col", "d"])
-        return count
-
-    grid = points.groupBy("row", "col", "cx", "cy").agg(F.sum("n").alias("n"))
-    same_x = points.where("cx % 2 = 0").select("row", "col", "cx", "x", "y", "n")
-    # Rows of one y cell that also share the x cell were counted there, so x counts by cell here.
-    same_y = points.where("cy % 2 = 0").select("row", "col", "cy", "cx", "y", "n")
-    parts = (grid.groupBy("row", "col").applyInPandas(across, discordant)
-             .unionByName(same_x.groupBy("row", "col", "cx").applyInPandas(inside("x", "y"), discordant))
-             .unionByName(same_y.groupBy("row", "col", "cy").applyInPandas(inside("cx", "y"), discordant)))
-    d = parts.groupBy("row", "col").agg(F.sum("d").alias("d"))
+        return row(key, (grid * above).sum())
+
+    def inside(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return row(key, weighted_inversions(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy()))
+
+    grid = points.groupBy(*keys, "cx", "cy").agg(F.sum("n").alias("n"))
+    parts = grid.groupBy(*keys).applyInPandas(across, schema)
+    # Items of one y cell that also share the x cell were counted there, so x counts by cell here.
+    by_y = points.groupBy(*keys, "cy", F.col("cx").alias("x"), "y").agg(F.sum("n").alias("n"))
+    depth = f"_cell{len(keys)}"
+    for cell, inner in (("cx", points), ("cy", by_y)):
+        inner = inner.where(F.col(cell) % 2 == 0).select(*keys, F.col(cell).alias(depth), F.col("x").cast("double").alias("x"), "y", "n")
+        large = inner.groupBy(*keys, depth).agg(F.count(F.lit(1)).alias("_items")).where(F.col("_items") > limit).drop("_items")
+        if not large.isEmpty():
+            large = materialize(large, "large-cells")
+            deeper, _ = _discordant(inner.join(large, [*keys, depth], "left_semi"), [*keys, depth], cells, smallest, limit)
+            parts = parts.unionByName(deeper.select(*keys, "d"))
+            inner = inner.join(large, [*keys, depth], "left_anti")
+        parts = parts.unionByName(inner.groupBy(*keys, depth).applyInPandas(inside, schema))
+    return parts.groupBy(*keys).agg(F.sum("d").alias("d")), points
+
+
+def _kendall_pairs(df: DataFrame, pairs: list[Pair], cells: int = KENDALL_CELLS,
+                   smallest: int = KENDALL_MIN_CELL, limit: int = KENDALL_LIMIT) -> DataFrame:
+    """Tau-b. Discordant pairs are counted without forming pairs; runs jobs when called."""
+    d, points = _discordant(contingency(df, pairs), ["row", "col"], cells, smallest, limit)
 
     def choose_two(c: Column) -> Column:
         c = c.cast("double")
