@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.numeric import spread_join
 from shelfline.session import materialize
 
 
@@ -52,5 +53,5 @@ def smallest_members(nodes: DataFrame, edges: DataFrame, node: str, least: str,
     linked = connected_components(edges).withColumnsRenamed({"node": "__n", "component": "__c"})
     known = linked.join(nodes.select(F.col(node).alias("__n"), F.col(least).alias("__l")), "__n")
     joint = known.groupBy("__c").agg(F.min("__l").alias("__joint"))
-    found = known.join(joint, "__c").select(F.col("__n").alias(node), "__joint")
+    found = spread_join(known, joint, ["__c"], ["__n"]).select(F.col("__n").alias(node), "__joint")
     return nodes.join(found, node, "left").select(node, F.coalesce("__joint", least).alias(name))

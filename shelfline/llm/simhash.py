@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.functions.numeric import spread_join
 from shelfline.llm.arrays import Run, lowered, map_runs, words
 from shelfline.llm.components import smallest_members
 from shelfline.session import materialize
@@ -107,7 +108,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     table = materialize(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text")),
                                      "__text", ["doc_id"], size=size), "simhash")
     groups = fingerprint_components(table, "doc_id", radius=radius)
-    return table.join(groups, "fingerprint").select(
+    # Copies share a fingerprint, so their rows are dealt out within it.
+    return spread_join(table, groups, ["fingerprint"], ["doc_id"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"))
 
