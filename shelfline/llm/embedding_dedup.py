@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.numeric import spread_join
 from shelfline.llm.components import smallest_members
 from shelfline.session import materialize
 
@@ -200,7 +201,7 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
                                   F.col("node").alias("a"), F.col("joined").alias("b")), "node", "least")
     facts = (nodes.select("node", "copies").join(counts, "node", "left").join(joined, "node")
              .select("node", "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    linked = members.select("vec_id", "node").join(facts, "node").select(
+    linked = spread_join(members.select("vec_id", "node"), facts, ["node"], ["vec_id"]).select(
         "vec_id", "n_links", F.col("component").alias("component_id"))
     alone = given.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
