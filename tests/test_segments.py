@@ -2,8 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from shelfline import session
 from shelfline.operators import segments
 from shelfline.plans.segmentation import segment_catalog
 from shelfline.schema import SEGMENT_FEATURES
@@ -139,3 +141,39 @@ def test_segmentation_end_to_end(spark, catalog, tmp_path):
     assert all(np.allclose(r["features"].toArray(), whole[r["product_id"]].toArray()) for r in few.collect())
     near = segments.representatives(vectors, result.fit.model, 2).collect()
     assert len(near) == 6 and all(r["distance"] >= 0 for r in near)
+
+
+def test_sweep_names_its_metric_and_gives_both(spark):
+    rows = [(f"p{i}", Vectors.dense([float(i % 2) * 10 + (i % 5) * 0.1, float(i % 3)])) for i in range(60)]
+    vectors = spark.createDataFrame(rows, ["product_id", "features"]).cache()
+    both = segments.sweep_k(vectors, [2, 3], restarts=2, metric="both").collect()
+    assert [r["metric"] for r in both] == ["squared_euclidean"] * 2
+    plain = {r["k"]: r for r in segments.sweep_k(vectors, [2, 3], restarts=2, metric="euclidean").collect()}
+    for r in both:
+        assert plain[r["k"]]["metric"] == "euclidean"
+        assert r["silhouette_euclidean"] == pytest.approx(plain[r["k"]]["silhouette"], abs=1e-9)
+        assert r["silhouette"] > r["silhouette_euclidean"]
+    vectors.unpersist()
+
+
+def test_blocks_do_not_change_the_plain_silhouette(spark):
+    rows = [(i % 3, [float(i % 3) * 4 + (i * 37 % 11) / 7, float(i * 13 % 5)]) for i in range(90)]
+    df = spark.createDataFrame(rows, "cluster int, features array<double>")
+    one, many = (segments.silhouette_euclidean(df, rows_per_block=n).first()[0] for n in (1000, 17))
+    x, c = np.array([r[1] for r in rows]), np.array([r[0] for r in rows])
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    scores = []
+    for i in range(len(x)):
+        a = d[i][c == c[i]].sum() / ((c == c[i]).sum() - 1)
+        b = min(d[i][c == k].mean() for k in set(c) - {c[i]})
+        scores.append((b - a) / max(a, b))
+    assert one == pytest.approx(np.mean(scores), abs=1e-9) and many == pytest.approx(one, abs=1e-9)
+
+
+def test_released_tables_are_gone(spark, monkeypatch):
+    monkeypatch.setattr(session, "_written", {})
+    df = session.materialize(spark.range(5), "short-lived")
+    path = df.inputFiles()[0]
+    assert df.count() == 5 and session.release(spark) == 1 and session.release(spark) == 0
+    with pytest.raises(Exception):
+        spark.read.schema("id long").parquet(path).count()
