@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from shelfline.functions.numeric import spread_join
 from shelfline.llm.components import smallest_members
@@ -86,7 +87,7 @@ def _lists(nodes: DataFrame, plan: dict) -> DataFrame:
                     at = pa.array(cut)
                     vectors = np.stack(names[4].take(at).to_numpy(zero_copy_only=False)).astype(np.float64)
                     prefix, line = _signatures(vectors, plan)
-                    own = [np.frombuffer(v, np.uint8) for v in vectors.astype(np.float64)]
+                    own = vectors.astype(plan["kind"])
                     bodies = pa.array([b"".join((prefix[i].tobytes(), line[i].tobytes(), own[i].tobytes()))
                                        for i in range(len(cut))], pa.binary())
                     for t in range(plan["tables"]):
@@ -107,7 +108,7 @@ def _linked(table: pa.Table, plan: dict, threshold: float) -> pa.Table:
     width = 4 * plan["tables"]
     prefix = np.ascontiguousarray(body[:, :width]).view(np.int32)
     line = np.ascontiguousarray(body[:, width:2 * width]).view(np.float32).astype(np.float64)
-    vectors = np.ascontiguousarray(body[:, 2 * width:]).view(np.float64).reshape(-1, length)
+    vectors = np.ascontiguousarray(body[:, 2 * width:]).view(plan["kind"]).astype(np.float64).reshape(-1, length)
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     side, across = table.column("side").to_numpy(), table.column("low")[0].as_py() != table.column("high")[0].as_py()
     copies = table.column("copies").to_numpy()
@@ -177,7 +178,9 @@ def near_duplicates(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedd
         F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"),
         F.first("vector").alias("vector")).withColumn("length", F.size("vector")), "vector-nodes")
     largest = nodes.groupBy("label", "length").count().agg(F.max("count")).first()[0] or 0
-    plan = calibrate(largest, threshold, recall)
+    # Floats travel as floats, which loses nothing.
+    single = isinstance(df.schema[vector].dataType.elementType, FloatType)
+    plan = calibrate(largest, threshold, recall) | {"kind": "f4" if single else "f8"}
     keys = ["label", "length", "table", "head"]
     lists = materialize(_lists(nodes, plan), "vector-lists")
     long = lists.groupBy(*keys).count().where(F.col("count") > block_rows).select(
