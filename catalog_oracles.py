@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+# Column names and labels of the catalog.
 MEASURES = ["actual_price", "discounted_price", "discount_percentage", "rating", "rating_count"]
 DERIVED = ["price_savings", "discount_depth", "price_ratio", "category_depth", "log_rating_count",
            "log_discounted_price", "log_actual_price", "review_count_parsed", "avg_review_length"]

@@ -20,7 +20,8 @@ from shelfline.operators.distribution import grouped_quantiles
 from shelfline.operators.features import add_discount_band
 from shelfline.operators.grouping import group_statistics, require_columns
 from shelfline.schema import (
-    BAND_LABELS, DASHBOARD_MEASURES, PROFILE_FEATURES, SEGMENT_FEATURES, SEGMENT_NAMES, LabelThresholds,
+    BAND_LABELS, DASHBOARD_MEASURES, LABEL_WORDS, PLAIN_LABEL, PROFILE_FEATURES, SEGMENT_FEATURES, SEGMENT_NAMES, TIER_WORDS,
+    LabelThresholds,
 )
 
 
@@ -307,16 +308,16 @@ def _beyond(gap: Column, threshold: float, above: str, below: str) -> Column:
 def segment_label(features: list[str], t: LabelThresholds = LabelThresholds()) -> Column:
     """Label of a row of cluster means from its distinctive levels only."""
     price = "log_discounted_price" if "log_discounted_price" in features else "discounted_price"
-    levels = [_beyond(_relative(price), t.price, "High-Price", "Low-Price")]
+    levels = [_beyond(_relative(price), t.price, *LABEL_WORDS["price"])]
     if "discount_percentage" in features:
-        levels.append(_beyond(_relative("discount_percentage"), t.discount, "High-Discount", "Low-Discount"))
+        levels.append(_beyond(_relative("discount_percentage"), t.discount, *LABEL_WORDS["discount"]))
     if "rating" in features:
         gap = F.col("mean_rating") - F.col("all_rating")
-        levels.append(_beyond(gap, t.rating, "High-Rating", "Low-Rating"))
+        levels.append(_beyond(gap, t.rating, *LABEL_WORDS["rating"]))
     if "log_rating_count" in features:
-        levels.append(_beyond(_relative("log_rating_count"), t.popularity, "Popular", "Niche"))
+        levels.append(_beyond(_relative("log_rating_count"), t.popularity, *LABEL_WORDS["popularity"]))
     joined = F.concat_ws(" / ", *levels)
-    return F.when(joined == "", "Average").otherwise(joined)
+    return F.when(joined == "", PLAIN_LABEL).otherwise(joined)
 
 
 def interpret_clusters(df: DataFrame, features: list[str] = SEGMENT_FEATURES,
@@ -349,14 +350,13 @@ def composition(df: DataFrame, by: str = "main_category", values: list[str] | No
     """(cluster, by, count, pct_in_cluster, pct_in_<by>) with every combination present."""
     known = df.where(F.col("cluster").isNotNull() & F.col(by).isNotNull())
     counts = known.groupBy("cluster", by).agg(F.count(F.lit(1)).alias("count"))
-    clusters = counts.select("cluster").distinct()
     if values is None:
-        # Each cluster row carries the list of the few distinct labels, so no join forms the grid.
-        labels = F.col("_labels")
-        clusters = with_scalar(clusters, counts.agg(F.sort_array(F.collect_set(by)).alias("v")), "_labels")
+        # Each label carries the list of clusters, one entry per cluster, so no join forms the grid.
+        labels = with_scalar(counts.select(by).distinct(), counts.agg(F.sort_array(F.collect_set("cluster")).alias("v")), "_clusters")
+        grid = labels.select(F.explode("_clusters").alias("cluster"), by)
     else:
         labels = F.array(*[F.lit(v) for v in values])
-    grid = clusters.select("cluster", F.explode(labels).alias(by))
+        grid = counts.select("cluster").distinct().select("cluster", F.explode(labels).alias(by))
     full = grid.join(counts, ["cluster", by], "left").fillna(0, ["count"])
     in_cluster = F.sum("count").over(Window.partitionBy("cluster"))
     in_label = F.sum("count").over(Window.partitionBy(by))
@@ -397,8 +397,10 @@ def tier(label: Column) -> Column:
         for w in words:
             found = found | label.contains(w)
         return found
-    return (F.when(says("Average", "Mid"), "mainstream").when(says("Low-Rating", "Low-Price"), "budget")
-            .when(says("High-Price", "Low-Discount"), "premium"))
+    found = F.lit(None).cast("string")
+    for name, words in reversed(TIER_WORDS.items()):
+        found = F.when(says(*words), name).otherwise(found)
+    return found
 
 
 def cluster_facts(df: DataFrame, features: list[str] = SEGMENT_FEATURES, above_pct: float = 5.0) -> DataFrame:

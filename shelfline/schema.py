@@ -76,6 +76,16 @@ STRATEGIES = [
 SEGMENT_NAMES = {0: "Mainstream", 1: "Budget/Deep-Discount", 2: "Premium"}
 SEGMENT_BOOSTS = {0: 0.1, 1: 0.05, 2: 0.0}
 
+# Words of segment labels, (above, below) the average, and market tiers by words of the label, in order.
+LABEL_WORDS = {
+    "price": ("High-Price", "Low-Price"), "discount": ("High-Discount", "Low-Discount"),
+    "rating": ("High-Rating", "Low-Rating"), "popularity": ("Popular", "Niche"),
+}
+PLAIN_LABEL = "Average"
+TIER_WORDS = {
+    "mainstream": ("Average", "Mid"), "budget": ("Low-Rating", "Low-Price"), "premium": ("High-Price", "Low-Discount"),
+}
+
 
 @dataclass(frozen=True)
 class FeatureThresholds:

@@ -11,7 +11,7 @@ from shelfline.plans.segmentation import segment_catalog
 from shelfline.schema import SEGMENT_FEATURES
 from shelfline.sources.tables import read_model, write_model
 
-# Known result of the K sweep: k, inertia, silhouette.
+# Fixed values, a known result of the K sweep: k, inertia, silhouette.
 SWEEP = [(2, 6483.67, .2118), (3, 5243.38, .2188), (4, 4318.21, .2317), (5, 3693.07, .2286), (6, 3299.61, .2225),
          (7, 2942.85, .2349), (8, 2725.19, .2305), (9, 2512.65, .2280), (10, 2350.26, .2220)]
 
