@@ -32,13 +32,12 @@ RADIUS = 2
 SEED = 42
 
 
-def run_fingerprints(run: Run, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """The fingerprint of each row as a signed 64-bit number."""
-    result = np.zeros(run.rows, np.int64)
+def shingle_hashes(run: Run, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The XXH64 values of the shingles of all rows in order, and their number per row."""
     data = lowered(run.data)
     starts, ends, rows = words(run, data)
     if not len(starts):
-        return result
+        return np.zeros(0, np.uint64), np.zeros(run.rows, np.int64)
     # The words of all rows with one space after each.
     lengths = ends - starts + 1
     to = np.cumsum(lengths) - lengths
@@ -48,12 +47,21 @@ def run_fingerprints(run: Run, size: int = SHINGLE_WORDS) -> np.ndarray:
     counts = np.bincount(rows, minlength=run.rows)
     first = np.cumsum(counts) - counts
     n = np.where(counts >= size, counts - size + 1, np.minimum(counts, 1))
-    full = n > 0
     begin = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
     end = np.minimum(begin + size, np.repeat(first + counts, n)) - 1
     raw, digest = spaced.tobytes(), xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in zip(to[begin].tolist(), (to + lengths - 1)[end].tolist())),
                          np.uint64, len(begin))
+    return hashes, n
+
+
+def run_fingerprints(run: Run, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """The fingerprint of each row as a signed 64-bit number."""
+    result = np.zeros(run.rows, np.int64)
+    hashes, n = shingle_hashes(run, size)
+    if not len(hashes):
+        return result
+    full = n > 0
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     set_ = np.add.reduceat(bits, (np.cumsum(n) - n)[full], axis=0, dtype=np.int64)
     packed = np.packbits(2 * set_ > n[full][:, None], axis=1)
