@@ -5,12 +5,13 @@ they always stay. Generators with high recall propose further spans of each kind
 surrounds an at sign, spelt-out addresses, and every run of digits and their usual separators. Gradient
 boosted trees score a proposal by its format and its context. They are trained by the base spans, which
 agree with some proposals, without the features that decide a base match (a leading plus, the Luhn sum,
-parts up to 255), so that they carry over to proposals that only look alike. Proposals held out from
-training calibrate a threshold for each kind: the lowest score above which `PRECISION` of at least
+parts up to 255), so that they carry over to proposals that only look alike. The proposals of all rows
+calibrate a threshold for each kind: the lowest score above which `PRECISION` of at least
 `LEAST_FOUND` proposals agree with a base span. Without such a score a kind gets nothing added.
 
-The trees are trained on about `TRAINING_DOCS` rows, picked by a hash of id and text; that bound is a
-parameter. Every whole text is searched.
+The trees are fitted to about `TRAINING_DOCS` rows, picked by a hash of id and text; that bound is a
+parameter. Thresholds come from counts by kind and score, in steps of 1 / `SCORE_STEPS`, over the whole table.
+Every whole text is searched.
 
 Defined cases: a null text is empty. Repeated rows are searched one by one. If base spans agree with no
 or with all proposals, nothing is added. Offsets count code points, ends are exclusive. Other columns
@@ -38,6 +39,7 @@ KINDS = ["email", "ip", "card", "phone"]
 TRAINING_DOCS = 20_000
 PRECISION = 0.98
 LEAST_FOUND = 20
+SCORE_STEPS = 1 << 16
 TREES, DEPTH = 10, 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -202,7 +204,7 @@ def _tree_arrays(weight: float, tree) -> tuple:
 
 
 def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int = TRAINING_DOCS) -> PiiModel:
-    """Trees and thresholds from proposals in about `docs` rows. Runs jobs when called."""
+    """Trees from proposals in about `docs` rows, thresholds from those of all rows. Runs jobs when called."""
     share = 1 << 20
     total = df.count()
     below = min(share, -(-share * docs // max(1, total)))
@@ -212,41 +214,61 @@ def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int =
     def task(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                x, y, kinds, held = [], [], [], []
+                x, y = [], []
                 for t in batch.column(1).slice(start, 256).to_pylist():
                     base = set(base_spans(t))
                     for s in proposals(t):
-                        x.append(features(t, s))
-                        y.append(float(s in base))
-                        kinds.append(s[1])
-                        held.append(hashlib.md5(t[s[0]:s[2]].encode()).digest()[0] % 4 == 0)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64()), pa.array(kinds, pa.int32()),
-                     pa.array(held, pa.bool_())], names=["x", "label", "kind", "held"])
-
-    table = materialize(picked.mapInArrow(task, "x array<double>, label double, kind int, held boolean"), "pii-proposals")
-    fitting = table.where("not held")
+                        if hashlib.md5(t[s[0]:s[2]].encode()).digest()[0] % 4:
+                            x.append(features(t, s))
+                            y.append(float(s in base))
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())],
+                                                 names=["x", "label"])
+
+    # A quarter of the strings proposed is kept out of the fit.
+    fitting = materialize(picked.mapInArrow(task, "x array<double>, label double"), "pii-proposals")
     if fitting.select("label").distinct().count() < 2:
         return PiiModel()
     fitted = GBTClassifier(featuresCol="v", labelCol="label", maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=1).fit(
         fitting.select("label", array_to_vector("x").alias("v")))
     model = PiiModel(trees=[_tree_arrays(w, t) for w, t in zip(fitted.treeWeights, fitted.trees)])
-    held = table.where("held").toArrow()
-    if held.num_rows:
-        x = np.array(held.column("x").to_pylist())
-        scores, label, kind = model.scores(x), held.column("label").to_numpy(), held.column("kind").to_numpy()
-        model.thresholds = [_calibrated(scores[kind == k], label[kind == k]) for k in range(len(KINDS))]
+    counts = score_counts(df, model, text).toArrow()
+    kind, step, n, right = (counts.column(c).to_numpy() for c in ("kind", "step", "n", "n_right"))
+    model.thresholds = [_calibrated(step[kind == k], n[kind == k], right[kind == k]) for k in range(len(KINDS))]
     return model
 
 
-def _calibrated(scores: np.ndarray, label: np.ndarray) -> float:
+def score_counts(df: DataFrame, model: PiiModel, text: str = "text") -> DataFrame:
+    """(kind, step, n, n_right): the proposals of all rows by kind and score, and how many of them are base spans."""
+    def task(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                x, keys, right = [], [], []
+                for t in batch.column(0).slice(start, 256).to_pylist():
+                    found = proposals(t)
+                    base = set(base_spans(t)) if found else ()
+                    for s in found:
+                        x.append(features(t, s))
+                        keys.append(s[1])
+                        right.append(s in base)
+                if x:
+                    steps = np.floor(model.scores(np.array(x)) * SCORE_STEPS).astype(np.int64)
+                    found, place = np.unique(np.array(keys) * (SCORE_STEPS + 1) + steps, return_inverse=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array((found // (SCORE_STEPS + 1)).astype(np.int32)), pa.array((found % (SCORE_STEPS + 1)).astype(np.int32)),
+                         pa.array(np.bincount(place)), pa.array(np.bincount(place, right).astype(np.int64))],
+                        names=["kind", "step", "n", "n_right"])
+
+    given = df.select(F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
+    return given.mapInArrow(task, "kind int, step int, n long, n_right long").groupBy("kind", "step").agg(
+        F.sum("n").alias("n"), F.sum("n_right").alias("n_right"))
+
+
+def _calibrated(steps: np.ndarray, counts: np.ndarray, rights: np.ndarray) -> float:
     """The lowest score from which on enough of the proposals are right, or infinity."""
-    order = np.argsort(-scores)
-    s, right = scores[order], np.cumsum(label[order])
-    n = np.arange(1, len(s) + 1)
-    last_of_tie = np.append(s[1:] != s[:-1], True)[:len(s)]
-    good = (right >= PRECISION * n) & (n >= LEAST_FOUND) & last_of_tie
-    return float(s[np.flatnonzero(good)[-1]]) if good.any() else float("inf")
+    order = np.argsort(-steps)
+    n, right = np.cumsum(counts[order]), np.cumsum(rights[order])
+    good = (right >= PRECISION * n) & (n >= LEAST_FOUND)
+    return float(steps[order][np.flatnonzero(good)[-1]] / SCORE_STEPS) if good.any() else float("inf")
 
 
 def find(df: DataFrame, model: PiiModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -76,6 +76,28 @@ def test_trees_add_spans_that_look_alike(spark):
         assert base == plain(text) and set(base) <= set(every)
 
 
+def test_thresholds_cover_all_rows(spark):
+    """Kinds that the fitted sample has too few of are calibrated by the whole table."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(6000):
+        phone = f"phone +1 ({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)} now" if i % 12 == 0 else "words"
+        rows.append((i, f"words call {phone}, order 2024-{rng.integers(10, 99)}-11-22-{rng.integers(10, 99)} x a{i}@b.example.com"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.train(df, docs=600)
+    counts = {}
+    for r in pii.score_counts(df, model).collect():
+        n, right = counts.get(r["kind"], (0, 0))
+        counts[r["kind"]] = n + r["n"], right + r["n_right"]
+    found = [(s, t) for _, t in rows for s in pii.proposals(t)]
+    for k in range(len(pii.KINDS)):
+        own = [s in pii.base_spans(t) for s, t in found if s[1] == k]
+        assert counts.get(k, (0, 0)) == (len(own), sum(own))
+    # Some fifty of them are in the sample, so some twelve were held out.
+    assert counts[3][1] == 500 and model.thresholds[3] <= 1
+    assert pii._calibrated(np.array([5, 9, 1]), np.array([1, 98, 40]), np.array([1, 97, 0])) == 5 / pii.SCORE_STEPS
+
+
 def test_tree_arrays_score_as_the_library_does(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
