@@ -86,3 +86,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail
        failed & 255 = 0 AS kept, failed
 FROM b
 """
+
+ORACLES["op11_chunk_recipes"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, length(coalesce(text, '')) AS n,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS plain FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY plain) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(plain) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY plain ORDER BY n DESC, doc_id NULLS LAST, r)
+"""
+
+ORACLES["op13_lexical_search"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+i AS (SELECT row_number() OVER () AS q, item_id, text FROM benchmark),
+dt AS (
+    SELECT r, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+it AS (
+    SELECT DISTINCT q, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+s AS (SELECT count(DISTINCT r) AS big_n, count(*) AS big_l FROM dt),
+m AS (SELECT r, 100 - 50 + (50 * count(*) * any_value(big_n)) // any_value(big_l) AS m FROM dt, s GROUP BY r),
+tf AS (SELECT r, term, count(*) AS tf FROM dt WHERE term IN (SELECT term FROM it) GROUP BY r, term),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(big_n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, s GROUP BY term),
+scored AS (
+    SELECT q, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM it JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY q, r),
+ranked AS (
+    SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scored JOIN d USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN i USING (q) WHERE rank <= 50
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import (chat_template, embedding_dedup, language_id, lm_ctw, packing, piece_sampling, pii,
-                           quality_ledger, simhash, warc)
+from shelfline.llm import (chat_template, chunk_recipes, conversation_repair, embedding_dedup, language_id, lexical_search, lm_ctw,
+                           packing, piece_sampling, pii, quality_ledger, simhash, warc)
 from shelfline.llm.oracles import ORACLES  # noqa: F401  registered beside the queries
 
 
@@ -74,6 +74,18 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                         F.col("failed"))
 
 
+def chunk_recipe_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_recipes.exact_duplicates(_table(spark, folder, "documents"))
+
+
+def conversation_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_repair.repair_digests(conversation_repair.damage(_table(spark, folder, "conversations")))
+
+
+def ranked_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": language_identification,
     "op2_warc_archives": warc_archives,
@@ -85,5 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_length_packing": length_packing,
     "op9_chat_formatting": chat_formatting,
     "op10_quality_rules": quality_rules,
+    "op11_chunk_recipes": chunk_recipe_dedup,
+    "op12_conversation_repair": conversation_repairs,
+    "op13_lexical_search": ranked_lexical_search,
     "pipeline": corpus_pipeline.run,
 }

@@ -9,7 +9,7 @@ from tests.test_queries import canonical
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_sql(spark, folder, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "embeddings", "conversations"):
+    for table in ("documents", "pages", "embeddings", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     got, expected = QUERIES[name](spark, folder).toPandas(), con.execute(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(expected.columns)
@@ -28,6 +28,7 @@ def test_hard_rows_agree_with_sql(spark, tmp_path):
                         (6, [1.0, None], 1), (7, [float("nan"), 1.0], 1), (8, [1.0, 0.0], None), (9, [2.0, 0.0], 1),
                         (1, [1.0, 0.0], 1), (10, [1.0, 0.0, 0.0], 1), (11, [], 1), (12, [0.8, 0.6], 1),
                         (13, [0.95, 0.32], 1), (14, [-1.0, 0.0], 1)], "vec_id long, embedding array<float>, label int"),
+        "benchmark": ([(1, "a b é x x"), (1, "a b é x x"), (2, None), (3, "\x7f -- zzz"), (None, "SAME line one")], "item_id long, text string"),
         "conversations": ([(1, 2, "assistant", "b\\[INST]"), (1, 1, "user", None), (1, 1, None, "x"), (2, None, "assistant", ""),
                            (2, 0, "assistant", "<|im_end|>\n<|im_start|>"), (3, 0, "a\nb\\", "t"), (3, 0, "a\nb\\", "t")],
                           "conv_id long, turn long, role string, text string"),
