@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -23,6 +24,7 @@ from shelfline.schema import (
     BAND_LABELS, DASHBOARD_MEASURES, LABEL_WORDS, PLAIN_LABEL, PROFILE_FEATURES, SEGMENT_FEATURES, SEGMENT_NAMES, TIER_WORDS,
     LabelThresholds,
 )
+from shelfline.session import materialize
 
 
 def select_features(df: DataFrame, features: list[str] = SEGMENT_FEATURES) -> DataFrame:
@@ -98,10 +100,15 @@ def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, pa
         return list(pool.map(lambda job: _fit_one(vectors, job[0], job[1], max_iter), jobs))
 
 
+def train_many(vectors: DataFrame, k: int, seeds: list[int], max_iter: int = 300, parallelism: int = 8) -> list[Fit]:
+    """One fit for each seed. `vectors` should be cached or written."""
+    return _fit_many(vectors, [(k, seed) for seed in seeds], max_iter, parallelism)
+
+
 def train_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 20, max_iter: int = 300,
                  parallelism: int = 8) -> Fit:
     """Best of several seeded starts by training cost. `vectors` should be cached or written."""
-    fits = _fit_many(vectors, [(k, seed + i) for i in range(restarts)], max_iter, parallelism)
+    fits = train_many(vectors, k, [seed + i for i in range(restarts)], max_iter, parallelism)
     return min(fits, key=lambda f: (f.cost, f.seed))
 
 
@@ -129,6 +136,8 @@ def sweep_k(vectors: DataFrame, ks=range(2, 11), seed: int = 42, restarts: int =
 def silhouette(assigned: DataFrame, metric: str = "squared_euclidean") -> float:
     if metric == "euclidean":
         return float(silhouette_euclidean(assigned).first()["silhouette"])
+    if metric == "euclidean_sampled":
+        return float(silhouette_sampled(assigned).first()["silhouette"])
     if metric == "squared_euclidean":
         metric = "squaredEuclidean"
     return float(ClusteringEvaluator(featuresCol="features", predictionCol="cluster", metricName="silhouette",
@@ -166,55 +175,141 @@ def _mean_silhouette(rows: DataFrame, weight: Column | None = None) -> DataFrame
     return scored.agg((F.sum(F.col("s") * F.col("w")) / F.sum("w")).alias("silhouette"))
 
 
-def silhouette_euclidean(assigned: DataFrame, features: str = "features", cluster: str = "cluster",
-                         rows_per_block: int = 20000) -> DataFrame:
-    """Exact mean silhouette under plain distances.
+def _points(assigned: DataFrame, features: str, cluster: str, *more: Column) -> DataFrame:
+    """(own, p, more...): the cluster and the coordinates as an array."""
+    p = vector_to_array(features) if dict(assigned.dtypes)[features] == "vector" else F.col(features)
+    return assigned.select(F.col(cluster).alias("own"), p.alias("p"), *more)
+
+
+def _distance_sums(left: DataFrame, right: DataFrame, blocks: int) -> DataFrame:
+    """(left..., cluster, part, d, m): for each row of `left` (own, p, ...), the summed distances to the rows of each
+    cluster and part of `right` (cluster, part, p, n), `n` being how often a row counts, and their number.
 
-    Every row must meet every other, so the work is quadratic by definition. Rows are hashed into
-    blocks and each pair of blocks is one task, which adds up distances per row and cluster; no pair
-    of rows is ever emitted and no task holds more than two blocks.
+    Rows of both sides are hashed into blocks. Each pair of blocks is one task, which adds up distances per
+    row, cluster and part; no pair of rows is ever emitted and no task holds more than two blocks.
     """
-    points = assigned.select(F.col(cluster).alias("own"), vector_to_array(features).alias("p")
-                             if dict(assigned.dtypes)[features] == "vector" else F.col(features).alias("p"))
-    # The number of rows is needed to lay out the blocks, so this counts them when called.
-    blocks = max(1, -(-points.count() // rows_per_block))
-    # Equal points are interchangeable, so distinct points with counts stand for all of them.
-    points = (points.groupBy("own", "p").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("block", F.pmod(F.xxhash64("own", "p"), F.lit(blocks))))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = points.withColumn("other", others)
-    right = points.withColumn("other", F.col("block")).withColumn("block", others)
-
-    def add_up(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"own": [], "p": [], "n": [], "cluster": [], "d": []})
-        x, y = np.stack(a["p"].to_numpy()), np.stack(b["p"].to_numpy())
-        weight, labels = b["n"].to_numpy("float64"), b["own"].to_numpy()
-        y_squares = (y ** 2).sum(axis=1)
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    def dealt(df: DataFrame) -> Column:
+        # Both sides' keys are of one type, or equal keys would be dealt apart.
+        return F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int")
+
+    a = left.withColumn("_block", dealt(left)).withColumn("_other", every)
+    b = right.withColumn("_other", dealt(right)).withColumn("_block", every)
+    given = left.columns
+    out = [*given, "cluster", "part", "d", "m"]
+
+    def add_up(x_rows: pd.DataFrame, y_rows: pd.DataFrame) -> pd.DataFrame:
+        if x_rows.empty or y_rows.empty:
+            return pd.DataFrame({c: pd.Series([], dtype="object") for c in out})
+        x, y = np.stack(x_rows["p"].to_numpy()), np.stack(y_rows["p"].to_numpy())
+        weight = y_rows["n"].to_numpy("float64")
+        groups = list(y_rows.groupby(["cluster", "part"], sort=True).indices.items())
         parts = []
         for lo in range(0, len(x), 256):
             chunk = x[lo:lo + 256]
-            # |x - y|^2 by a matrix product needs one matrix of distances and no copy per feature.
-            squares = (chunk ** 2).sum(axis=1)[:, None] + y_squares - 2.0 * (chunk @ y.T)
-            gap = np.sqrt(np.maximum(squares, 0.0)) * weight
-            for label in np.unique(labels):
-                part = a.iloc[lo:lo + 256][["own", "p", "n"]].copy()
-                part["cluster"], part["d"] = label, gap[:, labels == label].sum(axis=1)
+            # Differences and not products of coordinates, so that near points keep their digits.
+            squares = np.zeros((len(chunk), len(y)))
+            for k in range(x.shape[1]):
+                squares += (chunk[:, k, None] - y[:, k]) ** 2
+            gap = np.sqrt(squares) * weight
+            for (label, piece), at in groups:
+                part = x_rows.iloc[lo:lo + 256][given].copy()
+                part["cluster"], part["part"] = label, piece
+                part["d"], part["m"] = gap[:, at].sum(axis=1), int(weight[at].sum())
                 parts.append(part)
         return pd.concat(parts)
 
-    kind = dict(assigned.dtypes)[cluster]
-    sums = (left.groupBy("block", "other").cogroup(right.groupBy("block", "other"))
-            .applyInPandas(add_up, f"own {kind}, p array<double>, n long, cluster {kind}, d double"))
-    sizes = points.groupBy(F.col("own").alias("cluster")).agg(F.sum("n").alias("size"))
-    per_point = (sums.groupBy("own", "p", "n", "cluster").agg(F.sum("d").alias("d"))
-                 .join(F.broadcast(sizes), "cluster")
-                 .groupBy("own", "p", "n").agg(F.collect_list(F.struct(
-                     "cluster", F.col("size").alias("n"), "d")).alias("sums")))
+    kinds = dict(left.dtypes)
+    schema = ", ".join([f"{c} {kinds[c]}" for c in given] + [f"cluster {dict(right.dtypes)['cluster']}", "part int", "d double", "m long"])
+    sums = a.groupBy("_block", "_other").cogroup(b.groupBy("_block", "_other")).applyInPandas(add_up, schema)
+    return sums.groupBy(*given, "cluster", "part").agg(F.sum("d").alias("d"), F.sum("m").alias("m"))
+
+
+def silhouette_euclidean(assigned: DataFrame, features: str = "features", cluster: str = "cluster",
+                         rows_per_block: int = 20000) -> DataFrame:
+    """Exact mean silhouette under plain distances. Every row must meet every other, so the work is quadratic by
+    definition; `silhouette_sampled` is the bounded form.
+    """
+    points = _points(assigned, features, cluster)
+    # The number of rows is needed to lay out the blocks, so this counts them when called.
+    blocks = max(1, -(-points.count() // rows_per_block))
+    # Equal points are interchangeable, so distinct points with counts stand for all of them.
+    points = points.groupBy("own", "p").agg(F.count(F.lit(1)).alias("n"))
+    sums = _distance_sums(points, points.select(F.col("own").alias("cluster"), F.lit(0).alias("part"), "p", "n"), blocks)
+    per_point = sums.groupBy("own", "p", "n").agg(F.collect_list(F.struct("cluster", F.col("m").alias("n"), "d")).alias("sums"))
     # A point and its copies share one score.
     return _mean_silhouette(per_point, F.col("n"))
 
 
+def stratified_sample(assigned: DataFrame, rows: int, least: int = 50, key: str | None = None, features: str = "features",
+                      cluster: str = "cluster", seed: int = 42) -> DataFrame:
+    """(own, p, place, size, total): a cluster's share of about `rows` rows, and `least` of them at least, by a seeded hash.
+
+    `place` numbers a cluster's sampled rows in hash order, `size` and `total` count its rows and all rows. Rows
+    of null clusters are left out. The hash is taken of `key`, or of the coordinates without one.
+    """
+    known = _points(assigned.where(F.col(cluster).isNotNull()), features, cluster,
+                    *([] if key is None else [F.col(key).cast("string").alias("key")]))
+    told = F.col("key") if key else F.concat_ws(",", F.col("p").cast("array<string>"))
+    sizes = known.groupBy("own").agg(F.count(F.lit(1)).alias("size"))
+    # One row per cluster.
+    lookup = sizes.agg(F.map_from_entries(F.collect_list(F.struct("own", "size"))).alias("by"))
+    hashed = known.withColumn("hash", F.md5(F.concat(told, F.lit(str(seed)))))
+    order = Window.partitionBy("own").orderBy("hash", *(["key"] if key else []))
+    # The fixed limit lets each map task keep no more than that many rows of a cluster.
+    ranked = hashed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rows + least)
+    ranked = with_scalar(ranked, lookup, "by").select(
+        "own", "p", (F.col("place") - 1).alias("place"), F.col("by")[F.col("own")].alias("size"),
+        F.aggregate(F.map_values("by"), F.lit(0).cast("long"), lambda a, b: a + b).alias("total"))
+    quota = F.greatest(F.least("size", F.lit(least)), F.ceil(F.lit(float(rows)) * F.col("size") / F.col("total")))
+    return ranked.where(F.col("place") < quota)
+
+
+def silhouette_sampled(assigned: DataFrame, rows: int = 4000, groups: int = 20, confidence: float = 0.95, least: int = 50,
+                       key: str | None = None, features: str = "features", cluster: str = "cluster", seed: int = 42,
+                       rows_per_block: int = 1000) -> DataFrame:
+    """(silhouette, std_error, low, high, sampled, rows): the plain silhouette, estimated from a stratified sample.
+
+    The sampled rows are scored against each other and clusters weighted by their true sizes, so the work is
+    one pass over the rows and about the square of `rows`, at any table size. The error is the delete-a-group jackknife's: the
+    sample is cut into `groups` parts, each left out once both as rows and as neighbours, with the finite population
+    correction. A sample of all rows gives the exact value and no error. Writes the sample when called.
+    """
+    sample = materialize(stratified_sample(assigned, rows, least, key, features, cluster, seed).withColumn(
+        "part", (F.col("place") % groups).cast("int")), "silhouette-sample")
+    blocks = max(1, -(-sample.count() // rows_per_block))
+    queries = sample.select("own", "p", "place", "part")
+    sums = _distance_sums(queries.withColumnRenamed("part", "own_part"), sample.select(
+        F.col("own").alias("cluster"), "part", "p", F.lit(1).cast("long").alias("n")), blocks)
+    # Per row and cluster, at most `groups` parts.
+    whole = sums.groupBy("own", "place", "own_part", "cluster").agg(
+        F.sum("d").alias("d"), F.sum("m").alias("m"),
+        F.map_from_entries(F.collect_list(F.struct("part", F.struct("d", "m")))).alias("parts"))
+    # Leaving out part -1 leaves all in.
+    left = whole.withColumn("out", F.explode(F.sequence(F.lit(-1), F.lit(groups - 1)))).where("own_part <> out")
+    gone = F.col("parts")[F.col("out")]
+    left = left.select("out", "own", "place", "cluster", (F.col("d") - F.coalesce(gone["d"], F.lit(0.0))).alias("d"),
+                       (F.col("m") - F.coalesce(gone["m"], F.lit(0))).alias("m")).where("m > 0")
+    own = F.col("cluster") == F.col("own")
+    mean = left.groupBy("out", "own", "place").agg(
+        F.max(F.when(own, F.try_divide("d", F.col("m") - 1))).alias("a"), F.max(F.when(own, F.col("m"))).alias("n"),
+        F.min(F.when(~own, F.col("d") / F.col("m"))).alias("b"))
+    score = F.when(F.col("n") > 1, F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))).otherwise(0.0)
+    strata = mean.groupBy("out", "own").agg(F.avg(score).alias("s"))
+    sizes = sample.groupBy("own").agg(F.first("size").alias("size"), F.first("total").alias("total"), F.count(F.lit(1)).alias("n"))
+    overall = strata.join(F.broadcast(sizes), "own").groupBy("out").agg((F.sum(F.col("s") * F.col("size")) / F.sum("size")).alias("s"))
+    part = F.when(F.col("out") >= 0, F.col("s"))
+    used = sizes.agg(F.sum("n").alias("n"), F.max("total").alias("total"))
+    spread = F.coalesce(F.var_pop(part) * (F.count(part) - 1), F.lit(0.0)).alias("variance")
+    found = with_scalar(overall.agg(F.max(F.when(F.col("out") < 0, F.col("s"))).alias("silhouette"), spread),
+                        used.agg(F.first(F.struct("n", "total"))), "used")
+    error = F.sqrt(F.col("variance") * (1 - F.col("used.n") / F.col("used.total")))
+    reach = NormalDist().inv_cdf(0.5 + confidence / 2)
+    return found.select("silhouette", error.alias("std_error"), (F.col("silhouette") - reach * error).alias("low"),
+                        (F.col("silhouette") + reach * error).alias("high"), F.col("used.n").alias("sampled"), F.col("used.total").alias("rows"))
+
+
 def choose_k(table: list[tuple[int, float, float | None]], margin: float = 0.05) -> int:
     """K from (k, inertia, silhouette) rows: the elbow, or the best silhouette if clearly better."""
     table = sorted(table)
