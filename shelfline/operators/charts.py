@@ -105,6 +105,45 @@ def kde(df: DataFrame, columns: list[str] = MEASURES, points: int = 300, by: lis
             .select(*keys, "point", x.alias("x"), (F.col("mass") / scale).alias("density")))
 
 
+def kde_binned(df: DataFrame, columns: list[str] = MEASURES, points: int = 300, by: list[str] = (), cut: float = 0.0,
+               finest: int = 64) -> DataFrame:
+    """(by..., column, point, x, density) like `kde`, by linear binning and convolution on a grid.
+
+    A value's weight is shared between the two grid points beside it, in proportion to its nearness; then the kernel is
+    laid over the grid. After the first aggregate the work depends on the grid alone, whatever the number of distinct
+    values. The grid refines the points that are asked for until its step is a tenth of the bandwidth, at most
+    `finest` times; the curve is then off by about an eighth of the squared step over the bandwidth, relative to its curvature.
+    """
+    keys = [*by, "column"]
+    values = long_values(df, columns, by)
+    h = F.col("std") * F.pow(F.col("total"), -0.2)
+    stats = (values.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("total"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+             .where("std > 0").withColumn("h", h).withColumn("start", F.col("min") - cut * F.col("h"))
+             .withColumn("step", (F.col("max") - F.col("min") + 2 * cut * F.col("h")) / (points - 1)))
+    refine = F.greatest(F.lit(1), F.least(F.lit(finest), F.ceil(10.0 * F.col("step") / F.col("h")).cast("int")))
+    grid = stats.withColumn("refine", refine).withColumn("fine", F.col("step") / F.col("refine")).select(
+        *keys, "total", "h", "start", "step", "refine", "fine")
+    at = (F.col("value") - F.col("start")) / F.col("fine")
+    left = F.least(F.greatest(F.floor(at), F.lit(0)), F.lit(points - 1) * F.col("refine") - 1).cast("int")
+    shares = F.inline(F.array(F.struct(F.col("left").alias("bin"), (1.0 - F.col("part")).alias("w")),
+                              F.struct((F.col("left") + 1).alias("bin"), F.col("part").alias("w"))))
+    placed = spread_join(values, grid, keys, ["value"]).withColumn("left", left).withColumn("part", at - F.col("left"))
+    bins = placed.select(*keys, shares).groupBy(*keys, "bin").agg(F.sum("w").alias("w")).where("w > 0")
+    # From here on the rows of a key are bounded by its grid.
+    last = F.lit(points - 1)
+    reach = KERNEL_REACH * F.col("h") / F.col("fine")
+    low = F.greatest(F.ceil((F.col("bin") - reach) / F.col("refine")), F.lit(0)).cast("int")
+    high = F.least(F.floor((F.col("bin") + reach) / F.col("refine")), last).cast("int")
+    z = (F.col("point") * F.col("refine") - F.col("bin")) * F.col("fine") / F.col("h")
+    sums = (bins.join(grid, keys).where(low <= high).withColumn("point", F.explode(F.sequence(low, high, F.lit(1))))
+            .groupBy(*keys, "point").agg(F.sum(F.col("w") * F.exp(-0.5 * z * z)).alias("mass")))
+    framed = grid.withColumn("point", F.explode(F.sequence(F.lit(0), last)))
+    scale = F.col("total") * F.col("h") * F.lit((2 * 3.141592653589793) ** 0.5)
+    return (framed.join(sums, [*keys, "point"], "left").fillna(0.0, ["mass"])
+            .select(*keys, "point", (F.col("start") + F.col("point") * F.col("step")).alias("x"), (F.col("mass") / scale).alias("density")))
+
+
 def box_stats(df: DataFrame, columns: list[str] = MEASURES, by: list[str] = ()) -> DataFrame:
     """Quartiles, range, 1.5 IQR fences, outlier count and whiskers (last value inside the fences)."""
     keys = [*by, "column"]
