@@ -64,8 +64,8 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], spread: list[
     return big.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def counted_join(rows: DataFrame, facts: DataFrame, key: str, size: str, hot_keys: int = 1000) -> DataFrame:
-    """Inner join of rows to facts that `facts` has once per key, with the number of rows of the key in `size`.
+def counted_join(rows: DataFrame, facts: DataFrame, key: str, size: str, hot_keys: int = 1000, how: str = "inner") -> DataFrame:
+    """Inner or left join of rows to facts that `facts` has once per key, with the number of rows of the key in `size`.
 
     A key that owns more than one in `hot_keys` of all rows joins where its rows lie: there are fewer than
     `hot_keys` such keys at any table size, so their facts are broadcast. No other key brings more than that
@@ -74,5 +74,5 @@ def counted_join(rows: DataFrame, facts: DataFrame, key: str, size: str, hot_key
     hot = F.col(size) * F.lit(hot_keys) > facts.agg(F.sum(size).alias("n")).scalar()
     few = facts.where(hot)
     near = rows.join(F.broadcast(few), key)
-    far = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(facts.where(~hot), key)
+    far = rows.join(F.broadcast(few.select(key)), key, "left_anti").join(facts.where(~hot), key, how)
     return near.unionByName(far)
