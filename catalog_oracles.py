@@ -522,34 +522,86 @@ for _name, _same in {"csv_source": "listings_text", "catalog_round_trip": "clean
     ORACLES[_name] = ORACLES[_same]
 
 
-def row_counts(tables: dict[str, str]) -> str:
-    return " UNION ALL ".join(f"SELECT '{name}' AS name, ({count}) AS rows" for name, count in tables.items())
+def digests(tables: dict[str, tuple[str, str]]) -> str:
+    """Of each named table, given as SQL and its columns that hold no numbers: rows, known numbers, sum of signed logarithms."""
+    return " UNION ALL ".join(f"""SELECT '{name}' AS name, (SELECT count(*) FROM ({sql})) AS rows, count(v) AS cells,
+        round(coalesce(sum(sign(v) * ln(1 + abs(v))), 0), 3) AS total
+      FROM (UNPIVOT (SELECT round(CAST(COLUMNS(*{f" EXCLUDE ({text})" if text else ""}) AS DOUBLE), 6) FROM ({sql}))
+            ON COLUMNS(*) INTO NAME c VALUE v)""" for name, (sql, text) in tables.items())
 
 
-_CATEGORIES = "SELECT count(DISTINCT main_category) FROM cat"
-_BANDS_SEEN = "SELECT count(DISTINCT discount_band) FROM cat"
-_CLUSTERS = "SELECT count(DISTINCT cluster) FROM cat"
+def lloyd(k: int, starts: int = 12, steps: int = 60) -> str:
+    """The least inertia a product of K-Means from several sets of products chosen by a hash, as a scalar query."""
+    gap = " + ".join(f"pow({f}_z - c{i}, 2)" for i, f in enumerate(FEATURES))
+    return q(f""", {ZSCORES},
+      dealt AS (SELECT z.*, start, row_number() OVER (PARTITION BY start ORDER BY md5(concat(product_id, '-', start)), product_id) AS place
+                FROM z CROSS JOIN (SELECT unnest(range({starts})) AS start)),
+      lloyd AS (SELECT start, 0 AS step, place AS k, {', '.join(f'{f}_z AS c{i}' for i, f in enumerate(FEATURES))} FROM dealt WHERE place <= {k}
+        UNION ALL SELECT start, step + 1, k, {', '.join(f'avg({f}_z)' for f in FEATURES)} FROM (
+          SELECT l.start, l.step, l.k, z.*, row_number() OVER (PARTITION BY l.start, z.product_id ORDER BY {gap}, l.k) AS near
+          FROM lloyd l CROSS JOIN z WHERE step < {steps}) WHERE near = 1 GROUP BY start, step, k),
+      gaps AS (SELECT l.start, z.product_id, min({gap}) AS gap FROM lloyd l CROSS JOIN z WHERE step = {steps} GROUP BY ALL)
+      SELECT round(min(cost), 2) FROM (SELECT avg(gap) AS cost FROM gaps GROUP BY start)""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def p_value(x: str, y: str) -> str:
+    """Student's t for whole degrees of freedom as a finite series in cos(atan(t / sqrt(n - 2)))."""
+    return q(f"""SELECT round(r, 6) AS r, n, round(t, 6) AS t, round(1 - CASE WHEN v % 2 = 0
+          THEN sin(a) * list_sum(list_transform(range(0, CAST(v / 2 AS BIGINT)), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi()) * pow(cos(a), 2 * k)))
+          ELSE 2 / pi() * (a + sin(a) * cos(a) * coalesce(list_sum(list_transform(range(0, CAST((v - 1) / 2 AS BIGINT)),
+               lambda k: exp(lgamma(k + 1) - lgamma(k + 1.5)) * sqrt(pi()) / 2 * pow(cos(a), 2 * k))), 0)) END, 6) AS p
+        FROM (SELECT *, n - 2 AS v, atan(abs(t) / sqrt(n - 2)) AS a FROM (SELECT r, n, r * sqrt(n - 2) / sqrt(1 - r * r) AS t
+          FROM (SELECT corr({x}, {y}) AS r, count(*) AS n FROM cat)))""")
+
+
+_CHARTED = [*MEASURES, "price_savings"]
+_LOWER = f"list_position({MEASURES!r}, row) > list_position({MEASURES!r}, col)"
 
 ORACLES |= {
     "segments_round_trip": q("SELECT product_id, cluster FROM cat"),
     "model_round_trip": q("SELECT count(*) AS rows, 0 AS moved FROM cat"),
     "report_presented": q(" UNION ALL ".join(
         f"SELECT main_category, '{c}' AS \"column\", round_even(avg({c}), 2) AS mean FROM cat GROUP BY 1" for c in MEASURES)),
-    "report_bundle": q(row_counts({
-        "summary": "SELECT 5", "correlation": "SELECT 5", "covariance": "SELECT 5", "group_by_category": _CATEGORIES,
-        "group_by_discount_band": _BANDS_SEEN, "pivot_category_discount": _CATEGORIES, "pivot_category_rating": _CATEGORIES})),
-    "chart_bundle": q(row_counts({
-        "category_counts": _CATEGORIES, "category_means": f"SELECT 5 * ({_CATEGORIES})", "pivot_counts": _CATEGORIES,
-        "pivot_mean_rating": _CATEGORIES, "cumulative_discount": "SELECT count(DISTINCT discount_percentage) FROM cat",
-        "scatter_rating_vs_discounted_price": "SELECT count(*) FROM cat", "boxes": "SELECT 5",
-        "correlation_heatmap_pearson": "SELECT 10"})),
-    "segment_bundle": q(row_counts({
-        "cluster_statistics": _CLUSTERS, "cluster_interpretations": _CLUSTERS,
-        "cluster_category": "SELECT count(*) FROM (SELECT DISTINCT cluster, main_category FROM cat)",
-        "cluster_discount_band": f"SELECT 5 * ({_CLUSTERS})",
-        "cluster_summary": _CLUSTERS, "cluster_dashboard_profile": _CLUSTERS, "cluster_facts": _CLUSTERS})),
-    "kmeans_segments": q("SELECT count(*) AS rows, 0 AS misplaced, true AS cost_agrees, true AS centres_are_means, true AS ids_by_size FROM cat"),
-    "k_sweep": "SELECT k, 'squared_euclidean' AS metric, true AS falls, true AS in_range, true AS bend_inside FROM range(2, 11) t(k)",
+    "report_bundle": digests({
+        "summary": (f"SELECT * REPLACE (CAST(\"Variance\" AS DOUBLE) AS \"Variance\") FROM ({ORACLES['summary_statistics']})", '"column"'),
+        "correlation": (ORACLES["corr_matrix"], '"column"'),
+        "covariance": (q(" UNION ALL ".join(f"SELECT '{a}' AS \"column\", " + ", ".join(
+            f"covar_samp({a}, {b}) AS {b}" for b in MEASURES) + " FROM cat" for a in MEASURES)), '"column"'),
+        "group_by_category": (ORACLES["group_by_category"], "main_category"),
+        "group_by_discount_band": (ORACLES["group_by_band"], "discount_band"),
+        "pivot_category_discount": (q(band_pivot("nullif(count(product_id) FILTER ({w}), 0)")), "main_category"),
+        "pivot_category_rating": (ORACLES["pivot_mean"], "main_category")}),
+    "chart_bundle": digests({
+        "histograms": (histogram(_CHARTED, 50), '"column"'), "densities": (kde(_CHARTED, 300), '"column"'),
+        "markers": (q(f', {long(_CHARTED)} SELECT "column", avg(value) AS mean, quantile_cont(value, 0.5) AS median FROM long GROUP BY 1'), '"column"'),
+        "boxes": (ORACLES["box_stats"], '"column"'), "boxes_by_category": (ORACLES["box_by_category"], 'main_category, "column"'),
+        "correlation_heatmap_pearson": (f"SELECT * FROM ({ORACLES['corr_pearson']}) WHERE {_LOWER}", "row, col"),
+        "correlation_heatmap_spearman": (ORACLES["heatmap_lower"], "row, col"),
+        "correlation_with_rating": (ORACLES["corr_target"], "feature"),
+        "correlation_with_discounted_price": (q(" UNION ALL ".join(
+            f"SELECT '{c}' AS feature, corr(discounted_price, {c}) AS value FROM cat" for c in MEASURES)), "feature"),
+        "category_counts": (ORACLES["category_counts"], "main_category"),
+        "category_means": (ORACLES["category_means"], 'main_category, "column"'),
+        "pivot_counts": (q(band_pivot("count(product_id) FILTER ({w})")), "main_category"),
+        "pair_histograms": (histogram(MEASURES, 50), '"column"'), "pair_bins": (bins2d(list(combinations(MEASURES, 2)), 50), "x, y"),
+        "violin_density": (ORACLES["violin_density"], 'main_category, "column"'), "violin_box": (ORACLES["violin_box"], 'main_category, "column"'),
+        "cumulative_discount": (ORACLES["ecdf"], ""), "cumulative_discount_markers": (ORACLES["ecdf_markers"], ""),
+        **{f"pivot_mean_{c}": (q(band_pivot(f"avg({c}) FILTER ({{w}})")), "main_category")
+           for c in ("rating", "discounted_price", "discount_percentage")},
+        **{f"scatter_{y}_vs_{x}": (q(f"SELECT {', '.join([x, y, *hue])} FROM cat"), "") for x, y, hue in (
+            ("discounted_price", "rating", ["discount_percentage"]), ("discounted_price", "rating_count", []), ("discount_percentage", "rating", []))},
+        **{f"scatter_{y}_vs_{x}_correlation": (p_value(x, y), "") for x, y in (
+            ("discounted_price", "rating"), ("discounted_price", "rating_count"), ("discount_percentage", "rating"))}}),
+    "segment_bundle": digests({
+        "cluster_statistics": (ORACLES["cluster_stats"], ""), "cluster_interpretations": (ORACLES["cluster_labels"], "label, characteristics"),
+        "cluster_category": (ORACLES["cluster_composition"], "main_category"), "cluster_discount_band": (ORACLES["cluster_bands"], "discount_band"),
+        "cluster_summary": (ORACLES["cluster_summary"], "name"), "cluster_dashboard_profile": (ORACLES["cluster_profile"], ""),
+        "cluster_facts": (ORACLES["cluster_facts"], "label, tier, categories, bands")}),
+    "kmeans_segments": q(f"""SELECT count(*) AS rows, 0 AS misplaced, ({lloyd(3)}) AS inertia, true AS cost_agrees, true AS centres_are_means,
+        true AS ids_by_size FROM cat"""),
+    "k_sweep": f"""SELECT k, 'squared_euclidean' AS metric, CASE k WHEN 2 THEN ({lloyd(2)}) WHEN 3 THEN ({lloyd(3)}) WHEN 4 THEN ({lloyd(4)}) END AS inertia,
+        true AS falls, true AS in_range, true AS bend_inside FROM range(2, 11) t(k)""",
+    "segment_catalog": q(f"SELECT count(*) AS products, 3 AS clusters, 12 AS tables, ({lloyd(3)}) AS inertia FROM cat"),
     "sample_per_cluster": q("""SELECT product_id, cluster FROM cat
         QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY md5(concat(product_id, '42')), product_id) = 1"""),
     "segment_features_filled": q(f""", f AS (SELECT product_id, discounted_price, discount_percentage, rating, rating_count,
@@ -560,13 +612,7 @@ ORACLES |= {
       d AS (SELECT product_id, cluster, sqrt({' + '.join(f'pow({f}_z - {f}_c, 2)' for f in FEATURES)}) AS distance FROM z JOIN c USING (cluster)),
       r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY distance, product_id) AS rank FROM d)
       SELECT product_id, cluster, round(distance, 6) AS distance, rank FROM r WHERE rank <= 3"""),
-    # Student's t for whole degrees of freedom as a finite series in cos(atan(t / sqrt(n - 2))).
-    "scatter_p_value": q("""SELECT round(r, 6) AS r, n, round(t, 6) AS t, round(1 - CASE WHEN v % 2 = 0
-          THEN sin(a) * list_sum(list_transform(range(0, CAST(v / 2 AS BIGINT)), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1)) / sqrt(pi()) * pow(cos(a), 2 * k)))
-          ELSE 2 / pi() * (a + sin(a) * cos(a) * coalesce(list_sum(list_transform(range(0, CAST((v - 1) / 2 AS BIGINT)),
-               lambda k: exp(lgamma(k + 1) - lgamma(k + 1.5)) * sqrt(pi()) / 2 * pow(cos(a), 2 * k))), 0)) END, 6) AS p
-        FROM (SELECT *, n - 2 AS v, atan(abs(t) / sqrt(n - 2)) AS a FROM (SELECT r, n, r * sqrt(n - 2) / sqrt(1 - r * r) AS t
-          FROM (SELECT corr(actual_price, rating) AS r, count(*) AS n FROM cat)))"""),
+    "scatter_p_value": p_value("actual_price", "rating"),
 }
 
 

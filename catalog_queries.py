@@ -73,9 +73,10 @@ def _vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
-    """Facts that hold for any right clustering: every row is with its nearest centre, centres are means, ids go by size."""
+    """The inertia a product, and facts that hold for any right clustering: every row is with its nearest centre, centres
+    are means, ids go by size."""
     vectors = _vectors(spark, folder).cache()
-    fit = segments.train_kmeans(vectors, 3, restarts=20)
+    fit = segments.train_kmeans(vectors, 3, restarts=20, tol=0.0)
     vectors.unpersist()
     centres = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in fit.model.clusterCenters()])
     placed = fit.model.transform(vectors).withColumn("p", vector_to_array("features"))
@@ -91,22 +92,37 @@ def _kmeans_segments(spark: SparkSession, folder: str) -> DataFrame:
                     lambda a, x: F.struct((a["ok"] & (x["count"] <= a["last"])).alias("ok"), x["count"].alias("last")))["ok"])
     own = F.col("gaps")[F.col("cluster")]
     facts = rows.agg(F.count("*").alias("rows"), F.count_if(own > F.array_min("gaps") + 1e-9).alias("misplaced"),
-                     (F.abs(F.sum(own) / fit.cost - 1) < 0.01).alias("cost_agrees"))
-    return facts.select("*", (drift.agg(F.max("d")).scalar() < 0.05).alias("centres_are_means"),
+                     F.round(F.sum(own) / F.count("*"), 2).alias("inertia"), (F.abs(F.sum(own) / fit.cost - 1) < 1e-9).alias("cost_agrees"))
+    return facts.select("*", (drift.agg(F.max("d")).scalar() < 1e-9).alias("centres_are_means"),
                         by_size.scalar().alias("ids_by_size"))
 
 
+#: Up to this K the sweep's inertia is compared; beyond it, restarts end in optima that differ in the digits compared.
+COMPARED_K = 4
+
+
 def _sweep(spark: SparkSession, folder: str) -> DataFrame:
-    """Facts of a sweep: a row for each k, inertia that does not rise by more than a hundredth, silhouettes in range."""
+    """A row for each k, the inertia a product of the smaller ones, and facts of a sweep: inertia does not rise by
+    more than a hundredth, silhouettes are in range."""
     vectors = _vectors(spark, folder).select("features").cache()
     table = segments.elbow_table(segments.sweep_k(vectors))
+    n = vectors.count()
     vectors.unpersist()
     before = F.lag("inertia").over(Window.orderBy("k"))
-    return table.select("k", "metric", F.coalesce(F.col("inertia") <= before * 1.01, F.lit(True)).alias("falls"),
+    return table.select("k", "metric", F.when(F.col("k") <= COMPARED_K, F.round(F.col("inertia") / n, 2)).alias("inertia"),
+                        F.coalesce(F.col("inertia") <= before * 1.01, F.lit(True)).alias("falls"),
                         F.col("silhouette").between(-1, 1).alias("in_range"),
                         (F.col("bend").isNull() == F.col("k").isin(2, 10)).alias("bend_inside"))
 
 
+def _whole_segmentation(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan from catalog to analysed segments: its tables, products and inertia a product."""
+    result = segmentation.segment_catalog(products(spark, folder), ks=range(2, 5), sweep_restarts=2, k=3)
+    sizes = result.tables["cluster_sizes"].agg(F.sum("size").alias("products"), F.count("*").alias("clusters"))
+    return sizes.select("products", "clusters", F.lit(len(result.tables)).alias("tables"),
+                        F.round(F.lit(result.fit.cost) / F.col("products"), 2).alias("inertia"))
+
+
 def _pipeline_silhouette(spark: SparkSession, folder: str) -> DataFrame:
     """The evaluator that sweeps use, on the stand-in clusters."""
     rows = segments.scaled_vectors(clustered(spark, folder)).select("features", F.col("cluster").cast("int").alias("cluster"))
@@ -114,19 +130,21 @@ def _pipeline_silhouette(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _segment_plan(spark: SparkSession, folder: str) -> DataFrame:
-    """Every table of the analysis of segments, by its number of rows."""
-    return _sizes(segmentation.analyse_segments(clustered(spark, folder)))
-
+    return _digests(segmentation.analyse_segments(clustered(spark, folder)))
 
-def _chart_plan(df: DataFrame) -> DataFrame:
-    data = report.chart_data(df)
-    return _sizes({name: data[name] for name in (
-        "category_counts", "category_means", "pivot_counts", "pivot_mean_rating", "cumulative_discount",
-        "scatter_rating_vs_discounted_price", "boxes", "correlation_heatmap_pearson")})
 
+def _digests(bundle: dict[str, DataFrame]) -> DataFrame:
+    """(name, rows, cells, total): for every table of a bundle its rows, its known numbers, and a sum over all of them.
 
-def _sizes(bundle: dict[str, DataFrame]) -> DataFrame:
-    parts = [df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows") for name, df in bundle.items()]
+    The sum is of signed logarithms, so that small and large numbers count alike, and free of any order.
+    """
+    parts = []
+    for name, df in bundle.items():
+        numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
+        values = [F.round(F.col(f"`{c}`").cast("double"), 6) for c in numbers]
+        total = sum((F.coalesce(F.sum(F.signum(v) * F.ln(1 + F.abs(v))), F.lit(0.0)) for v in values), F.lit(0.0))
+        parts.append(df.agg(F.count("*").alias("rows"), sum((F.count(v) for v in values), F.lit(0)).alias("cells"),
+                            F.round(total, 3).alias("total")).select(F.lit(name).alias("name"), "rows", "cells", "total"))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -375,10 +393,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lambda s, d, path: tables.read_segments(s, path).select("product_id", "cluster")),
     "segment_report_round_trip": _segment_report,
     "model_round_trip": _model_round_trip,
-    "report_bundle": _on(products, lambda df: _sizes(report.statistical_report(df))),
+    "report_bundle": _on(products, lambda df: _digests(report.statistical_report(df, places=None))),
     "report_presented": _on(products, lambda df: present(grouping.category_means(df), 2), 2),
-    "chart_bundle": _on(products, _chart_plan),
+    "chart_bundle": _on(products, lambda df: _digests(report.chart_data(df))),
     "segment_bundle": _segment_plan,
+    "segment_catalog": _whole_segmentation,
     # Recommendations
     "rec_cluster": _recommend(recommend.by_cluster),
     "rec_category": _recommend(recommend.by_category),

@@ -41,6 +41,12 @@ def add_features(df: DataFrame, t: FeatureThresholds = FeatureThresholds()) -> D
     })
 
 
+def add_bullet_count(df: DataFrame, column: str = "about_product", sep: str = r"\|", name: str = "bullet_count") -> DataFrame:
+    """How many of the delimited points of a product text say something; 0 for blank or missing text."""
+    points = F.filter(F.split(F.coalesce(F.col(column), F.lit("")), sep, -1), lambda p: parsing.strip(p) != "")
+    return df.withColumn(name, F.size(points))
+
+
 def add_discount_band(df: DataFrame, column: str = "discount_percentage",
                       floor: float = BAND_FLOOR, bands: list = DISCOUNT_BANDS) -> DataFrame:
     """Band label and its ordinal; other edges give bands of any other measure."""
@@ -49,4 +55,4 @@ def add_discount_band(df: DataFrame, column: str = "discount_percentage",
         "discount_band_ord", band_ordinal(F.col("discount_band"), labels))
 
 
-__all__ = ["add_category_levels", "add_features", "add_discount_band", "BAND_LABELS"]
+__all__ = ["add_bullet_count", "add_category_levels", "add_features", "add_discount_band", "BAND_LABELS"]

@@ -122,6 +122,24 @@ def premium_upgrades(products: DataFrame, n: int = 5, targets: DataFrame | None
                         n, targets, pool)
 
 
+def better_rated_nearby(products: DataFrame, n: int = 5, targets: DataFrame | None = None, share: float = 0.2) -> DataFrame:
+    """Rated higher than the target, in the same category, within `share` of its price either way."""
+    keep = F.col("c.rating") > F.col("target_rating")
+    return _in_interval(products, ["main_category"], BY_RATING_AND_REVIEWS, _times(1 - share), _times(1 + share), n, targets, keep=keep)
+
+
+def value_picks(products: DataFrame, n: int = 5, key: str = "main_category", min_discount: float = 50.0,
+                min_rating: float = 4.0) -> DataFrame:
+    """(key, rank, product_id, ...): the n best products of each `key` that are both heavily discounted and well rated.
+
+    By falling discount, then rating, then number of ratings, then id. Rows without a key aren't ranked.
+    """
+    good = products.where(F.col(key).isNotNull() & (F.col("discount_percentage") >= min_discount) & (F.col("rating") >= min_rating))
+    order = [F.desc("discount_percentage"), F.desc("rating"), F.desc_nulls_last("rating_count"), F.asc("product_id")]
+    ranked = good.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("rank") <= n)
+    return ranked.select(key, "rank", "product_id", "discounted_price", "discount_percentage", "rating", "rating_count")
+
+
 def hybrid(products: DataFrame, n: int = 5, targets: DataFrame | None = None,
            p: RecommendParams = RecommendParams()) -> dict[str, DataFrame]:
     """The five strategies by name, in priority order."""

@@ -89,26 +89,30 @@ class Fit:
     model: KMeansModel
 
 
-def _fit_one(vectors: DataFrame, k: int, seed: int, max_iter: int) -> Fit:
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features", predictionCol="cluster").fit(vectors)
+def _fit_one(vectors: DataFrame, k: int, seed: int, max_iter: int, tol: float = 1e-4) -> Fit:
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster").fit(vectors)
     return Fit(k, seed, float(model.summary.trainingCost), model)
 
 
-def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, parallelism: int) -> list[Fit]:
+def _fit_many(vectors: DataFrame, jobs: list[tuple[int, int]], max_iter: int, parallelism: int, tol: float = 1e-4) -> list[Fit]:
     """Fits run side by side, so the cluster is not idle between the short jobs of one fit."""
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(lambda job: _fit_one(vectors, job[0], job[1], max_iter), jobs))
+        return list(pool.map(lambda job: _fit_one(vectors, job[0], job[1], max_iter, tol), jobs))
 
 
-def train_many(vectors: DataFrame, k: int, seeds: list[int], max_iter: int = 300, parallelism: int = 8) -> list[Fit]:
+def train_many(vectors: DataFrame, k: int, seeds: list[int], max_iter: int = 300, parallelism: int = 8,
+               tol: float = 1e-4) -> list[Fit]:
     """One fit for each seed. `vectors` should be cached or written."""
-    return _fit_many(vectors, [(k, seed) for seed in seeds], max_iter, parallelism)
+    return _fit_many(vectors, [(k, seed) for seed in seeds], max_iter, parallelism, tol)
 
 
 def train_kmeans(vectors: DataFrame, k: int, seed: int = 42, restarts: int = 20, max_iter: int = 300,
-                 parallelism: int = 8) -> Fit:
-    """Best of several seeded starts by training cost. `vectors` should be cached or written."""
-    fits = train_many(vectors, k, [seed + i for i in range(restarts)], max_iter, parallelism)
+                 parallelism: int = 8, tol: float = 1e-4) -> Fit:
+    """Best of several seeded starts by training cost. `vectors` should be cached or written.
+
+    A fit ends when no centre moves farther than `tol`; with 0, when no row changes its cluster.
+    """
+    fits = train_many(vectors, k, [seed + i for i in range(restarts)], max_iter, parallelism, tol)
     return min(fits, key=lambda f: (f.cost, f.seed))
 
 

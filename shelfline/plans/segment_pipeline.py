@@ -109,4 +109,4 @@ def load_segments(path: str) -> PipelineModel:
 
 def place_products(model: PipelineModel, df: DataFrame) -> DataFrame:
     """`df` with its clusters; columns between the stages are left out."""
-    return model.transform(df).select(*[c for c in df.columns if c != "cluster"], "cluster")
+    return model.transform(df.drop("cluster")).select(*[c for c in df.columns if c != "cluster"], "cluster")

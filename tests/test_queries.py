@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+import catalog_estimates
 from catalog_oracles import ORACLES
 from catalog_queries import QUERIES, products
 from shelfline.operators import filters
@@ -13,7 +14,7 @@ TABLES = ["part", "lineitem", "supplier"]
 CHECKED = ["parse_clean", "features", "duplicate_profile", "group_by_band", "pivot_count", "summary_statistics",
            "corr_spearman_nulls", "box_by_category", "kde", "cluster_facts", "rec_all", "rec_preferences", "csv_source", "catalog_round_trip",
            "recommendations_round_trip", "pivot_count", "cluster_lookup", "cov_matrix", "product_search_accents", "kmeans_segments",
-           "cluster_representatives", "sample_per_cluster", "scatter_p_value", "pca_projection", "pca_variance", "segment_bundle"]
+           "cluster_representatives", "sample_per_cluster", "scatter_p_value", "pca_projection", "pca_variance", "segment_bundle", "report_bundle", *catalog_estimates.QUERIES]
 
 
 def canonical(df: pd.DataFrame) -> list[tuple]:
@@ -36,6 +37,7 @@ def database(folder):
 
 def test_every_catalog_query_has_its_sql():
     assert set(ORACLES) == set(QUERIES)
+    assert set(catalog_estimates.ORACLES) == set(catalog_estimates.QUERIES) and not set(ORACLES) & set(catalog_estimates.ORACLES)
     assert set(oracle_sql()) <= set(queries())
 
 
