@@ -243,10 +243,14 @@ def write_archives(df: DataFrame, folder: str, page_id: str = "page_id", url: st
     return materialize(linked.mapInArrow(task, "path string, records long, bytes long"), "warc-manifest")
 
 
+READ_TASKS = 20_000
+
+
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
     """One row for each record of the archives that `manifest` lists; a broken record fails the read.
 
-    The number of records read from an archive must be the manifest's, where that has a count.
+    The number of records read from an archive must be the manifest's, where that has a count. The archives are
+    counted when called, and dealt out over as many tasks, `READ_TASKS` at most.
     """
     counted = F.col("records") if "records" in manifest.columns else F.lit(None).cast("long")
     schema = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, "
@@ -258,7 +262,7 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 system, inner = open_folder(path)
                 rows, held, n = [], 0, 0
-                with system.open_input_stream(inner) as stream:
+                with system.open_input_stream(inner, compression=None) as stream:  # a name in .zst must not unpack it
                     for raw in read_records(stream):
                         found = parse_record(raw)
                         n += 1
@@ -275,7 +279,8 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                     yield _batch(rows, schema)
 
     files = manifest.select("path", counted.alias("records"))
-    return files.repartition(F.col("path")).mapInArrow(task, schema)
+    # With a number, the few bytes of the paths aren't merged into one partition.
+    return files.repartition(max(1, min(files.count(), READ_TASKS)), "path").mapInArrow(task, schema)
 
 
 _KINDS = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}

@@ -82,3 +82,14 @@ def test_min_bytes_keeps_small_copies_apart(spark, tmp_path):
     got = warc.read_archives(warc.write_archives(df, f"{tmp_path}/a", min_bytes=3)).collect()
     assert sorted((r["page_id"], r["record_type"]) for r in got) == [
         (1, "response"), (2, "response"), (3, "revisit"), (4, "response")]
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    paths = []
+    for i in range(40):
+        path = f"{tmp_path}/{i}.warc.zst"
+        with open(path, "wb") as f:
+            f.write(archive(RECORDS))
+        paths.append((path, len(RECORDS)))
+    got = warc.read_archives(spark.createDataFrame(paths, "path string, records long"))
+    assert got.rdd.getNumPartitions() == 40 and got.count() == 40 * len(RECORDS)
