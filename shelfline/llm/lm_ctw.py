@@ -7,11 +7,14 @@ a priori. The tree is learnt from all training texts and then fixed, so a text's
 depend on the others scored with it. Texts are lower-cased in A-Z; an end mark that no UTF-8 text holds
 stands before and after each one and is scored at its end.
 
-Counting combines per task before the shuffle. The tree is built from its leaves by groups of two
-context bytes, at most 65,536 counts each; shorter contexts have 256 tables and meet on the driver
-(1 MB at most). The finished tree is a page of 256 log probabilities for each context seen, written to
-the shared folder. Tasks look pages up in memory, `SHARD_PAGES` at a time: a larger tree is gone
-through in several shards, so memory stays bounded and nothing is left out.
+All texts' grams (a context and its byte) are counted, combined per task before the shuffle, with the number
+of times that training texts have them. Sorted by their context, latest byte first, they stream through
+tasks that build the tree from the leaves up: what lies below three context bytes is held at a time, and
+nodes of two bytes and of one are put together from those, 256 at a time. Depths one and none meet
+on the driver (1 MB at most), whose mixture goes down again: to a table of at most 65,536 nodes of two bytes in the shared
+folder, and from there, in a second stream over the grams, to the log probability of every gram that occurs in
+any text: 12 bytes a gram, in the shared folder too. Tasks look grams up in memory, about `SHARD_GRAMS` at a time: more are
+gone through in several shards, so memory stays bounded and nothing is left out.
 
 The base needs counts of every word. Words that make up 2 ** -20 of all tokens or more, 2 ** 20 words at
 most, are broadcast; other words of a text are joined to their counts by a shuffle. A word is known by
@@ -37,9 +40,9 @@ from shelfline.llm.arrays import Run, lowered, runs, span_hashes, words
 from shelfline.llm.storage import read_parquet
 from shelfline.session import materialize, shared_folder
 
-DEPTH = 3
+DEPTH = 5  # grams of six bytes; `_Block` holds the depths from three on
 END = 255
-SHARD_PAGES = 1 << 16
+SHARD_GRAMS = 1 << 23
 HEAVY_WORDS = 1 << 20
 _GRAM, _WORD = 0, 1
 
@@ -53,10 +56,14 @@ def _padded(run: Run) -> tuple[np.ndarray, np.ndarray]:
     return out, run.offsets[:-1] + (DEPTH + 1) * rows + DEPTH
 
 
-def _contexts(padded: np.ndarray) -> np.ndarray:
-    """For each position from `DEPTH` on, the three bytes before it, the latest one highest."""
-    b = padded.astype(np.uint32)
-    return (b[2:-1] << 16) | (b[1:-2] << 8) | b[:-3]
+def _grams(padded: np.ndarray) -> np.ndarray:
+    """For each position from `DEPTH` on, the bytes before it, the latest one highest, and then its own."""
+    b = padded.astype(np.uint64)
+    n = len(b) - DEPTH
+    out = b[DEPTH - 1:DEPTH - 1 + n]
+    for k in range(2, DEPTH + 1):
+        out = (out << np.uint64(8)) | b[DEPTH - k:DEPTH - k + n]
+    return (out << np.uint64(8)) | b[DEPTH:]
 
 
 def _scored(padded: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -67,23 +74,31 @@ def _scored(padded: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return use[DEPTH:]
 
 
-def count_tokens(training: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, key, n): byte sequences (0) and words by their hash (1) of all rows, words' ends included."""
+def count_tokens(docs: DataFrame, text: str, training: str) -> DataFrame:
+    """(kind, key, n): the grams (0) of all rows and the words by their hash (1), and how often training rows have them."""
     def task(batches):
         for batch in batches:
+            learnt = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), bool)
             for run in runs(batch, "__text"):
+                own = learnt[run.first:run.first + run.rows]
                 padded, firsts = _padded(run)
-                grams = ((_contexts(padded) << 8) | padded[DEPTH:])[_scored(padded, firsts)]
+                use = _scored(padded, firsts)
+                of = np.repeat(own, np.diff(run.offsets) + 1)
                 data = lowered(run.data)
-                starts, ends, _ = words(run, data)
-                for kind, keys in ((_GRAM, grams.astype(np.uint32)), (_WORD, span_hashes(data, starts, ends))):
-                    found, n = np.unique(keys, return_counts=True)
+                starts, ends, rows = words(run, data)
+                told = own[rows]
+                for kind, keys, times in ((_GRAM, _grams(padded)[use], of), (_WORD, span_hashes(data, starts[told], ends[told]), None)):
+                    order = np.argsort(keys)
+                    keys = keys[order]
+                    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+                    n = np.diff(np.append(first, len(keys))) if times is None else (
+                        np.add.reduceat(times[order].astype(np.int64), first) if len(first) else first)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(found), kind, np.int8)),
-                         pa.array(found.astype(np.uint64).view(np.int64)), pa.array(n.astype(np.int64))],
+                        [pa.array(np.full(len(first), kind, np.int8)), pa.array(keys[first].view(np.int64)), pa.array(n.astype(np.int64))],
                         names=["kind", "key", "n"])
 
-    counted = training.select(F.col(text).alias("__text")).mapInArrow(task, "kind tinyint, key long, n long")
+    counted = docs.select(F.col(text).alias("__text"), F.col(training).alias("__training")).mapInArrow(
+        task, "kind tinyint, key long, n long")
     return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
 
 
@@ -99,17 +114,23 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 def _bit_counts(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Counts of bits 0 and 1 at the 255 inner nodes of the byte's binary tree (node z has 2z and 2z+1)."""
-    k = len(byte_counts)
-    sums = np.zeros((k, 512))
-    sums[:, 256:] = byte_counts
-    for z in range(255, 0, -1):
-        sums[:, z] = sums[:, 2 * z] + sums[:, 2 * z + 1]
-    inner = np.arange(1, 256)
-    return sums[:, 2 * inner], sums[:, 2 * inner + 1]
+    level, zeros, ones = byte_counts, [], []
+    while level.shape[1] > 1:
+        zeros.append(level[:, 0::2])
+        ones.append(level[:, 1::2])
+        level = zeros[-1] + ones[-1]
+    return np.concatenate(zeros[::-1], axis=1), np.concatenate(ones[::-1], axis=1)
+
+
+_TABLE = 1 << 13
+_HALVES, _WHOLES = _log_gamma(np.arange(_TABLE) + 0.5), _log_gamma(np.arange(2 * _TABLE) + 1.0)
 
 
 def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a sequence with these counts."""
+    if zeros.size and max(zeros.max(), ones.max()) < _TABLE:
+        a, b = zeros.astype(np.int32), ones.astype(np.int32)
+        return _HALVES[a] + _HALVES[b] - np.log(np.pi) - _WHOLES[a + b]
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1)
 
 
@@ -127,75 +148,155 @@ _NODES = np.array([[(256 + byte) >> (8 - level) for level in range(8)] for byte
 _BITS = np.array([[(byte >> (7 - level)) & 1 for level in range(8)] for byte in range(256)], bool)
 
 
-def _page(ones: np.ndarray) -> np.ndarray:
-    """log10 probability of each byte from the probability of a one at each inner node; rows are contexts."""
-    p = ones[:, _NODES]
-    return np.log10(np.where(_BITS, p, 1 - p)).sum(axis=2).astype(np.float32)
+def _log_bytes(ones: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+    """log10 probability of a byte in each row, from the row's probabilities of a one at the inner nodes."""
+    p = np.take_along_axis(ones, _NODES[bytes_], axis=1)
+    return np.log10(np.where(_BITS[bytes_], p, 1 - p)).sum(axis=1)
 
 
-def _group_counts(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-    """Of the counts below two context bytes: those bytes, the third bytes seen and their byte counts."""
-    key = table.column("key").to_numpy()
-    third = (key >> 8) & 255
-    seen, at = np.unique(third, return_inverse=True)
-    counts = np.zeros((len(seen), 256))
-    np.add.at(counts, (at, key & 255), table.column("n").to_numpy())
-    return int(key[0] >> 16), seen, counts
+class _Node:
+    """Nodes of the tree, one a row, with the product of their children's weighted probabilities; a column per inner node
+    of the byte's tree."""
 
+    def __init__(self, zeros: np.ndarray, ones: np.ndarray, children: np.ndarray) -> None:
+        self.zeros, self.ones = zeros, ones
+        self.total, self.share = _weighted(_log_kt(zeros, ones), children)
 
-def _node_two(table: pa.Table) -> pa.Table:
-    """One row for the node of two context bytes: its byte counts and weighted log probabilities."""
-    pair, _, counts = _group_counts(table)
-    zeros, ones = _bit_counts(counts)
-    own = _log_kt(zeros.sum(axis=0), ones.sum(axis=0))
-    total, _ = _weighted(own, _log_kt(zeros, ones).sum(axis=0))
-    return pa.table({"latest": pa.array([pair >> 8], pa.int32()), "counts": [counts.sum(axis=0).tobytes()],
-                     "weighted": [total.tobytes()]})
+    def mixed(self, upper: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is mixed so far, and the weight left for deeper nodes, after these nodes' own estimates."""
+        return upper + rest * self.share * _next_one(self.zeros, self.ones), rest * (1 - self.share)
 
 
-def _node_one(table: pa.Table) -> pa.Table:
-    """The same for one context byte, from its 256 children at most."""
-    latest = table.column("latest")[0].as_py()
-    counts = np.sum([np.frombuffer(x.as_py()) for x in table.column("counts")], axis=0)
-    children = np.sum([np.frombuffer(x.as_py()) for x in table.column("weighted")], axis=0)
-    return pa.table({"latest": pa.array([latest], pa.int32()), "counts": [counts.tobytes()],
-                     "weighted": [children.tobytes()]})
+def _runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values start, and the run of each value."""
+    new = np.append(True, values[1:] != values[:-1])
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+class _Block:
+    """Sorted grams of whole contexts of three bytes, and the nodes of three, four and five context bytes above them.
+
+    The leaves' counts are made for `LEAVES` of them at a time.
+    """
 
+    LEAVES = 2048
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.keys, self.n = keys, n
+        self.start5, self.at5 = _runs_of(keys >> 8)
+        self.start4, self.at4 = _runs_of(keys[self.start5] >> 16)
+        self.start3, self.at3 = _runs_of(keys[self.start5][self.start4] >> 24)
+        self.threes = keys[self.start5][self.start4][self.start3] >> 24
+        below = [np.zeros((len(self.start4), 255)) for _ in range(3)]
+        for low, high, first, last in self._parts():
+            zeros, ones = self._leaves(low, high)
+            for into, values in zip(below, (zeros, ones, _log_kt(zeros, ones))):
+                into[first:last] = np.add.reduceat(values, self.start4[first:last] - low)
+        self.four = _Node(*below)
+        self.three = _Node(*(np.add.reduceat(x, self.start3) for x in (self.four.zeros, self.four.ones, self.four.total)))
+
+    def _parts(self) -> Iterator[tuple[int, int, int, int]]:
+        """Leaves low to high below the nodes of four bytes first to last; such a node has 256 leaves at most."""
+        ends = np.append(self.start4[1:], len(self.start5))
+        first = 0
+        while first < len(self.start4):
+            low = self.start4[first]
+            last = max(first + 1, int(np.searchsorted(ends, low + self.LEAVES, "right")))
+            yield int(low), int(ends[last - 1]), first, last
+            first = last
+
+    def _grams(self, low: int, high: int) -> slice:
+        return slice(self.start5[low], self.start5[high] if high < len(self.start5) else len(self.keys))
+
+    def _leaves(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        own = self._grams(low, high)
+        counts = np.zeros((high - low, 256))
+        counts[self.at5[own] - low, self.keys[own] & 255] = self.n[own]
+        return _bit_counts(counts)
+
+    def logs(self, upper: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """The log10 probability of each gram's byte in its context, mixing on from what the nodes of two bytes above each
+        node of three give."""
+        upper, rest = self.three.mixed(upper, rest)
+        upper, rest = self.four.mixed(upper[self.at3], rest[self.at3])
+        out = np.empty(len(self.keys))
+        for low, high, _, _ in self._parts():
+            zeros, ones = self._leaves(low, high)
+            above = self.at4[low:high]
+            own = self._grams(low, high)
+            one = upper[above] + rest[above] * _next_one(zeros, ones)
+            out[own] = _log_bytes(one[self.at5[own] - low], self.keys[own] & 255)
+        return out
+
+
+BLOCK_GRAMS = 4096
+
+
+def _blocks(batches) -> Iterator[_Block]:
+    """A stream sorted by gram in blocks of at least `BLOCK_GRAMS` grams, but for the last."""
+    keys, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        keys = np.concatenate([keys, batch.column(0).to_numpy()])
+        n = np.concatenate([n, batch.column(1).to_numpy()])
+        # The last three context bytes may go on in the next batch.
+        starts = _runs_of(keys >> 24)[0]
+        low = 0
+        for to in starts[1:].tolist():
+            if to - low >= BLOCK_GRAMS:
+                yield _Block(keys[low:to], n[low:to])
+                low = to
+        keys, n = keys[low:].copy(), n[low:].copy()
+    if len(keys):
+        yield _Block(keys, n)
+
+
+_SUMS = "zeros binary, ones binary, weighted binary"
+
+
+def _sum_rows(key: str, values: list[int], nodes: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    return pa.table({key: pa.array(values, pa.int32()), **{
+        name: pa.array([x[k].tobytes() for x in nodes], pa.binary()) for k, name in enumerate(("zeros", "ones", "weighted"))}})
+
+
+def _added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return tuple(np.sum([np.frombuffer(x.as_py()) for x in table.column(c)], axis=0) for c in ("zeros", "ones", "weighted"))
+
+
+def _upward(batches):
+    """One row per three context bytes: the node's counts and weighted log probabilities, under the two latest."""
+    for block in _blocks(batches):
+        node = block.three
+        yield from _sum_rows("pair", (block.threes >> 8).tolist(), list(zip(node.zeros, node.ones, node.total))).to_batches()
 
-def _spread(pairs: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of each pair of context bytes."""
-    return (pairs.astype(np.int64) * 40503 >> 4) % shards
+
+def _node_two(table: pa.Table) -> pa.Table:
+    """The node of two context bytes from its children: counts and the product of the children."""
+    return _sum_rows("pair", [table.column("pair")[0].as_py()], [_added(table)])
+
+
+def _node_one(table: pa.Table) -> pa.Table:
+    """For one context byte, its counts and the product of its weighted children."""
+    nodes = [_Node(*(np.frombuffer(row[c]) for c in ("zeros", "ones", "weighted"))) for row in table.to_pylist()]
+    return _sum_rows("pair", [table.column("pair")[0].as_py() >> 8], [
+        (sum(x.zeros for x in nodes), sum(x.ones for x in nodes), sum(x.total for x in nodes))])
 
 
 class ContextTree:
-    """A finished tree: where its pages are, in how many shards, and what holds for contexts never seen."""
+    """A finished tree: the folder of its grams' log probabilities, and in how many shards they are."""
 
-    def __init__(self, path: str, shards: int, unseen: np.ndarray):
-        self.path, self.shards, self.unseen = path, shards, unseen
+    def __init__(self, path: str, shards: int):
+        self.path, self.shards = path, shards
 
-    def shard(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(block of a pair of bytes or -1, page of a block and third byte, pages)."""
+    def shard(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(grams in order, log10 probabilities)."""
         key = (self.path, k)
         if _loaded.get("key") != key:
             _loaded.clear()
-            rows = read_parquet(f"{self.path}/shard={k}", ["pair", "third", "page"])
-            pair, third = rows.column("pair").to_numpy(), rows.column("third").to_numpy()
-            page = rows.column("page").combine_chunks().cast(pa.large_binary())
-            body = np.frombuffer(page.buffers()[2], np.float32).reshape(-1, 256) if len(pair) else np.zeros((0, 256), np.float32)
-            pages = np.concatenate([self.unseen, body])
-            own = np.flatnonzero(_spread(np.arange(65536), self.shards) == k)
-            seen = np.unique(pair)
-            # One block for each latest byte, for pairs never seen; then one for each pair seen.
-            block = np.full(65536, -1, np.int32)
-            block[own] = own >> 8
-            block[seen] = 256 + np.arange(len(seen))
-            table = np.repeat(np.arange(256, dtype=np.int32)[:, None], 256, axis=1)
-            table = np.concatenate([table, np.zeros((len(seen), 256), np.int32)])
-            at, of = np.arange(len(pair), dtype=np.int32) + 256, 256 + np.searchsorted(seen, pair)
-            rest = third < 0
-            table[of[rest]] = at[rest][:, None]
-            table[of[~rest], third[~rest]] = at[~rest]
-            _loaded.update(key=key, value=(block, table, pages))
+            rows = read_parquet(f"{self.path}/shard={k}", ["key", "log"])
+            grams, logs = rows.column("key").to_numpy(), rows.column("log").to_numpy()
+            del rows
+            order = np.argsort(grams)
+            _loaded.update(key=key, value=(grams[order], logs[order]))
         return _loaded["value"]
 
 
@@ -203,63 +304,79 @@ _loaded: dict = {}
 
 
 def build_tree(counts: DataFrame) -> ContextTree:
-    """The weighted tree of a written table (kind, key, n). Runs jobs and writes pages when called."""
+    """The weighted tree of a written table (kind, key, n). Runs jobs and writes tables when called."""
     spark = counts.sparkSession
-    grams = counts.where(F.col("kind") == _GRAM).select("key", "n", F.shiftright("key", 16).alias("pair"))
-    by_pair = grams.groupBy("pair")
-    twos = by_pair.applyInArrow(_node_two, "latest int, counts binary, weighted binary")
-    ones = {r["latest"]: r for r in twos.groupBy("latest").applyInArrow(
-        _node_one, "latest int, counts binary, weighted binary").collect()}
-    byte_counts, below = np.zeros((256, 256)), np.zeros((256, 255))
+    grams = counts.where(F.col("kind") == _GRAM).select("key", "n")
+    total = grams.count()
+    # Grams of the same three latest bytes are in one partition, together and in order.
+    stream = grams.repartition(F.shiftright("key", 24)).sortWithinPartitions("key")
+    twos = materialize(stream.mapInArrow(_upward, f"pair int, {_SUMS}").groupBy("pair").applyInArrow(_node_two, f"pair int, {_SUMS}"), "lm-pairs")
+    ones = {r["pair"]: r for r in twos.groupBy(F.shiftright("pair", 8)).applyInArrow(_node_one, f"pair int, {_SUMS}").collect()}
+    zeros, set_, below = np.zeros((256, 255)), np.zeros((256, 255)), np.zeros((256, 255))
     for b, r in ones.items():
-        byte_counts[b], below[b] = np.frombuffer(r["counts"]), np.frombuffer(r["weighted"])
-    zeros, set_ = _bit_counts(byte_counts)
-    total, share = _weighted(_log_kt(zeros, set_), below)
-    root_zeros, root_ones = zeros.sum(axis=0), set_.sum(axis=0)
-    _, root_share = _weighted(_log_kt(root_zeros, root_ones), total.sum(axis=0))
-    upper = root_share * _next_one(root_zeros, root_ones) + (1 - root_share) * share * _next_one(zeros, set_)
-    rest = (1 - root_share) * (1 - share)
-    unseen = _page(upper + rest * 0.5)
-
-    def pages(table: pa.Table) -> pa.Table:
-        pair, third, counted = _group_counts(table)
-        zeros, ones_ = _bit_counts(counted)
-        z, o = zeros.sum(axis=0), ones_.sum(axis=0)
-        _, mine = _weighted(_log_kt(z, o), _log_kt(zeros, ones_).sum(axis=0))
-        leaf = np.concatenate([np.full((1, 255), 0.5), _next_one(zeros, ones_)])
-        found = _page(upper[pair >> 8] + rest[pair >> 8] * (mine * _next_one(z, o) + (1 - mine) * leaf))
-        return pa.table({"pair": pa.array([pair] * len(found), pa.int32()),
-                         "third": pa.array([-1, *third.tolist()], pa.int16()), "page": [x.tobytes() for x in found]})
-
-    contexts = grams.select(F.shiftright("key", 8)).distinct().count()
-    shards = max(1, -(-contexts // SHARD_PAGES))
+        zeros[b], set_[b], below[b] = (np.frombuffer(r[c]) for c in ("zeros", "ones", "weighted"))
+    first = _Node(zeros, set_, below)
+    root = _Node(zeros.sum(axis=0), set_.sum(axis=0), first.total.sum(axis=0))
+    upper, rest = first.mixed(*root.mixed(np.zeros(255), np.ones(255)))
+
+    def mix(batches):
+        for batch in batches:
+            rows = batch.to_pylist()
+            found = [_Node(*(np.frombuffer(r[c]) for c in ("zeros", "ones", "weighted"))).mixed(
+                upper[r["pair"] >> 8], rest[r["pair"] >> 8]) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([r["pair"] for r in rows], pa.int32()), *(
+                pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1))], names=["pair", "upper", "rest"])
+
     path = f"{shared_folder(spark)}/context-tree-{uuid.uuid4().hex}"
-    shard = F.shiftright(F.col("pair").cast("long") * 40503, 4) % shards
-    (by_pair.applyInArrow(pages, "pair int, third smallint, page binary").withColumn("shard", shard.cast("int"))
-     .write.partitionBy("shard").parquet(path))
-    empty = spark.createDataFrame([], "pair int, third smallint, page binary")
+    twos.mapInArrow(mix, "pair int, upper binary, rest binary").write.parquet(f"{path}/pairs")
+
+    def downward(batches):
+        pairs = None
+        for block in _blocks(batches):
+            if pairs is None:
+                # At most 65,536 rows.
+                rows = read_parquet(f"{path}/pairs")
+                order = np.argsort(rows.column("pair").to_numpy())
+                pairs = rows.column("pair").to_numpy()[order]
+                above = [np.frombuffer(rows.column(c).combine_chunks().cast(pa.large_binary()).buffers()[2], np.float64).reshape(-1, 255)
+                         for c in ("upper", "rest")]
+            at = order[np.searchsorted(pairs, block.threes >> 8)]
+            logs = block.logs(above[0][at], above[1][at])
+            yield pa.RecordBatch.from_arrays([pa.array(block.keys), pa.array(logs.astype(np.float32))], names=["key", "log"])
+
+    shards = max(1, -(-total // SHARD_GRAMS))
+    shard = F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")
+    (stream.mapInArrow(downward, "key long, log float").withColumn("shard", shard)
+     .write.partitionBy("shard").parquet(f"{path}/grams"))
+    empty = spark.createDataFrame([], "key long, log float")
     for k in range(shards):
-        # A shard without pages still is a folder to read.
-        if contexts == 0 or shards > 1:
-            empty.write.mode("append").parquet(f"{path}/shard={k}")
-    return ContextTree(path, shards, unseen)
+        # A shard without grams still is a folder to read.
+        if total == 0 or shards > 1:
+            empty.write.mode("append").parquet(f"{path}/grams/shard={k}")
+    return ContextTree(f"{path}/grams", shards)
 
 
 def _tree_scores(tree: ContextTree, held: list[Run]) -> list[np.ndarray]:
     """log10 probabilities of the rows of some runs, one shard of the tree after the other."""
-    sums = [np.zeros(r.rows) for r in held]
+    asked = []
+    for run in held:
+        padded, firsts = _padded(run)
+        keys, at = np.unique(_grams(padded)[_scored(padded, firsts)].view(np.int64), return_inverse=True)
+        asked.append((keys, at.astype(np.int32), np.full(len(keys), np.nan, np.float32)))
     for k in range(tree.shards):
-        block, table, pages = tree.shard(k)
-        for run, into in zip(held, sums):
-            padded, firsts = _padded(run)
-            context = _contexts(padded)
-            of = block[context >> 8]
-            use = _scored(padded, firsts) & (of >= 0)
-            found = np.zeros(len(padded))
-            found[DEPTH:][use] = pages[table[of[use], context[use] & 255], padded[DEPTH:][use]]
-            if run.rows:
-                into += np.add.reduceat(found, firsts)
-    return sums
+        grams, logs = tree.shard(k)
+        for keys, _, found in asked:
+            place = np.minimum(np.searchsorted(grams, keys), max(0, len(grams) - 1))
+            here = grams[place] == keys if len(grams) else np.zeros(len(keys), bool)
+            found[here] = logs[place[here]]
+    out = []
+    for run, (keys, at, found) in zip(held, asked):
+        if np.isnan(found).any():
+            raise RuntimeError("a gram of a text is missing from the tree")
+        # A row has one position a byte and one for its end.
+        firsts = run.offsets[:-1] + np.arange(run.rows)
+        out.append(np.add.reduceat(found[at].astype(np.float64), firsts) if run.rows else np.zeros(0))
+    return out
 
 
 def score_documents(df: DataFrame, held_out: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -270,7 +387,7 @@ def score_documents(df: DataFrame, held_out: str, doc_id: str = "doc_id", text:
     spark = df.sparkSession
     given = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.expr(held_out), F.lit(False)).alias("held_out"),
                       F.col(text).alias("__text"))
-    counts = materialize(count_tokens(given.where(~F.col("held_out")), "__text"), "lm-counts")
+    counts = materialize(count_tokens(given.withColumn("__training", ~F.col("held_out")), "__text", "__training"), "lm-counts")
     training_docs = given.where(~F.col("held_out")).count()
     vocabulary = counts.where(F.col("kind") == _WORD).select(F.col("key").alias("word"), F.col("n").alias("c"))
     v, n_words = vocabulary.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
@@ -296,7 +413,7 @@ def score_documents(df: DataFrame, held_out: str, doc_id: str = "doc_id", text:
         for item in texts(batches):
             held.append(item)
             size += len(item[0].data)
-            if tree.shards == 1 or size > 32 << 20:
+            if tree.shards == 1 or size > 8 << 20:
                 yield from flush(held, next_row)
                 next_row += sum(r.rows for r, _ in held)
                 held, size = [], 0

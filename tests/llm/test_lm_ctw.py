@@ -6,7 +6,7 @@ from functools import cache
 from shelfline.llm import lm_ctw
 from shelfline.llm.queries import QUERIES
 
-DEPTH = 3
+DEPTH = lm_ctw.DEPTH
 
 
 def log_kt(a, b):
@@ -94,7 +94,7 @@ def test_agrees_with_the_definition(spark):
 
 
 def test_shards_and_rare_words_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(lm_ctw, "SHARD_PAGES", 8)
+    monkeypatch.setattr(lm_ctw, "SHARD_GRAMS", 40)
     monkeypatch.setattr(lm_ctw, "HEAVY_WORDS", 10)
     check(spark, ROWS, [20, 21, 22])
 
@@ -108,6 +108,11 @@ def test_empty_table(spark):
     assert lm_ctw.score_documents(df, "doc_id = 0").collect() == []
 
 
+def test_held_out_texts_score_above_the_base(spark):
+    got = QUERIES["op7_lm_scoring"](spark, "/root/testdata/sf0.1").where("held_out").selectExpr("sum(score) AS s", "sum(base_score) AS b").first()
+    assert got["s"] > 0.97 * got["b"]
+
+
 def test_probabilities_of_a_context_sum_to_one(spark, folder):
     got = QUERIES["op7_lm_scoring"](spark, folder).toPandas()
     assert got.score.lt(0).all() and got.bits_per_byte[got.n_bytes > 500].mean() < 3.5
