@@ -83,7 +83,7 @@ b AS (
                  + 128 * (10 * n_alpha < 7 * n_words)::INT
                  + 256 * (20 * n_distinct < n_words AND n_words < 2000)::INT AS BIGINT) AS failed FROM q)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,
-       failed & 255 = 0 AS kept, failed
+       failed & 251 = 0 AS kept, failed
 FROM b
 """
 

@@ -37,6 +37,7 @@ class Rule:
 RULES = [
     Rule("few_words", "n_words < 50"),
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
+    # Length alone is no fault, so no policy here uses this one; it marks texts for other policies.
     Rule("many_words", "n_words > 1000000"),
     Rule("short_mean_word", "word_chars < 2 * n_words"),
     Rule("long_mean_word", "word_chars > 15 * n_words"),
@@ -59,9 +60,9 @@ class Policy:
 
 POLICIES = [
     Policy("base", ("few_words", "repeated_windows")),
-    Policy("v1", ("few_words", "repeated_windows", "many_words", "short_mean_word", "long_mean_word", "symbols",
+    Policy("v1", ("few_words", "repeated_windows", "short_mean_word", "long_mean_word", "symbols",
                   "repeated_lines", "few_letters")),
-    Policy("v2", ("few_words", "repeated_windows", "many_words", "symbols"),
+    Policy("v2", ("few_words", "repeated_windows", "symbols"),
            ("short_mean_word", "long_mean_word", "repeated_lines", "few_letters", "few_distinct_words"), 1),
 ]
 DEFAULT_POLICY = POLICIES[1]
