@@ -2,7 +2,7 @@
 
 Each stage reads what its predecessor wrote and works on all of it. All but the last return the columns
 of documents: language identification drops texts without a language, quality rules drop what the default
-policy rejects, near-duplicate removal keeps one document of each group of texts with similar shingles, personal data is masked in
+policy rejects, near-duplicate removal keeps one document of each group of linked SimHash fingerprints, personal data is masked in
 the text, and packing assigns buckets and batches. Stages learn (language profiles, span
 trees) from their own input only.
 
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import language_id, near_copies, packing, pii, quality_ledger
+from shelfline.llm import language_id, packing, pii, quality_ledger, simhash
 from shelfline.llm.arrays import sheltered
 from shelfline.session import materialize
 
@@ -40,9 +40,9 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest doc_id of each group of texts whose 5-word shingles have Jaccard 0.8 or more."""
+    """Keeps the document of the smallest doc_id of each group of fingerprints that operator 3 links."""
     given, names, back = sheltered(docs)
-    return back(near_copies.deduplicate(given, names["doc_id"], names["text"]))
+    return back(simhash.deduplicate(given, names["doc_id"], names["text"]))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ STAGES = [
     ("length_packing", pack_batches),
 ]
 
-#: Shingle sets, language profiles and boosted trees are not SQL.
+#: Fingerprints, language profiles and boosted trees are not SQL.
 ORACLE_SQL = None
 
 
