@@ -192,7 +192,7 @@ def write_archives(df: DataFrame, folder: str, page_id: str = "page_id", url: st
             dictionary = archive_dictionary(held)
             compressor = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
             path = f"{name}-{len(made):04d}.warc.zst"
-            out, count = system.open_output_stream(path), 0
+            out, count = system.open_output_stream(path, compression=None), 0
             made.append([path, 0, 0])
             lead = dictionary_frame(dictionary)
             out.write(lead)
