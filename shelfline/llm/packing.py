@@ -4,9 +4,9 @@ A dynamic programme over the histogram of all lengths chooses bucket boundaries
 to its bucket's boundary adds the fewest tokens. A bucket's batch holds as many texts as fit the token
 budget at that length, at least one. Batches are full but for the last of each bucket.
 
-The histogram is combined before the shuffle. Lengths up to `EXACT` are exact; longer ones are rounded up
-in their upper 16 bits for the choice of boundaries, so at most about 1.7 million cells reach the
-driver at any size. Places within a bucket are numbered in shards of about `SHARD_ROWS` rows, whose
+The histogram is combined before the shuffle and holds exact lengths, so boundaries are optimal at any length. It
+reaches the driver as three numbers per distinct length: d distinct lengths need more than d * d / 2 words, so
+10**13 words have fewer than 4.5 million, and the programme keeps one number per length and bucket. Places within a bucket are numbered in shards of about `SHARD_ROWS` rows, whose
 sizes are summed up, so no task sorts a whole bucket.
 
 Defined cases: a null or empty text has length 0 and pads like any other. Repeated rows are packed one by
@@ -16,6 +16,11 @@ An empty table gives no batches. Other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
+from collections import deque
+from collections.abc import Iterable
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +28,6 @@ from shelfline.session import materialize
 
 BUCKETS = 16
 TOKEN_BUDGET = 1 << 16
-EXACT = 1 << 16
 SHARD_ROWS = 1024
 
 
@@ -32,15 +36,7 @@ def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def cell(length: Column) -> Column:
-    """The length rounded up so that only its upper 16 bits are used; exact up to `EXACT`."""
-    grain = F.lit(1).cast("long")
-    for bits in range(17, 48):
-        grain = F.when(length > (1 << (bits - 1)), F.lit(1 << (bits - 16)).cast("long")).otherwise(grain)
-    return F.when(length <= EXACT, length).otherwise(F.ceil(length / grain) * grain).cast("long")
-
-
-def boundaries(histogram: list[tuple[int, int, int]], buckets: int = BUCKETS) -> list[int]:
+def boundaries(histogram: Iterable[tuple[int, int, int]], buckets: int = BUCKETS) -> list[int]:
     """The last length of each bucket, at most `buckets`, for the least padding.
 
     `histogram` has (length, texts, their tokens). The best split before a length is a lower envelope of
@@ -48,7 +44,7 @@ def boundaries(histogram: list[tuple[int, int, int]], buckets: int = BUCKETS) ->
     """
     histogram = sorted(histogram)
     lengths = [h[0] for h in histogram]
-    texts, tokens = [0], [0]
+    texts, tokens = array("q", [0]), array("q", [0])
     for _, n, t in histogram:
         texts.append(texts[-1] + n)
         tokens.append(tokens[-1] + t)
@@ -59,20 +55,19 @@ def boundaries(histogram: list[tuple[int, int, int]], buckets: int = BUCKETS) ->
     choices, layers = [], []
     for _ in range(min(buckets, d)):
         new: list[int | None] = [None] * (d + 1)
-        chosen = [0] * (d + 1)
-        lines: list[tuple[int, int, int]] = []
-        head = 0
+        chosen = array("q", bytes(8 * (d + 1)))
+        lines: deque[tuple[int, int, int]] = deque()
         for j in range(1, d + 1):
             if best[j - 1] is not None:
                 line = (-texts[j - 1], best[j - 1] + tokens[j - 1], j - 1)
-                while len(lines) - head >= 2 and _hidden(lines[-2], lines[-1], line):
+                while len(lines) >= 2 and _hidden(lines[-2], lines[-1], line):
                     lines.pop()
                 lines.append(line)
             x = lengths[j - 1]
-            while len(lines) - head >= 2 and lines[head + 1][0] * x + lines[head + 1][1] < lines[head][0] * x + lines[head][1]:
-                head += 1
-            if len(lines) > head:
-                slope, at_zero, chosen[j] = lines[head]
+            while len(lines) >= 2 and lines[1][0] * x + lines[1][1] < lines[0][0] * x + lines[0][1]:
+                lines.popleft()
+            if lines:
+                slope, at_zero, chosen[j] = lines[0]
                 new[j] = slope * x + at_zero + x * texts[j] - tokens[j]
         choices.append(chosen)
         layers.append(new[d])
@@ -99,11 +94,10 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", length: Colu
     measured = materialize(df.select(
         F.col(doc_id).alias("doc_id"), (word_count(text) if length is None else length.cast("long")).alias("n_tokens"),
         F.monotonically_increasing_id().alias("row")), "lengths")
-    rows = (measured.withColumn("cell", cell(F.col("n_tokens"))).groupBy("cell")
-            .agg(F.count("*").alias("n"), F.sum("n_tokens").alias("t")).collect())
-    histogram = [(r["cell"], r["n"], r["t"]) for r in rows]
-    ends = boundaries(histogram, buckets)
-    sizes = [sum(n for c, n, _ in histogram if low < c <= high) for low, high in zip([-1, *ends], ends)]
+    counted = measured.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow().sort_by("n_tokens")
+    lengths, counts = (counted.column(c).to_numpy() for c in ("n_tokens", "n"))
+    ends = boundaries(zip(lengths.tolist(), counts.tolist(), (lengths * counts).tolist()), buckets)
+    sizes = np.diff(np.append(0, np.cumsum(counts))[np.searchsorted(lengths, ends, "right")], prepend=0).tolist()
     bucket = sum([(F.col("n_tokens") > e).cast("int") for e in ends[:-1]], F.lit(0))
 
     def by_bucket(values: list[int]) -> Column:

@@ -1,6 +1,6 @@
 from itertools import combinations
 
-import pytest
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -42,14 +42,22 @@ def test_batches_are_full_and_within_the_budget(spark):
     assert packing.pack(df.where("false")).collect() == []
 
 
-@pytest.mark.parametrize("length, expected", [(0, 0), (65536, 65536), (65537, 65538), (131072, 131072), (131073, 131076), (10 ** 9, 10 ** 9)])
-def test_cells_round_up_by_a_small_share(spark, length, expected):
-    got = spark.range(1).select(packing.cell(F.lit(length).cast("long"))).first()[0]
-    assert got >= length and (got - length) * 32768 <= length
-    assert got == expected or length == 10 ** 9
-
-
-def test_lengths_between_the_last_cell_and_its_end_have_a_bucket(spark):
-    df = spark.createDataFrame([(1, 70_001), (2, 3)], "doc_id long, n long")
-    got = {r["doc_id"]: r["bucket_length"] for r in packing.pack(df.withColumn("text", F.lit("")), length=F.col("n"), buckets=2).collect()}
-    assert got == {1: 70_002, 2: 3}
+def test_long_lengths_are_packed_by_their_exact_number(spark):
+    df = spark.createDataFrame([(1, 70_001), (2, 3), (3, 1_000_003), (4, 1_000_001), (5, 70_000)], "doc_id long, n long")
+    df = df.withColumn("text", F.lit(""))
+    got = {r["doc_id"]: (r["bucket_length"], r["padding"]) for r in packing.pack(df, length=F.col("n"), buckets=4).collect()}
+    assert got == {1: (70_001, 0), 2: (3, 0), 3: (1_000_003, 0), 4: (1_000_001, 0), 5: (70_001, 1)}
+
+
+def test_many_distinct_long_lengths():
+    """Against the plain recursion over all last cuts."""
+    rng = np.random.default_rng(4)
+    lengths = np.unique(rng.integers(60_000, 10_000_000, 300))
+    counts = rng.integers(1, 1000, len(lengths))
+    n, t = np.append(0, np.cumsum(counts)), np.append(0, np.cumsum(lengths * counts))
+    best = np.where(np.arange(len(n)) == 0, 0, 1 << 60)
+    for _ in range(6):
+        last = best
+        best = np.array([0] + [min(last[i] + lengths[j - 1] * (n[j] - n[i]) - (t[j] - t[i]) for i in range(j)) for j in range(1, len(n))])
+    histogram = list(zip(lengths.tolist(), counts.tolist(), (lengths * counts).tolist()))
+    assert padding(histogram, packing.boundaries(histogram, 6)) == best[-1]
