@@ -1,7 +1,8 @@
 """Sampled segmentations over a SentencePiece vocabulary, and lossless decoding.
 
-A text is cut before every space and around every line break, and after `SEGMENT_CHARS` characters at the
-latest; no piece crosses such a cut. Within a segment all ways to cover it by pieces form a lattice.
+A text is cut only between characters that stand side by side in no piece of the vocabulary, so its lattice of
+all ways to cover it by pieces is the product of those of its segments. Runs of spaces stay whole, as do long
+words and texts without spaces where pieces hold them together.
 Forward filtering sums their probabilities up to each character; backward sampling then draws pieces from
 the end, each in proportion to its share of the sum. A draw depends on the row's key, the seed, the
 segment's number and the step alone, so a row is cut the same way in any partition, batch or attempt.
@@ -12,7 +13,8 @@ A character without a piece, and a literal U+2581, becomes its UTF-8 bytes, so d
 every text exactly.
 
 Lattices are worked out once per distinct segment of a run of rows; filtering and draws are vectorised over all
-of them.
+segments of up to `SEGMENT_CHARS` characters. Longer ones are filtered one by one, with sums scaled to lie
+near one at every character, in time and memory in proportion to their length.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text. Repeated rows with one key
 get the same segmentation; a null key is a key like any other. An empty table gives an empty result. Other
@@ -22,6 +24,9 @@ columns are carried if asked for, or ignored.
 from __future__ import annotations
 
 import re
+from array import array
+from collections.abc import Iterator
+from math import frexp, ldexp
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +41,8 @@ RANK_OFFSET = 10.0
 SEGMENT_CHARS = 48
 SEED = 5
 _SPACE = "▁"
-_SEGMENT = re.compile(r" ?[^ \n]{1,%d}| |\n" % SEGMENT_CHARS)
-_BITS = 24
+_WORDS = re.compile(r" *[^ \n]+| +|\n")
+_BITS = 53
 _FALLBACK = 1 << 24
 
 
@@ -68,6 +73,10 @@ class Vocabulary:
             self.weights[piece] = weight ** alpha * 200.0 ** len(piece)
             self.ids[piece] = i
         self.rare = min(self.weights[p] / 200.0 ** len(p) for p in self.weights) * 200.0
+        self.longest = max(map(len, self.ids))
+        self.joined = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        # Without pieces that hold a line break, or a space behind anything but a space, words are cut off by one pattern.
+        self.by_words = not any("\n" in pair or (pair[1] == " " and pair != "  ") for pair in self.joined)
         self._make_trie()
 
     def _make_trie(self) -> None:
@@ -98,6 +107,21 @@ class Vocabulary:
         for node, (i, w) in ends.items():
             self.ending[node], self.weight[node] = i, w
 
+    def segments(self, text: str) -> list[str]:
+        """The text cut where no piece can cross; short words are left whole, as fewer segments are quicker."""
+        out = []
+        for word in _WORDS.findall(text) if self.by_words else [text] if text else []:
+            if len(word) <= SEGMENT_CHARS:
+                out.append(word)
+                continue
+            begin = 0
+            for at in range(1, len(word)):
+                if word[at - 1:at + 1] not in self.joined:
+                    out.append(word[begin:at])
+                    begin = at
+            out.append(word[begin:])
+        return out
+
     def _place(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(U64) * U64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
@@ -218,6 +242,48 @@ class Lattices:
         return out, counts
 
 
+class LongLattice:
+    """The forward sums of one long segment: that up to a place is `sums[place]` times 2 to the `powers[place]`."""
+
+    def __init__(self, segment: str, vocabulary: Vocabulary):
+        self.segment, self.vocabulary = segment, vocabulary
+        self.sums, self.powers = array("d", [1.0]), array("q", [0])
+        for stop in range(1, len(segment) + 1):
+            mantissa, power = frexp(sum(mass for _, _, mass in self._edges(stop)))
+            self.sums.append(mantissa)
+            self.powers.append(self.powers[stop - 1] + power)
+
+    def _edges(self, stop: int) -> Iterator[tuple[int, int, float]]:
+        """(start, piece, mass) of the pieces that end at a place, on the scale of the place before."""
+        weights, sums, powers = self.vocabulary.weights, self.sums, self.powers
+        for start in range(stop - 1, max(0, stop - self.vocabulary.longest) - 1, -1):
+            piece = self.segment[start:stop]
+            weight = weights.get(piece)
+            if weight is not None:
+                yield start, self.vocabulary.ids[piece], ldexp(weight * sums[start], powers[start] - powers[stop - 1])
+            elif start == stop - 1:
+                yield start, _FALLBACK + ord(piece), self.vocabulary.rare * sums[start]
+
+    def sample(self, key: int) -> array:
+        """Backward sampling: the pieces in order."""
+        drawn = array("q")
+        stop = len(self.segment)
+        while stop:
+            # Draws come from the same stream as those of short segments.
+            if len(drawn) % 4096 == 0:
+                draws = mixed(np.arange(len(drawn), len(drawn) + 4096).astype(U64) + U64(key)) >> U64(64 - _BITS)
+            edges = list(self._edges(stop))
+            left = int(draws[len(drawn) % 4096]) / (1 << _BITS) * sum(mass for _, _, mass in edges)
+            for start, piece, mass in edges:
+                if left < mass:
+                    break
+                left -= mass
+            drawn.append(piece)
+            stop = start
+        drawn.reverse()
+        return drawn
+
+
 _vocabularies: dict = {}
 
 
@@ -228,12 +294,43 @@ def vocabulary_of(path: str, alpha: float = 1.0) -> Vocabulary:
     return _vocabularies[path, alpha]
 
 
+def _sampled(distinct: list[str], known: np.ndarray, seeds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of each occurrence `known` of a distinct segment in order, and their number per occurrence."""
+    sizes = np.fromiter(map(len, distinct), np.int64, len(distinct))
+    short = sizes <= SEGMENT_CHARS
+    if short.all():
+        return Lattices(distinct, vocabulary).sample(known, sizes[known], seeds)
+    counts = np.zeros(len(known), np.int64)
+    some = np.flatnonzero(short[known])
+    few = np.zeros(0, np.int64)
+    if len(some):
+        new_number = np.cumsum(short) - 1
+        lattices = Lattices([s for s, fits in zip(distinct, short) if fits], vocabulary)
+        few, counts[some] = lattices.sample(new_number[known[some]], sizes[known[some]], seeds[some])
+    long = np.flatnonzero(~short[known])
+    drawn: dict[int, array] = {}
+    # Occurrences of one segment follow each other, so one long lattice at a time is kept.
+    for at in long[np.argsort(known[long], kind="stable")].tolist():
+        if not drawn or known[at] != held:
+            held = known[at]
+            lattice = LongLattice(distinct[held], vocabulary)
+        drawn[at] = lattice.sample(int(seeds[at]))
+        counts[at] = len(drawn[at])
+    start = np.cumsum(counts) - counts
+    out = np.empty(int(counts.sum()), np.int64)
+    own = counts[some]
+    out[np.repeat(start[some] - (np.cumsum(own) - own), own) + np.arange(len(few))] = few
+    for at, pieces in drawn.items():
+        out[start[at]:start[at] + len(pieces)] = pieces
+    return out, counts
+
+
 def encode_run(run: Run, keys: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all rows, and their number per row."""
     segments: list[str] = []
     per_row = np.zeros(run.rows, np.int64)
     for i, raw in enumerate(run.texts()):
-        own = _SEGMENT.findall(raw.decode("utf-8", "replace"))
+        own = vocabulary.segments(raw.decode("utf-8", "replace"))
         per_row[i] = len(own)
         segments += own
     if not segments:
@@ -243,9 +340,8 @@ def encode_run(run: Run, keys: np.ndarray, vocabulary: Vocabulary) -> tuple[np.n
     index = {s: i for i, s in enumerate(dict.fromkeys(segments))}
     distinct = list(index)
     known = np.fromiter(map(index.__getitem__, segments), np.int64, len(segments))
-    lengths = np.fromiter(map(len, distinct), np.int64, len(distinct))[known]
     seeds = mixed(mixed(keys[rows]) + number.astype(U64)) << U64(8)
-    pieces, counts = Lattices(distinct, vocabulary).sample(known, lengths, seeds)
+    pieces, counts = _sampled(distinct, known, seeds, vocabulary)
     owner = np.repeat(rows, counts)
     if (pieces >= _FALLBACK).any():
         byte_ids = vocabulary.byte_ids

@@ -1,4 +1,5 @@
 from collections import Counter
+from fractions import Fraction
 from math import isclose
 
 import numpy as np
@@ -45,6 +46,54 @@ def test_draws_follow_the_lattice(vocabulary, segment):
         assert isclose(seen[way] / n, share, abs_tol=5 * (share * (1 - share) / n) ** 0.5 + 1e-4)
 
 
+@pytest.mark.parametrize("segment", ["     ", "   the", "hello", "é中", "aaaaaaa"])
+def test_long_path_follows_the_lattice(vocabulary, segment):
+    ways = coverings(segment, vocabulary)
+    total = sum(w for _, w in ways)
+    n = 20_000
+    lattice = p.LongLattice(segment, vocabulary)
+    seen = Counter(tuple(lattice.sample(int(k))) for k in p.mixed(np.arange(n, dtype=np.uint64)) << np.uint64(8))
+    assert set(seen) <= {w for w, _ in ways}
+    for way, weight in ways:
+        share = weight / total
+        assert isclose(seen[way] / n, share, abs_tol=5 * (share * (1 - share) / n) ** 0.5 + 1e-4)
+
+
+def test_spaces_and_unspaced_text_use_the_whole_lattice(vocabulary):
+    """Shares of the pieces drawn, against forward and backward sums over the whole uncut text in exact fractions."""
+    text = "if  x:\n        return" + " " * 5 + "https://example.com/" + "abcdefgh" * 25 + "中文字符" * 20
+    weight = {w: Fraction(v) for w, v in vocabulary.weights.items()}
+    n, longest = len(text), vocabulary.longest
+    edges = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - longest), j) if text[i:j] in weight or j == i + 1]
+    mass = {e: weight.get(text[slice(*e)], Fraction(vocabulary.rare)) for e in edges}
+    forward, backward = [Fraction(1)] + [Fraction(0)] * n, [Fraction(0)] * n + [Fraction(1)]
+    for i, j in edges:
+        forward[j] += forward[i] * mass[i, j]
+    for i, j in sorted(edges, reverse=True):
+        backward[i] += backward[j] * mass[i, j]
+    wanted = {e: float(forward[e[0]] * mass[e] * backward[e[1]] / forward[n]) for e in edges}
+    rows = 3000
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * rows)], names=["t"])
+    drawn = Counter()
+    for run in runs(batch, "t", 1 << 20):
+        ids, counts = p.encode_run(run, np.arange(run.first, run.first + run.rows, dtype=np.uint64), vocabulary)
+        for own in np.split(ids, np.cumsum(counts)[:-1]):
+            ends = np.cumsum([len(vocabulary.bytes_[i]) for i in own])
+            drawn.update(zip([0, *ends[:-1].tolist()], ends.tolist()))
+    place = np.cumsum([0] + [len(c.encode()) for c in text]).tolist()
+    assert any(text[i:j] == "        " and wanted[i, j] > 0.01 for i, j in edges)
+    for (i, j), share in wanted.items():
+        if text[i:j] in weight:
+            assert isclose(drawn[place[i], place[j]] / rows, share, abs_tol=5.5 * (share * (1 - share) / rows) ** 0.5 + 5e-4)
+
+
+def test_cuts_are_where_no_piece_can_cross(vocabulary):
+    for text in ["  a  b \n\n  c", "x" * 300 + " " * 40 + "é中" * 60, "https://a.example/" + "q9-" * 50, " ", ""]:
+        cut = vocabulary.segments(text)
+        assert "".join(cut) == text and all(cut)
+        assert all(a[-1] + b[0] not in vocabulary.joined for a, b in zip(cut, cut[1:]))
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.one_of(st.none(), st.text(max_size=60), st.text("ab ▁\n", max_size=80)), max_size=6), st.integers(1, 50))
 def test_round_trip_and_independence(vocabulary, texts, limit):
