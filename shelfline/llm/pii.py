@@ -2,19 +2,25 @@
 
 Base spans (email, ip, card, phone) are leftmost, non-overlapping matches of fixed patterns with checks;
 they always stay. Generators with high recall propose further spans of each kind, which may overlap: whatever
-surrounds an at sign, spelt-out addresses, and every run of digits and their usual separators. Gradient
-boosted trees score a proposal by its format and its context. They are trained by the base spans, which
-agree with some proposals, without the features that decide a base match (a leading plus, the Luhn sum,
-parts up to 255), so that they carry over to proposals that only look alike. The proposals of all rows
-calibrate a threshold for each kind: the lowest score above which `PRECISION` of at least
-`LEAST_FOUND` proposals agree with a base span. Without such a score a kind gets nothing added.
+surrounds an at sign, spelt-out addresses, bracketed dots, and every run of digits and their usual separators. Gradient
+boosted trees score a proposal by its format and its context. No spans are labelled, so examples are made
+from base spans: copies in their own context, written in ways that no base pattern matches (`(at)`, `[.]`, other
+separators, no plus), are right; copies with a fault (a broken Luhn sum, a part above 255, too few digits, a host
+without a dot) and proposals of the texts that touch no base span are wrong.
+
+A quarter of the strings, picked by hash, is never fitted. Their examples in all rows, base spans left out,
+calibrate a threshold for each kind: the lowest score above which `PRECISION` of at least `LEAST_FOUND` are
+right. Without such a score a kind gets nothing added. As true spans that no base pattern matches count as wrong in
+it, precision on real text is at least that stated if people respell data as the copies do.
 
 The trees are fitted to about `TRAINING_DOCS` rows, picked by a hash of id and text; that bound is a
 parameter. Thresholds come from counts by kind and score, in steps of 1 / `SCORE_STEPS`, over the whole table.
 Every whole text is searched.
 
-Defined cases: a null text is empty. Repeated rows are searched one by one. If base spans agree with no
-or with all proposals, nothing is added. Offsets count code points, ends are exclusive. Other columns
+Defined cases: a null text is empty. Repeated rows are searched one by one. Without base spans nothing is added. Of
+overlapping proposals the one with the highest score is taken, of equal scores the first by start, kind and end. An
+empty table gives an empty result, and one of base spans only has no threshold. Very long texts are searched whole,
+512 rows at a time. Offsets count code points, ends are exclusive. Other columns
 are carried or ignored; redaction keeps all columns and brings a column `n_chars` up to date.
 """
 
@@ -22,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,7 +47,7 @@ TRAINING_DOCS = 20_000
 PRECISION = 0.98
 LEAST_FOUND = 20
 SCORE_STEPS = 1 << 16
-TREES, DEPTH = 10, 3
+TREES, DEPTH = 16, 4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -103,7 +110,8 @@ def spans_text(spans: list[Span]) -> str:
 # Proposals -------------------------------------------------------------------------------------
 
 _AT = re.compile(r"[^\s@,;<>()\[\]\"']{1,64}@[^\s@,;<>()\[\]\"']{1,255}")
-_SPELT = re.compile(r"[\w.%+-]{1,64} ?[\[(]at[\])] ?[\w-]{1,63}(?: ?(?:\.|[\[(]dot[\])]) ?[\w-]{1,63}){1,5}", re.I)
+_SPELT = re.compile(r"[\w.%+-]{1,64} ?[\[(]at[\])] ?[\w-]{1,63}(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]{1,63}){1,5}", re.I)
+_BRACKETED = re.compile(r"[0-9]{1,3}(?: ?[\[(](?:\.|dot)[\])] ?[0-9]{1,3}){3}", re.I)
 _NUMBER = re.compile(r"[+(]{0,2}[0-9](?:[ ().,/-]{0,2}[0-9]){5,40}")
 _WORD = re.compile(r"\w+")
 #: Words that often stand before such data.
@@ -112,7 +120,7 @@ _HINTS = [frozenset(x.split()) for x in (
     "card visa credit payment account pay", "phone tel call mobile fax cell number whatsapp")]
 FEATURES = ["kind", "length", "digits", "letters", "groups", "longest_group", "shortest_group", "spaces", "dots", "dashes",
             "brackets", "at_signs", "digit_share", "leading_zero", "hint", "word_before", "word_after", "touches_before",
-            "touches_after", "last_label"]
+            "touches_after", "last_label", "luhn", "octets", "plus"]
 
 
 def proposals(text: str) -> list[Span]:
@@ -124,6 +132,8 @@ def proposals(text: str) -> list[Span]:
     low = text.lower() if "[" in text or "(" in text else ""
     if "(at)" in low or "[at]" in low:
         found.update((m.start(), 0, m.end()) for m in _SPELT.finditer(text))
+    if any(x in low for x in ("[.]", "(.)", "[dot]", "(dot)")):
+        found.update((m.start(), 1, m.end()) for m in _BRACKETED.finditer(text))
     if _DIGIT.search(text):
         for m in _NUMBER.finditer(text):
             dots, digits = m[0].count("."), sum(c.isdigit() for c in m[0])
@@ -140,7 +150,8 @@ def proposals(text: str) -> list[Span]:
 def features(text: str, span: Span) -> list[float]:
     start, kind, end = span
     body = text[start:end].lstrip("+")
-    groups = [len(g) for g in re.findall("[0-9]+", body)]
+    runs = re.findall("[0-9]+", body)
+    groups = [len(g) for g in runs]
     digits = sum(groups)
     before, after = text[max(0, start - 40):start], text[end:end + 20]
     words = [w.lower() for w in _WORD.findall(before)][-3:]
@@ -148,7 +159,82 @@ def features(text: str, span: Span) -> list[float]:
             min(groups, default=0), body.count(" "), body.count("."), body.count("-"), body.count("(") + body.count(")"),
             body.count("@"), digits / len(body), float(body.lstrip("(")[:1] == "0"),
             float(any(w in _HINTS[kind] for w in words)), float(bool(words)), float(bool(_WORD.search(after))),
-            float(before[-1:].isalnum()), float(after[:1].isalnum()), len(body.rpartition(".")[2]) if kind == 0 else 0]
+            float(before[-1:].isalnum()), float(after[:1].isalnum()), len(body.rpartition(".")[2]) if kind == 0 else 0,
+            float(12 <= digits <= 19 and _luhn("".join(runs))), float(len(runs) == 4 and all(map(_small, runs))),
+            float("+" in text[start:start + 2])]
+
+
+def respelt(kind: int, body: str) -> list[tuple[str, bool]]:
+    """A base span written in other ways, which keep it what it is, or break it."""
+    if kind == 0:
+        name, _, host = body.partition("@")
+        return [(f"{name} (at) {host}", True), (f"{name}[at]{host.replace('.', '[dot]')}", True),
+                (f"{name} (at) {host.replace('.', ' (dot) ')}", True), (f"{name}@{host.partition('.')[0]}", False)]
+    if kind == 1:
+        parts = body.split(".")
+        broken = [*parts[:3], str(256 + int(parts[3]))]
+        return [("[.]".join(parts), True), ("(.)".join(parts), True), ("[dot]".join(parts), True),
+                ("[.]".join(broken), False), ("(.)".join(broken), False), ("[dot]".join(broken), False), (".".join(broken), False)]
+    if kind == 2:
+        digits = body.replace(" ", "").replace("-", "")
+        broken = digits[:-1] + str((int(digits[-1]) + 1) % 10)
+        return [(sep.join(d[i:i + 4] for i in range(0, len(d), 4)), d == digits)
+                for sep in (".", "/", "  ") for d in (digits, broken)] + [(broken, False)]
+    rest = body[1:]
+    seventh = [i for i, c in enumerate(body) if c in "0123456789"][6]
+    ways = [(rest, True), ("00" + rest, True), (re.sub("[ .-]+", "/", body), True), (rest[:seventh], False)]
+    return ways if not rest.isdigit() else [("00" + rest, True)]
+
+
+def _held_out(string: str) -> bool:
+    return hashlib.md5(string.encode("utf-8", "replace")).digest()[0] % 4 == 0
+
+
+class _Taken:
+    """Parts of a text that spans have taken, apart from each other and in order."""
+
+    def __init__(self, spans: list[Span] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, _, b in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def touches(self, span: Span) -> bool:
+        at = bisect_left(self.starts, span[2])
+        return at > 0 and self.ends[at - 1] > span[0]
+
+    def add(self, span: Span) -> None:
+        """A span that touches none."""
+        at = bisect_left(self.starts, span[0])
+        self.starts.insert(at, span[0])
+        self.ends.insert(at, span[2])
+
+
+def examples(text: str, held_out: bool) -> Iterator[tuple[str, Span, bool]]:
+    """(text, proposal, whether it is right), of strings that are kept out of the fit, or of the others with base spans."""
+    found = proposals(text)
+    base = base_spans(text) if found else []
+    taken, known = _Taken(base), set(base)
+    for s in found:
+        if _held_out(text[s[0]:s[2]]) == held_out:
+            if not taken.touches(s):
+                yield text, s, False
+            elif s in known and not held_out:
+                yield text, s, True
+    for a, k, b in base:
+        if _held_out(text[a:b]) != held_out:
+            continue
+        before, after = text[max(0, a - 60):a], text[b:b + 40]
+        for way, right in respelt(k, text[a:b]):
+            window, low, high = before + way + after, len(before), len(before) + len(way)
+            kept = _Taken(base_spans(window))
+            for s in proposals(window):
+                if s[0] < high and low < s[2] and not kept.touches(s):
+                    yield window, s, right and s == (low, k, high)
 
 
 @dataclass
@@ -173,16 +259,17 @@ class PiiModel:
         base = base_spans(text)
         if not self.trees or min(self.thresholds) > 1:
             return base, base
-        open_ = [s for s in proposals(text) if self.thresholds[s[1]] <= 1
-                 and not any(a < s[2] and s[0] < b for a, _, b in base)]
+        taken = _Taken(base)
+        open_ = [s for s in proposals(text) if self.thresholds[s[1]] <= 1 and not taken.touches(s)]
         if not open_:
             return base, base
         scores = self.scores(np.array([features(text, s) for s in open_]))
-        taken: list[Span] = []
+        added: list[Span] = []
         for score, s in sorted(zip(scores.tolist(), open_), key=lambda x: (-x[0], x[1])):
-            if score >= self.thresholds[s[1]] and not any(a < s[2] and s[0] < b for a, _, b in taken):
-                taken.append(s)
-        return base, sorted(base + taken)
+            if score >= self.thresholds[s[1]] and not taken.touches(s):
+                taken.add(s)
+                added.append(s)
+        return base, sorted(base + added)
 
 
 def _tree_arrays(weight: float, tree) -> tuple:
@@ -204,7 +291,7 @@ def _tree_arrays(weight: float, tree) -> tuple:
 
 
 def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int = TRAINING_DOCS) -> PiiModel:
-    """Trees from proposals in about `docs` rows, thresholds from those of all rows. Runs jobs when called."""
+    """Trees from examples in about `docs` rows, thresholds from those of all rows. Runs jobs when called."""
     share = 1 << 20
     total = df.count()
     below = min(share, -(-share * docs // max(1, total)))
@@ -216,15 +303,12 @@ def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int =
             for start in range(0, batch.num_rows, 256):
                 x, y = [], []
                 for t in batch.column(1).slice(start, 256).to_pylist():
-                    base = set(base_spans(t))
-                    for s in proposals(t):
-                        if hashlib.md5(t[s[0]:s[2]].encode()).digest()[0] % 4:
-                            x.append(features(t, s))
-                            y.append(float(s in base))
+                    for window, s, right in examples(t, held_out=False):
+                        x.append(features(window, s))
+                        y.append(float(right))
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())],
                                                  names=["x", "label"])
 
-    # A quarter of the strings proposed is kept out of the fit.
     fitting = materialize(picked.mapInArrow(task, "x array<double>, label double"), "pii-proposals")
     if fitting.select("label").distinct().count() < 2:
         return PiiModel()
@@ -238,18 +322,16 @@ def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", docs: int =
 
 
 def score_counts(df: DataFrame, model: PiiModel, text: str = "text") -> DataFrame:
-    """(kind, step, n, n_right): the proposals of all rows by kind and score, and how many of them are base spans."""
+    """(kind, step, n, n_right): the examples kept out of the fit in all rows by kind and score, and how many are right."""
     def task(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 x, keys, right = [], [], []
                 for t in batch.column(0).slice(start, 256).to_pylist():
-                    found = proposals(t)
-                    base = set(base_spans(t)) if found else ()
-                    for s in found:
-                        x.append(features(t, s))
+                    for window, s, is_right in examples(t, held_out=True):
+                        x.append(features(window, s))
                         keys.append(s[1])
-                        right.append(s in base)
+                        right.append(is_right)
                 if x:
                     steps = np.floor(model.scores(np.array(x)) * SCORE_STEPS).astype(np.int64)
                     found, place = np.unique(np.array(keys) * (SCORE_STEPS + 1) + steps, return_inverse=True)

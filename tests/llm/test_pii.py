@@ -89,15 +89,67 @@ def test_thresholds_cover_all_rows(spark):
     for r in pii.score_counts(df, model).collect():
         n, right = counts.get(r["kind"], (0, 0))
         counts[r["kind"]] = n + r["n"], right + r["n_right"]
-    found = [(s, t) for _, t in rows for s in pii.proposals(t)]
+    found = [(s[1], right) for _, t in rows for _, s, right in pii.examples(t, held_out=True)]
     for k in range(len(pii.KINDS)):
-        own = [s in pii.base_spans(t) for s, t in found if s[1] == k]
+        own = [right for kind, right in found if kind == k]
         assert counts.get(k, (0, 0)) == (len(own), sum(own))
-    # Some fifty of them are in the sample, so some twelve were held out.
-    assert counts[3][1] == 500 and model.thresholds[3] <= 1
+    # The sample has some fifty phones; all rows have 500, of which a quarter is held out and written in three ways.
+    assert counts[3][1] > 250 and model.thresholds[3] <= 1
     assert pii._calibrated(np.array([5, 9, 1]), np.array([1, 98, 40]), np.array([1, 97, 0])) == 5 / pii.SCORE_STEPS
 
 
+def test_strings_of_the_fit_calibrate_nothing():
+    text = "mail a.b@c.example.com, 10.0.0.255 and 99.1.2.3, card 4111 1111-1111 1111 or +1 (632) 555-4827, not 1234567890123456"
+    fitted, held = ({(w[s[0]:s[2]], s[1]) for w, s, _ in pii.examples(text, part)} for part in (False, True))
+    assert fitted and not fitted & held
+    right = {w[s[0]:s[2]] for part in (False, True) for w, s, r in pii.examples(text, part) if r and s not in plain(w)}
+    assert {"a.b (at) c.example.com", "10[.]0[.]0[.]255", "4111.1111.1111.1111", "1 (632) 555-4827"} <= right
+    for part in (False, True):
+        for w, s, r in pii.examples(text, part):
+            assert r or s not in plain(w)
+            assert not (part and s in plain(w))
+
+
+def test_planted_respelt_data_is_found(spark):
+    """Data written as no base pattern matches, in texts that the model has not seen, beside decoys."""
+    rng = np.random.default_rng(7)
+    words = "the on river over stone lamp green under walk seven bridge".split()
+
+    def some(n):
+        return " ".join(rng.choice(words, n))
+
+    def base():
+        digits = "4" + "".join(map(str, rng.integers(0, 10, 14)))
+        digits += next(str(d) for d in range(10) if luhn(digits + str(d)))
+        return [f"{rng.choice(words)}.{rng.integers(10, 99)}@mail{rng.integers(1, 9)}.example.com", ".".join(map(str, rng.integers(1, 255, 4))), digits,
+                f"+{rng.integers(1, 99)} ({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)}"]
+
+    decoys = [lambda: f"order 20{rng.integers(10, 30)}-{rng.integers(10, 12)}-{rng.integers(10, 28)}-{rng.integers(10, 99)}",
+              lambda: f"version {rng.integers(1, 9)}.{rng.integers(300, 999)}.{rng.integers(1, 99)}.{rng.integers(300, 999)}",
+              lambda: f"token a{rng.integers(10 ** 8, 10 ** 9)}f{rng.integers(10 ** 7, 10 ** 8)}b", lambda: f"@{rng.choice(words)}"]
+    texts = []
+    for i in range(3000):
+        own = base()[i % 4] if i % 3 == 0 else decoys[i % 4]()
+        texts.append(f"{some(6)} {own} {some(5)}")
+    unseen, wanted = [], []
+    for i in range(400):
+        email, ip, card, phone = base()
+        own = [email.replace("@", " (at) "), ip.replace(".", "[.]"), ".".join(card[j:j + 4] for j in range(0, 16, 4)), phone[1:]][i % 4]
+        clean = decoys[i % 4]()
+        before = some(4)
+        unseen.append(f"{before} {own} {some(3)} {clean} {some(2)}")
+        wanted.append((len(before) + 1, i % 4, len(before) + 1 + len(own)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = pii.train(df)
+    hits = added = 0
+    for text, span in zip(unseen, wanted):
+        base_found, every = model.spans(text)
+        assert base_found == plain(text) == []
+        hits += span in every
+        added += len(every)
+    assert hits >= 0.9 * len(wanted) and hits >= 0.97 * added
+
+
 def test_tree_arrays_score_as_the_library_does(spark):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
