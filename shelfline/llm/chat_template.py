@@ -10,7 +10,9 @@ within a generation block.
 
 Conversations are rendered as streams: rows come sorted by conversation and turn, a `for` over the
 messages takes them one by one, and the output is cut into parts of about `PART_CHARS` characters. A
-conversation with any number of turns needs the memory of one turn and one part.
+conversation with any number of turns needs the memory of one turn and one part. So a template may pass over
+`messages` once on each of its paths, and besides take single ones by a fixed number below `LOOK_AHEAD`
+(`messages[0]`, null if there are fewer), which are read ahead and kept. Any other use is a `TemplateError` before a job runs.
 
 Texts are escaped so that no control string can come from a text: a backslash is doubled and each
 control string gets a backslash after its first character. Reading back undoes it exactly.
@@ -27,13 +29,14 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PART_CHARS = 1 << 16
+LOOK_AHEAD = 64
 #: Strings that chat models read as control tokens.
 CONTROL_STRINGS = ["<|im_start|>", "<|im_end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 DEFAULT_TEMPLATE = """
@@ -323,6 +326,8 @@ def _shown(value: object) -> str:
 def _member(of: object, key: object) -> object:
     if isinstance(of, dict):
         return of.get(key)
+    if isinstance(of, Messages):
+        return of.head[key] if key < len(of.head) else None
     if isinstance(of, (list, tuple, str)) and isinstance(key, int) and not isinstance(key, bool):
         return of[key] if -len(of) <= key < len(of) else None
     return None
@@ -355,14 +360,14 @@ def fold(node):
         return Const(_member(of.value, key.value)) if isinstance(of, Const) and isinstance(key, Const) else Member(of, key)
     if isinstance(node, Filter):
         of = fold(node.of)
-        return Const(FILTERS[node.name](of.value)) if isinstance(of, Const) else Filter(of, node.name)
+        return _constant(Filter(of, node.name)) if isinstance(of, Const) else Filter(of, node.name)
     if isinstance(node, Operation):
         args = [fold(a) for a in node.args]
         if node.sign in ("and", "or"):
             if isinstance(args[0], Const):
                 return args[1] if bool(args[0].value) == (node.sign == "and") else args[0]
         elif all(isinstance(a, Const) for a in args):
-            return Const(_OPERATIONS[node.sign](*[a.value for a in args]))
+            return _constant(Operation(node.sign, args))
         return Operation(node.sign, args)
     if isinstance(node, Output):
         return Output(fold(node.value))
@@ -380,6 +385,14 @@ def fold(node):
     return node
 
 
+def _constant(node):
+    """A node of constants as its value; one that fails is left to fail if it is rendered."""
+    try:
+        return Const(_value(node)({}))
+    except (TypeError, ValueError, AttributeError):
+        return node
+
+
 # Closures --------------------------------------------------------------------------------------
 
 Piece = tuple[str, bool]
@@ -471,6 +484,57 @@ class Template:
         return iter(self.run(dict(variables)))
 
 
+def stream_reads(node, name: str = "messages", looped: bool = False) -> tuple[int, int]:
+    """How often a path of a tree passes over a stream, and how many of its first items it asks for by number.
+
+    Raises `TemplateError` for a use that a stream can't serve.
+    """
+    if isinstance(node, list):
+        reads = [stream_reads(n, name, looped) for n in node]
+        return sum(r[0] for r in reads), max((r[1] for r in reads), default=0)
+    if isinstance(node, Name) and node.name == name:
+        raise TemplateError(f"{name} can only be passed over by one `for`, or be asked for an item by a number")
+    if isinstance(node, Member) and isinstance(node.of, Name) and node.of.name == name:
+        number = node.key.value if isinstance(node.key, Const) else None
+        if type(number) is not int or not 0 <= number < LOOK_AHEAD:
+            raise TemplateError(f"an item of {name} goes by a number from 0 to {LOOK_AHEAD - 1}")
+        return 0, number + 1
+    if isinstance(node, (For, Assign)) and node.name == name:
+        raise TemplateError(f"{name} can't be another variable")
+    if isinstance(node, For):
+        own = isinstance(node.over, Name) and node.over.name == name
+        if own and looped:
+            raise TemplateError(f"a `for` over {name} can't be in another loop")
+        over = (1, 0) if own else stream_reads(node.over, name, looped)
+        body = stream_reads(node.body, name, True)
+        return over[0] + body[0], max(over[1], body[1])
+    if isinstance(node, If):
+        test, then, other = (stream_reads(n, name, looped) for n in (node.test, node.then, node.other))
+        return test[0] + max(then[0], other[0]), max(test[1], then[1], other[1])
+    if isinstance(node, Member):
+        return stream_reads([node.of, node.key], name, looped)
+    if isinstance(node, Operation):
+        return stream_reads(list(node.args), name, looped)
+    if isinstance(node, Generation):
+        return stream_reads(node.body, name, looped)
+    if isinstance(node, Filter):
+        return stream_reads(node.of, name, looped)
+    if isinstance(node, (Output, Assign)):
+        return stream_reads(node.value, name, looped)
+    return 0, 0
+
+
+class Messages:
+    """A stream whose first items are kept, to be asked for by number; it can be passed over once."""
+
+    def __init__(self, items: Iterator, ahead: int):
+        self.items = items
+        self.head = list(islice(items, ahead))
+
+    def __iter__(self) -> Iterator:
+        return chain(self.head, self.items)
+
+
 # On Spark --------------------------------------------------------------------------------------
 
 _PARTS = "conv_id {kind}, part long, start long, text string, loss array<struct<start:long,stop:long>>"
@@ -481,7 +545,9 @@ def format_conversations(df: DataFrame, template: str = DEFAULT_TEMPLATE, conv_i
     """(conv_id, part, start, text, loss): formatted text in parts; `loss` has the spans to train on, counted
     in code points from the start of the conversation's text."""
     kind = df.schema[conv_id].dataType.simpleString()
-    Template(template)
+    passes, ahead = stream_reads(Template(template).tree)
+    if passes > 1:
+        raise TemplateError("a second `for` over messages on one path would find none")
     given = df.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
                       F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -495,7 +561,7 @@ def format_conversations(df: DataFrame, template: str = DEFAULT_TEMPLATE, conv_i
             key = rows.peek()[0]
             messages = ({"role": r, "text": t} for _, r, t in rows.run(key))
             held, spans, size, start, part = [], [], 0, 0, 0
-            for piece, marked in compiled.render(messages=messages):
+            for piece, marked in compiled.render(messages=Messages(messages, ahead)):
                 if not piece:
                     continue
                 if held and size + len(piece) > part_chars:

@@ -80,3 +80,39 @@ def test_conversations_on_spark(spark):
     assert c.read_back(c.format_conversations(df.where("false"))).collect() == []
     names = c.read_back(c.format_conversations(df.selectExpr("cast(conv_id as string) AS conv_id", "turn", "role", "text"))).collect()
     assert {r["conv_id"] for r in names} == {"1", "2", "3", None}
+
+
+@pytest.mark.parametrize("source, expected", [
+    ("{{ none | escape }}|{{ 5 | upper }}|{{ true | trim }}|{{ 'ab' | length }}", "|5|true|2"),
+    ("{% if x %}{{ 5 | length }}{{ 'a' < 1 }}{% endif %}ok", "ok"),
+    ("{{ 'a' ~ none ~ 1 }}", "a1"),
+])
+def test_folding_keeps_the_meaning(source, expected):
+    assert "".join(t for t, _ in c.Template(source).render()) == expected
+
+
+def test_constants_that_fail_do_so_when_rendered():
+    template = c.Template("{{ 5 | length }}")
+    with pytest.raises(TypeError):
+        list(template.render())
+
+
+@pytest.mark.parametrize("source", [
+    "{% for m in messages %}a{% endfor %}{% for m in messages %}b{% endfor %}",
+    "{% for x in messages %}{% for m in messages %}a{% endfor %}{% endfor %}",
+    "{{ messages | length }}", "{% if messages %}a{% endif %}", "{{ messages[i] }}", "{{ messages[64] }}", "{{ messages['role'] }}",
+    "{% set x = messages %}", "{% set messages = 'a' %}",
+])
+def test_uses_of_messages_that_a_stream_cannot_serve(spark, source):
+    df = spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string")
+    with pytest.raises(c.TemplateError):
+        c.format_conversations(df, source)
+
+
+def test_messages_by_number(spark):
+    source = ("{% if messages[0].role == 'system' %}<{{ messages[0].text }}>{% for m in messages %}{{ m.text }}/{{ messages[2].text }},{% endfor %}"
+              "{% else %}{% for m in messages %}{{ m.text }};{% endfor %}{% endif %}")
+    rows = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "d"), (2, 0, "user", "x"), (3, 0, "system", "t")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r["text"] for r in c.format_conversations(df, source).collect()}
+    assert got == {1: "<s>s/b,a/b,b/b,d/b,", 2: "x;", 3: "<t>t/,"}
