@@ -172,7 +172,7 @@ def respelt(kind: int, body: str) -> list[tuple[str, bool]]:
                 (f"{name} (at) {host.replace('.', ' (dot) ')}", True), (f"{name}@{host.partition('.')[0]}", False)]
     if kind == 1:
         parts = body.split(".")
-        broken = [*parts[:3], str(256 + int(parts[3]))]
+        broken = [*parts[:3], str(256 + int(parts[3].lstrip("0") or 0))]
         return [("[.]".join(parts), True), ("(.)".join(parts), True), ("[dot]".join(parts), True),
                 ("[.]".join(broken), False), ("(.)".join(broken), False), ("[dot]".join(broken), False), (".".join(broken), False)]
     if kind == 2:

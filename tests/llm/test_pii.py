@@ -110,6 +110,13 @@ def test_strings_of_the_fit_calibrate_nothing():
             assert not (part and s in plain(w))
 
 
+def test_long_padded_numbers_make_examples():
+    text = "1.2.3." + "0" * 5000 + "7 and " + "9" * 6000 + " +1" + " " * 5000 + "23456789012"
+    assert len(pii.base_spans(text)) == 2
+    for part in (False, True):
+        assert all(w[s[0]:s[2]] for w, s, _ in pii.examples(text, part))
+
+
 def test_planted_respelt_data_is_found(spark):
     """Data written as no base pattern matches, in texts that the model has not seen, beside decoys."""
     rng = np.random.default_rng(7)
