@@ -8,14 +8,17 @@ objects, so a template reaches nothing but its variables. It is parsed into a sy
 folded, and the tree becomes Python closures that yield pieces of text with a mark whether a piece lies
 within a generation block.
 
-Conversations are rendered as streams: rows come sorted by conversation and turn, a `for` over the
-messages takes them one by one, and the output is cut into parts of about `PART_CHARS` characters. A
+Rows are sorted by ranges of (conversation, turn), so a conversation with any share of the rows spans several
+portions. Each portion is rendered by itself as a stream: the `for` over the messages takes them one by one and
+counts on from the portions before it, what precedes the loop is shown by the first portion and what follows it by the last. The
+output is cut into parts of about `PART_CHARS` characters, whose places are then summed up over the portions. A
 conversation with any number of turns needs the memory of one turn and one part. So a template may pass over
 `messages` once on each of its paths, and besides take single ones by a fixed number below `LOOK_AHEAD`
 (`messages[0]`, null if there are fewer), which are read ahead and kept. Any other use is a `TemplateError` before a job runs.
 
 Texts are escaped so that no control string can come from a text: a backslash is doubled and each
-control string gets a backslash after its first character. Reading back undoes it exactly.
+control string gets a backslash after its first character. Reading back undoes it exactly; its digests are
+sequential by nature, so one task streams the parts of a conversation through them.
 
 Defined cases: a null text or role is empty, and so is a missing member. Turns of a conversation go by
 turn (null first), then role and text, so ties have one order; repeated rows are turns of their own. Rows
@@ -27,14 +30,18 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.session import materialize
+
 PART_CHARS = 1 << 16
 LOOK_AHEAD = 64
 #: Strings that chat models read as control tokens.
@@ -454,15 +461,19 @@ def _step(node, marked: bool) -> Callable[[dict], Iterator[Piece]]:
     over, body = _value(node.over), _steps(node.body, marked)
 
     def loop(env):
-        items = iter(over(env) or ())
+        passed = over(env) or ()
+        stream = passed if isinstance(passed, Messages) else Messages(passed)
+        stream.place = Messages.WITHIN
+        items = iter(stream)
         current = next(items, _END)
-        index = 0
+        index = stream.offset
         while current is not _END:
             following = next(items, _END)
             # A loop's body has its own variables.
             yield from body(env | {node.name: current, "loop": {
-                "index": index + 1, "index0": index, "first": index == 0, "last": following is _END}})
+                "index": index + 1, "index0": index, "first": index == 0, "last": following is _END and not stream.more}})
             current, index = following, index + 1
+        stream.place = Messages.AFTER
 
     return loop
 
@@ -525,58 +536,146 @@ def stream_reads(node, name: str = "messages", looped: bool = False) -> tuple[in
 
 
 class Messages:
-    """A stream whose first items are kept, to be asked for by number; it can be passed over once."""
+    """A portion of a conversation's messages, which can be passed over once.
+
+    `offset` messages precede it and `more` says whether others follow. The conversation's first messages are kept, to
+    be asked for by number: those given as `head`, else the first `ahead` of the portion. `place` is where the
+    rendering is: before, within or after the loop over the messages.
+    """
+    BEFORE, WITHIN, AFTER = range(3)
 
-    def __init__(self, items: Iterator, ahead: int):
-        self.items = items
-        self.head = list(islice(items, ahead))
+    def __init__(self, items: Iterable, ahead: int = 0, head: list | None = None, offset: int = 0, more: bool = False):
+        self.items = iter(items)
+        self.taken = list(islice(self.items, ahead)) if head is None else []
+        self.head = self.taken if head is None else head
+        self.offset, self.more, self.place = offset, more, self.BEFORE
 
     def __iter__(self) -> Iterator:
-        return chain(self.head, self.items)
+        return chain(self.taken, self.items)
+
+    def shows(self) -> bool:
+        """Whether text from here belongs to this portion: what precedes the loop is the first one's, what follows it the last one's."""
+        return self.place == self.WITHIN or (self.offset == 0 if self.place == self.BEFORE else not self.more)
 
 
 # On Spark --------------------------------------------------------------------------------------
 
-_PARTS = "conv_id {kind}, part long, start long, text string, loss array<struct<start:long,stop:long>>"
+_PARTS = "conv_id {kind}, portion int, part long, start long, text string, loss array<struct<start:long,stop:long>>"
+PREFIX_CHARS = 128
+
+
+def _portions(df: DataFrame, portions: int | None) -> DataFrame:
+    """The rows in order, written with the portion of their conversation and their place in it."""
+    role, text = F.col("role"), F.col("text")
+    short = F.length(role) <= PREFIX_CHARS
+    # Bounds are sampled on the driver, so they are made of prefixes; these go as the whole values do.
+    ranges = [F.asc("conv_id"), F.asc_nulls_first("turn"), F.substring(role, 1, PREFIX_CHARS).asc(), (~short).asc(),
+              F.when(short, F.substring(text, 1, PREFIX_CHARS)).asc()]
+    spread = df.repartitionByRange(portions, *ranges) if portions else df.repartitionByRange(*ranges)
+    ordered = spread.sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "role", "text").select("conv_id", "role", "text")
+    kind = df.schema["conv_id"].dataType.simpleString()
+
+    def task(batches):
+        portion = TaskContext.get().partitionId()
+        now, place = _END, 0
+        for batch in batches:
+            places = []
+            for conv in batch.column(0).to_pylist():
+                if conv != now:
+                    now, place = conv, 0
+                places.append(place)
+                place += 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(batch.num_rows, portion, np.int32)), pa.array(places, pa.int64())],
+                names=["conv_id", "role", "text", "portion", "place"])
+
+    return materialize(ordered.mapInArrow(task, f"conv_id {kind}, role string, text string, portion int, place long"), "messages")
+
+
+def _summed(portions: DataFrame, sums: list[str]) -> DataFrame:
+    """(conv_id, portion, more, `sums` over the portions before) of the portions of conversations that have several.
+
+    A task of the ranges holds one such conversation's end and one's start at most, so there are less than two rows a task.
+    """
+    own = Window.partitionBy("conv_id")
+    before = own.orderBy("portion").rowsBetween(Window.unboundedPreceding, -1)
+    several = F.min("portion").over(own) < F.max("portion").over(own)
+    told = portions.select("conv_id", "portion", several.alias("several"), (F.col("portion") < F.max("portion").over(own)).alias("more"),
+                           *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(c) for c in sums])
+    return materialize(told.where("several").drop("several"), "portions")
+
+
+def _with(df: DataFrame, facts: DataFrame, how: str = "left") -> DataFrame:
+    """`df` with the facts of its portion; these are few, see `_summed`."""
+    known = F.broadcast(facts.withColumnsRenamed({"conv_id": "_conv", "portion": "_portion"}))
+    return df.join(known, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("portion") == F.col("_portion")), how).drop("_conv", "_portion")
 
 
 def format_conversations(df: DataFrame, template: str = DEFAULT_TEMPLATE, conv_id: str = "conv_id", turn: str = "turn",
-                         role: str = "role", text: str = "text", part_chars: int = PART_CHARS) -> DataFrame:
+                         role: str = "role", text: str = "text", part_chars: int = PART_CHARS,
+                         portions: int | None = None) -> DataFrame:
     """(conv_id, part, start, text, loss): formatted text in parts; `loss` has the spans to train on, counted
-    in code points from the start of the conversation's text."""
+    in code points from the start of the conversation's text.
+
+    `portions` is the number of ranges that rows are sorted in, by default the session's shuffle partitions. Runs jobs when called.
+    """
     kind = df.schema[conv_id].dataType.simpleString()
     passes, ahead = stream_reads(Template(template).tree)
     if passes > 1:
         raise TemplateError("a second `for` over messages on one path would find none")
+    _Parts(kind)
     given = df.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"),
                       F.coalesce(F.col(role).cast("string"), F.lit("")).alias("role"),
                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    ordered = given.repartition("conv_id").sortWithinPartitions("conv_id", F.asc_nulls_first("turn"), "role", "text")
+    rows = _portions(given, portions)
+    facts = _summed(rows.groupBy("conv_id", "portion").agg(F.count("*").alias("offset")), ["offset"])
+    told = _with(rows, facts).select("conv_id", "portion", F.lit(True).alias("own"), "place", "role", "text", "offset", "more")
+    if ahead:
+        # The first messages of a conversation of several portions, for each of its portions.
+        first = _with(rows, facts, "inner").where(F.col("offset") + F.col("place") < ahead).select(
+            F.col("conv_id").alias("_conv"), (F.col("offset") + F.col("place")).alias("place"), "role", "text")
+        heads = first.join(facts, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
+            "conv_id", "portion", F.lit(False).alias("own"), "place", "role", "text", "offset", "more")
+        told = told.unionByName(heads)
+    ordered = told.repartition("conv_id", "portion").sortWithinPartitions("conv_id", "portion", "own", "place").drop("place")
 
     def task(batches):
         compiled = Template(template)
-        rows = _Lookahead(row for batch in batches for row in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3))))
+        rows = _Lookahead((tuple(row[:3]), *row[3:]) for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         out = _Parts(kind)
+
+        def own(key):
+            return ({"role": r, "text": t} for _, r, t, _, _ in rows.run(key))
+
         while rows.more():
-            key = rows.peek()[0]
-            messages = ({"role": r, "text": t} for _, r, t in rows.run(key))
+            key, _, _, offset, more = rows.peek()
+            single = offset is None
+            head = None if single else list(own((*key[:2], False)))
+            messages = Messages(own((*key[:2], True)), ahead, head, offset or 0, bool(more))
             held, spans, size, start, part = [], [], 0, 0, 0
-            for piece, marked in compiled.render(messages=Messages(messages, ahead)):
-                if not piece:
+            for piece, marked in compiled.render(messages=messages):
+                if not piece or not messages.shows():
                     continue
                 if held and size + len(piece) > part_chars:
-                    yield from out.add(key, part, start, held, spans)
+                    yield from out.add(*key[:2], part, start, held, spans)
                     start, part, held, spans, size = start + size, part + 1, [], [], 0
                 if marked:
                     spans.append({"start": start + size, "stop": start + size + len(piece)})
                 held.append(piece)
                 size += len(piece)
-            yield from out.add(key, part, start, held, spans)
+            yield from out.add(*key[:2], part, start, held, spans)
             for _ in messages:
                 pass
         yield from out.rest()
 
-    return ordered.mapInArrow(task, _PARTS.format(kind=kind))
+    parts = materialize(ordered.mapInArrow(task, _PARTS.format(kind=kind)), "formatted")
+    sizes = _with(parts, facts.select("conv_id", "portion"), "inner").groupBy("conv_id", "portion").agg(
+        F.count("*").alias("parts"), F.sum(F.length("text")).alias("chars"))
+    before = {c: F.coalesce(c, F.lit(0)) for c in ("parts", "chars")}
+    return _with(parts, _summed(sizes, ["parts", "chars"])).select(
+        "conv_id", (F.col("part") + before["parts"]).alias("part"), (F.col("start") + before["chars"]).alias("start"), "text",
+        F.transform("loss", lambda x: F.struct((x["start"] + before["chars"]).alias("start"),
+                                               (x["stop"] + before["chars"]).alias("stop"))).alias("loss"))
 
 
 class _Lookahead:
@@ -606,35 +705,40 @@ class _Parts:
         if self.key is None:
             raise ValueError(f"conversation ids must be whole numbers or strings, not {kind}")
 
-    def add(self, key, part, start, held, spans):
-        self.rows.append((key, part, start, "".join(held), spans))
+    def add(self, key, portion, part, start, held, spans):
+        self.rows.append((key, portion, part, start, "".join(held), spans))
         self.size += sum(map(len, held)) + 64
         return self.rest() if self.size >= self.limit else ()
 
     def rest(self):
         if self.rows:
-            kinds = [self.key, pa.int64(), pa.int64(), pa.string(),
+            kinds = [self.key, pa.int32(), pa.int64(), pa.int64(), pa.string(),
                      pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
             columns = list(zip(*self.rows))
             self.rows, self.size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             names=["conv_id", "part", "start", "text", "loss"])
+                                             names=["conv_id", "portion", "part", "start", "text", "loss"])
 
 
+_TURN_END = "<|im_end|>\n"
 _TURN = re.compile(r"<\|im_start\|>((?:[^\\\n]|\\.)*)\n(.*?)<\|im_end\|>\n", re.S)
 
 
 def read_turns(parts) -> Iterator[tuple[str, str]]:
     """(role, text) of the turns in formatted text of the default template, given in parts."""
-    held = ""
-    for part in chain(parts, [None]):
-        at = 0
-        held += part or ""
+    held, waiting, tail = "", [], ""
+    for part in parts:
+        waiting.append(part)
+        tail = tail[-len(_TURN_END):] + part
+        # Parts without the end of a turn wait, so a long text is scanned once.
+        if _TURN_END not in tail:
+            continue
+        held, waiting, at = held + "".join(waiting), [], 0
         while found := _TURN.match(held, at):
             yield unescape(found[1]), unescape(found[2])
             at = found.end()
         held = held[at:]
-    if held:
+    if held or any(waiting):
         raise TemplateError("formatted text does not end with a whole turn")
 
 

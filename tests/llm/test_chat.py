@@ -116,3 +116,30 @@ def test_messages_by_number(spark):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = {r["conv_id"]: r["text"] for r in c.format_conversations(df, source).collect()}
     assert got == {1: "<s>s/b,a/b,b/b,d/b,", 2: "x;", 3: "<t>t/,"}
+
+
+@pytest.mark.parametrize("portions", [1, 2, 7, 40])
+@pytest.mark.parametrize("source", [
+    c.DEFAULT_TEMPLATE,
+    "<{{ messages[1].text }}{% for m in messages %}{{ loop.index }}{% if loop.first %}F{% endif %}{% generation %}{{ m.role }}:{{ m.text | escape }}"
+    "{% endgeneration %}{% if loop.last %}L{% else %},{% endif %}{{ messages[2].text }}{% endfor %}>{{ messages[0].role }}",
+    "{% if messages[3].text %}many{% generation %}{% for m in messages %}{{ m.text }}{% for x in none %}{% endfor %}{% endfor %}{% endgeneration %}"
+    "{% else %}few {{ messages[0].text }}{% endif %}.",
+])
+def test_a_conversation_over_several_portions(spark, source, portions):
+    rows = [(1, i // 2 if i else None, "assistant" if i % 2 else "user", f"{i} </s> é" * (i % 5)) for i in range(300)]
+    rows += [(1, 7, "user", "same")] * 30 + [(1, 8, "r" * 200 + str(i), "x" * 300 + str(i % 3)) for i in range(20)]
+    rows += [(k, 0, "user", "a") for k in range(2, 9)] + [(None, i, "assistant", str(i)) for i in range(50)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got: dict = {}
+    for r in sorted(c.format_conversations(df, source, part_chars=64, portions=portions).collect(), key=lambda r: r["part"]):
+        text, marked, parts = got.get(r["conv_id"], ("", "", 0))
+        assert (r["part"], r["start"]) == (parts, len(text))
+        text += r["text"]
+        got[r["conv_id"]] = (text, marked + "".join(text[s["start"]:s["stop"]] for s in r["loss"]), parts + 1)
+    assert got.keys() == {r[0] for r in rows}
+    for key, (text, marked, _) in got.items():
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1], r[2], r[3]))
+        pieces = list(c.Template(source).render(messages=c.Messages([{"role": r[2], "text": r[3]} for r in own], 4)))
+        assert text == "".join(p for p, _ in pieces)
+        assert marked == "".join(p for p, m in pieces if m)
