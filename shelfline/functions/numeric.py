@@ -64,6 +64,28 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], spread: list[
     return big.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
+def sized_join(rows: DataFrame, facts: DataFrame, keys: list[str], spread: list[str], how: str = "inner", sizes: DataFrame | None = None,
+               hot_keys: int = 1000) -> DataFrame:
+    """Join rows to facts that `facts` has once per key, each key in as many parts as its rows call for.
+
+    A key that owns more than one in `hot_keys` of all rows gets a part for each such share, its rows dealt out by a hash of
+    the columns `spread` and its facts repeated for each part. There are fewer than `hot_keys` such keys, which are broadcast, and
+    less than twice as many repeated facts at any table size; the other facts travel once. `sizes` has the rows of each key in
+    `_n`, for callers that know them; otherwise they are counted.
+    """
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if sizes is None else sizes.select(*keys, "_n")
+    share = F.col("_n") * F.lit(float(hot_keys)) / F.col("_all")
+    shares = with_scalar(sizes, sizes.agg(F.sum("_n").alias("n")), "_all")
+    hot = F.broadcast(shares.where(share > 1).select(*keys, F.ceil(share).cast("int").alias("_parts")))
+
+    def parted(df: DataFrame, salt: Column) -> DataFrame:
+        return df.join(hot, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1))).withColumn("_salt", salt).drop("_parts")
+
+    dealt = parted(rows, F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int"))
+    repeated = parted(facts, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def counted_join(rows: DataFrame, facts: DataFrame, key: str, size: str, hot_keys: int = 1000, how: str = "inner") -> DataFrame:
     """Inner or left join of rows to facts that `facts` has once per key, with the number of rows of the key in `size`.
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import weighted_inversions
-from shelfline.functions.numeric import no_nan, spread_join, with_scalar
+from shelfline.functions.numeric import no_nan, sized_join, with_scalar
 from shelfline.operators.distribution import with_ranks
 from shelfline.operators.sampling import priority_sample
 from shelfline.schema import MEASURES
@@ -84,7 +84,11 @@ def _ranked_pairs(cells: DataFrame, keys: list[str] = ("row", "col")) -> DataFra
             F.col("below").alias(f"below_{s}"), *keep)
 
     # A value that many pairs share, as in a column of few values, is spread by the other side's value.
-    return spread_join(spread_join(cells, side("x", [F.col("total")]), [*keys, "x"], ["y"]), side("y", []), [*keys, "y"], ["x"])
+    def sizes(s: str) -> DataFrame:
+        return cells.groupBy(*keys, s).agg(F.count(F.lit(1)).alias("_n"))
+
+    joined = sized_join(cells, side("x", [F.col("total")]), [*keys, "x"], ["y"], sizes=sizes("x"))
+    return sized_join(joined, side("y", []), [*keys, "y"], ["x"], sizes=sizes("y"))
 
 
 def _pearson_pairs(df: DataFrame, pairs: list[Pair]) -> DataFrame:

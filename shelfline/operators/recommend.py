@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.numeric import spread_join, with_scalar
+from shelfline.functions.numeric import sized_join, with_scalar
 from shelfline.operators.filters import filter_preferences
 from shelfline.operators.interval_topk import Order, best_per_key, interval_topk
 from shelfline.schema import STRATEGIES, RankingWeights, RecommendParams
@@ -17,8 +17,6 @@ BY_RATING = Order((("rating", True),))
 BY_VALUE = Order((("value_score", True),))
 BY_RATING_THEN_CHEAP = Order((("rating", True), ("discounted_price", False)))
 
-# Parts of a target price's rows; each repeats the price's few best candidates.
-PRICE_SALTS = 4
 CANDIDATE_COLUMNS = ["product_id", "main_category", "discounted_price", "rating", "rating_count"]
 
 
@@ -51,7 +49,7 @@ def _same_key(products: DataFrame, key: str, n: int, targets: DataFrame | None,
     """Best n of the same key; one spare candidate makes room for the target itself."""
     candidates = products.where(F.col(key).isNotNull()).select(*dict.fromkeys([*CANDIDATE_COLUMNS, key]))
     best = best_per_key(candidates, [key], BY_RATING_AND_REVIEWS, n + 1)
-    matched = spread_join(_chosen(products, targets), best, [key], ["product_id"])
+    matched = sized_join(_chosen(products, targets), best, [key], ["product_id"])
     return _unpack(matched, n, exclude_same=exclude_same)
 
 
@@ -61,13 +59,13 @@ def _in_interval(products: DataFrame, keys: list[str], order: Order, low: Column
     pool = (products if candidates is None else candidates)
     pool = pool.select(*dict.fromkeys([*CANDIDATE_COLUMNS, *keys, *[c for c, _ in order.by]]))
     chosen = _chosen(products, targets).where(F.col("discounted_price").isNotNull())
-    distinct = chosen.select(*keys, F.col("discounted_price").alias("target_price")).distinct()
+    counts = chosen.groupBy(*keys, F.col("discounted_price").alias("target_price")).agg(F.count(F.lit(1)).alias("_n"))
     for key in keys:
-        distinct = distinct.where(F.col(key).isNotNull())
-    asked = distinct.select(*keys, "target_price", low.alias("low"), high.alias("high"))
+        counts = counts.where(F.col(key).isNotNull())
+    asked = counts.select(*keys, "target_price", low.alias("low"), high.alias("high"))
     best = interval_topk(pool, asked, keys, order, n + 1)
     matched = chosen.select(*dict.fromkeys(["product_id", "rating", *keys]), F.col("discounted_price").alias("target_price"))
-    return _unpack(spread_join(matched, best, [*keys, "target_price"], ["product_id"], salts=PRICE_SALTS), n, keep)
+    return _unpack(sized_join(matched, best, [*keys, "target_price"], ["product_id"], sizes=counts), n, keep)
 
 
 def _times(factor: float) -> Column:

@@ -38,8 +38,9 @@ def write_index(df: DataFrame, path: str, column: str = "product_name", key: str
     text = folded(F.col(column))
     postings = df.where(F.col(column).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("key"), F.explode(_grams(text)).alias("gram")).distinct().withColumn("bucket", _bucket(F.col("gram")))
-    # A trigram of many names is spread over as many tasks as its keys fill.
-    spread = postings.repartition("bucket", F.pmod(F.xxhash64("key"), F.lit(8))).sortWithinPartitions("bucket", "gram", "key")
+    # Even ranges: a trigram of many names fills as many tasks as its keys need, and a file holds few trigrams.
+    order = ["bucket", "gram", "key"]
+    spread = postings.repartitionByRange(*order).sortWithinPartitions(*order)
     spread.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
     stored = df.sparkSession.read.parquet(f"{path}/postings")
     stored.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("gram").sortWithinPartitions("gram").write.mode(

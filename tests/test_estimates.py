@@ -123,3 +123,19 @@ def test_sampled_kendall(numbers):
     assert held_ >= 3
     flat = association.kendall_sampled(numbers.withColumn("z", F.lit(1.0)), ["v", "z"], rows=100).first()
     assert flat["value"] is None
+
+
+def test_samples_send_little_more_than_their_rows(spark):
+    df = spark.range(40_000).select(F.col("id").alias("product_id"), F.when(F.col("id") < 30_000, F.lit(None)).otherwise(F.col("id") % 3).alias("g"),
+                                    (F.col("id") % 50).cast("double").alias("w"))
+    weights = F.when(F.col("product_id") == 7, float("inf")).when(F.col("product_id") == 8, float("nan")).otherwise(F.col("w"))
+    for by in ([], ["g"]):
+        rows = df.withColumn("w", weights).where("w > 0").withColumn("priority", F.col("w") / sampling.hashed_unit("product_id", 42))
+        few = sampling._promising(rows, 200, by)
+        groups = few.groupBy(*by).count().collect()
+        assert len(groups) == (4 if by else 1) and all(201 <= r["count"] <= 260 for r in groups)
+        got = sampling.priority_sample(df.withColumn("w", weights), 200, weight="w", by=by)
+        best = rows.toPandas().sort_values(["priority", "product_id"], ascending=[False, True], na_position="first")
+        expected = best.groupby(by, dropna=False).head(200) if by else best.head(200)
+        assert sorted(r["product_id"] for r in got.collect()) == sorted(expected.product_id)
+    assert sampling.priority_sample(df.where("false"), 5).collect() == []

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import two_sided_p, weighted_inversions
+from shelfline.functions.numeric import sized_join
 from shelfline.operators import association as assoc
 from shelfline.operators import charts, distribution, grouping, summary
 from shelfline.operators.distribution import PREFIX_SHIFTS, quantiles, value_code, with_ranks
@@ -186,3 +187,16 @@ def test_windows_stay_small_whatever_the_values(spark, low, step):
     assert [r["below"] for r in got] == [0, 500_000, 999_999] and all(r["total"] == 1_000_000 for r in got)
     assert got[1]["value"] == low + 500_000 * step
     assert quantiles(counts, ["column"], [0.5]).first()["q"] == [low + 499_999 * step + (low + 500_000 * step - low - 499_999 * step) * 0.5]
+
+
+def test_sized_join_cuts_hot_keys_only(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1500).alias("k"), F.col("id"))
+    rows = rows.withColumn("k", F.when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("k")))
+    facts = rows.where("k is not null and k <> 5").select("k").distinct().withColumn("fact", F.col("k") * 2)
+    for how in ("inner", "left"):
+        for hot_keys in (1000, 3):
+            got = sized_join(rows, facts, ["k"], ["id"], how, hot_keys=hot_keys)
+            assert sorted(map(str, got.select("k", "id", "fact").collect())) == sorted(
+                map(str, rows.join(facts, "k", how).select("k", "id", "fact").collect()))
+    told = sized_join(rows.limit(0), facts, ["k"], ["id"])
+    assert told.columns == ["k", "id", "fact"] and told.collect() == []
