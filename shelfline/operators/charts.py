@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.inversions import two_sided_p
-from shelfline.functions.numeric import no_nan, with_scalar, spread_join
+from shelfline.functions.numeric import no_nan, with_scalar, sized_join
 from shelfline.operators.association import pearson
 from shelfline.operators.distribution import cumulative, long_values, quantiles, value_counts
 from shelfline.schema import MEASURES
@@ -95,7 +95,7 @@ def kde(df: DataFrame, columns: list[str] = MEASURES, points: int = 300, by: lis
     high = F.floor((F.col("value") + KERNEL_REACH * F.col("h") - F.col("start")) / F.col("step"))
     reach = F.sequence(F.greatest(low, F.lit(0)).cast("int"), F.least(high, last).cast("int"), F.lit(1))
     z = (x - F.col("value")) / F.col("h")
-    sums = (spread_join(counts, grid, keys, ["value"])
+    sums = (sized_join(counts, grid, keys, ["value"])
             .where((low <= last) & (high >= 0) & (low <= high))
             .withColumn("point", F.explode(reach))
             .groupBy(*keys, "point").agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("mass")))
@@ -128,7 +128,7 @@ def kde_binned(df: DataFrame, columns: list[str] = MEASURES, points: int = 300,
     left = F.least(F.greatest(F.floor(at), F.lit(0)), F.lit(points - 1) * F.col("refine") - 1).cast("int")
     shares = F.inline(F.array(F.struct(F.col("left").alias("bin"), (1.0 - F.col("part")).alias("w")),
                               F.struct((F.col("left") + 1).alias("bin"), F.col("part").alias("w"))))
-    placed = spread_join(values, grid, keys, ["value"]).withColumn("left", left).withColumn("part", at - F.col("left"))
+    placed = sized_join(values, grid, keys, ["value"]).withColumn("left", left).withColumn("part", at - F.col("left"))
     bins = placed.select(*keys, shares).groupBy(*keys, "bin").agg(F.sum("w").alias("w")).where("w > 0")
     # From here on the rows of a key are bounded by its grid.
     last = F.lit(points - 1)
@@ -154,7 +154,7 @@ def box_stats(df: DataFrame, columns: list[str] = MEASURES, by: list[str] = ())
     ).select("*", (F.col("q1") - 1.5 * iqr).alias("lower_fence"),
              (F.col("q3") + 1.5 * iqr).alias("upper_fence"))
     inside = F.col("value").between(F.col("lower_fence"), F.col("upper_fence"))
-    return spread_join(counts, fences, keys, ["value"]).groupBy(
+    return sized_join(counts, fences, keys, ["value"]).groupBy(
         *keys, "q1", "median", "q3", "lower_fence", "upper_fence").agg(
         F.sum("n").alias("count"), F.min("value").alias("min"), F.max("value").alias("max"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
@@ -167,7 +167,7 @@ def outliers(df: DataFrame, columns: list[str] = MEASURES, by: list[str] = ()) -
     keys = [*by, "column"]
     fences = box_stats(df, columns, by).select(*keys, "lower_fence", "upper_fence")
     inside = F.col("value").between(F.col("lower_fence"), F.col("upper_fence"))
-    return spread_join(value_counts(df, columns, by), fences, keys, ["value"]).where(~inside).select(*keys, "value", "n")
+    return sized_join(value_counts(df, columns, by), fences, keys, ["value"]).where(~inside).select(*keys, "value", "n")
 
 
 def violin(df: DataFrame, column: str = "rating", by: str = "main_category",
