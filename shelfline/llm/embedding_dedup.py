@@ -16,7 +16,7 @@ at a time; no task holds more than two blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components, and rows with a
 null label or vec_id, link with nothing and are their own component. Vectors of different lengths don't
-link. Repeated rows are vectors that link with each other. An empty table gives an empty result. Other
+link; their size doesn't matter, from the smallest to the largest double. Repeated rows are vectors that link with each other. An empty table gives an empty result. Other
 columns are ignored.
 """
 
@@ -61,8 +61,14 @@ def calibrate(rows: int, threshold: float = THRESHOLD, recall: float = RECALL) -
         tables += 1
 
 
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors by powers of two so that their largest components lie from 0.5 to 1: squares neither overflow nor vanish."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def _signatures(vectors: np.ndarray, plan: dict) -> tuple[np.ndarray, np.ndarray]:
     """Per vector and table, the sign prefix and the projection of its direction."""
+    vectors = _scaled(vectors)
     unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     random = np.random.default_rng([SEED, vectors.shape[1]])
     lines = random.standard_normal((vectors.shape[1], plan["tables"]))
@@ -108,7 +114,7 @@ def _linked(table: pa.Table, plan: dict, threshold: float) -> pa.Table:
     width = 4 * plan["tables"]
     prefix = np.ascontiguousarray(body[:, :width]).view(np.int32)
     line = np.ascontiguousarray(body[:, width:2 * width]).view(np.float32).astype(np.float64)
-    vectors = np.ascontiguousarray(body[:, 2 * width:]).view(plan["kind"]).astype(np.float64).reshape(-1, length)
+    vectors = _scaled(np.ascontiguousarray(body[:, 2 * width:]).view(plan["kind"]).astype(np.float64).reshape(-1, length))
     norms = np.sqrt((vectors * vectors).sum(axis=1))
     side, across = table.column("side").to_numpy(), table.column("low")[0].as_py() != table.column("high")[0].as_py()
     copies = table.column("copies").to_numpy()

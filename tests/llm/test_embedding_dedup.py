@@ -65,3 +65,11 @@ def test_unfit_vectors_link_with_nothing(spark):
                 (13, 1, 12, False), (11, 0, 11, True)] + [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9)]
     assert got == sorted(expected, key=str)
     assert e.near_duplicates(df.where("false")).collect() == []
+
+
+def test_size_of_vectors_does_not_matter(spark):
+    rows = [(i, [a * size, b * size], 1) for i, (a, b, size) in enumerate([
+        (1.0, 0.0, 1e300), (1.0, 0.1, 1e-300), (2.0, 0.1, 1e160), (0.0, 1.0, 1e308), (0.0, 1.0, 5e-324), (-1.0, 0.0, 1e-170)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in e.near_duplicates(df).collect()}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
