@@ -18,7 +18,9 @@ near one at every character, in time and memory in proportion to their length.
 
 Defined cases: a null or empty text has no pieces and decodes to the empty text. Repeated rows with one key
 get the same segmentation; a null key is a key like any other. An empty table gives an empty result. Other
-columns are carried if asked for, or ignored.
+columns are carried if asked for, or ignored; one that is named like a result gives way to it.
+
+The model file is read by the driver, from a path or an address that it can open, and sent to the executors.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.arrays import U64, Run, map_runs, mixed
+from shelfline.llm.arrays import U64, Run, fresh, map_runs, mixed
+from shelfline.llm.storage import open_folder
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+MODEL_BYTES = 1 << 26
 RANK_OFFSET = 10.0
 SEGMENT_CHARS = 48
 SEED = 5
@@ -49,8 +53,8 @@ _FALLBACK = 1 << 24
 class Vocabulary:
     """The pieces of a model with their weights, and what each id decodes to."""
 
-    def __init__(self, path: str, alpha: float = 1.0):
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
+    def __init__(self, content: bytes, alpha: float = 1.0):
+        model = sentencepiece.SentencePieceProcessor(model_proto=content)
         n = model.get_piece_size()
         kept = [i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
         scores = {i: model.get_score(i) for i in kept}
@@ -287,11 +291,21 @@ class LongLattice:
 _vocabularies: dict = {}
 
 
-def vocabulary_of(path: str, alpha: float = 1.0) -> Vocabulary:
-    """A model's vocabulary, read once per process."""
-    if (path, alpha) not in _vocabularies:
-        _vocabularies[path, alpha] = Vocabulary(path, alpha)
-    return _vocabularies[path, alpha]
+def vocabulary_of(content: bytes, alpha: float = 1.0) -> Vocabulary:
+    """The vocabulary of a model file's bytes, made once per process."""
+    if (content, alpha) not in _vocabularies:
+        _vocabularies[content, alpha] = Vocabulary(content, alpha)
+    return _vocabularies[content, alpha]
+
+
+def read_model(path: str) -> bytes:
+    """A model file of at most `MODEL_BYTES`, so that it may be sent to every executor."""
+    system, inner = open_folder(path)
+    with system.open_input_stream(inner, compression=None) as stream:
+        content = stream.read(MODEL_BYTES + 1)
+    if len(content) > MODEL_BYTES:
+        raise ValueError(f"{path} has more than {MODEL_BYTES} bytes")
+    return content
 
 
 def _sampled(distinct: list[str], known: np.ndarray, seeds: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -364,14 +378,18 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[st
 
     With `verified`, a boolean column of that name says whether the pieces decode to the text again.
     """
-    keep = [key] if keep is None else keep
+    added = [verified] if verified else []
+    results = {c.lower() for c in ("piece_ids", *added)}
+    keep = [c for c in ([key] if keep is None else keep) if c.lower() not in results]
     kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    given = df.select(*[F.col(c) for c in keep], F.col(text).alias("__text"),
-                      F.xxhash64(F.col(key), F.lit(seed)).alias("__key"))
+    body_name, key_name = fresh(df, "text"), fresh(df, "key")
+    given = df.select(*[F.col(c) for c in keep], F.col(text).alias(body_name),
+                      F.xxhash64(F.col(key), F.lit(seed)).alias(key_name))
+    content = df.sparkSession.sparkContext.broadcast(read_model(model))
 
     def work(run: Run, fields: dict[str, pa.Array]) -> pa.RecordBatch:
-        keys = fields.pop("__key").to_numpy(zero_copy_only=False).view(U64)
-        vocabulary = vocabulary_of(model, alpha)
+        keys = fields.pop(key_name).to_numpy(zero_copy_only=False).view(U64)
+        vocabulary = vocabulary_of(content.value, alpha)
         pieces, counts = encode_run(run, keys, vocabulary)
         cuts = np.concatenate([[0], np.cumsum(counts)])
         columns = [pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(pieces.astype(np.int32)))]
@@ -381,9 +399,8 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", keep: list[st
                 cuts[:-1].tolist(), cuts[1:].tolist(), run.texts())], pa.bool_()))
         return pa.RecordBatch.from_arrays([*fields.values(), *columns], names=[*keep, "piece_ids", *added])
 
-    added = [verified] if verified else []
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + ["piece_ids array<int>", *(f"`{c}` boolean" for c in added)])
-    return map_runs(given, "__text", [*keep, "__key"], schema, work)
+    return map_runs(given, body_name, [*keep, key_name], schema, work)
 
 
 def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
@@ -391,15 +408,19 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 
 
 def decode(df: DataFrame, pieces: str = "piece_ids", name: str = "decoded", model: str = MODEL) -> DataFrame:
-    """`df` with the text of its piece ids; null pieces give the empty text."""
+    """`df` with the text of its piece ids; null pieces give the empty text. A column called `name` is replaced."""
+    content = df.sparkSession.sparkContext.broadcast(read_model(model))
+    kept = [f for f in df.schema.fields if f.name.lower() != name.lower()]
+
     def task(batches):
-        vocabulary = vocabulary_of(model)
+        vocabulary = vocabulary_of(content.value)
         for batch in batches:
             place = batch.schema.get_field_index(pieces)
             for start in range(0, batch.num_rows, 256):
                 cut = batch.slice(start, 256)
                 texts = [decode_ids(ids or [], vocabulary) for ids in cut.column(place).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(texts, pa.string())], names=[*cut.schema.names, name])
+                own = [cut.column(cut.schema.get_field_index(f.name)) for f in kept]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(texts, pa.string())], names=[*(f.name for f in kept), name])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(task, f"{fields}, `{name}` string")
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
+    return df.mapInArrow(task, f"{fields}`{name}` string")

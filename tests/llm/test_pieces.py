@@ -14,7 +14,7 @@ from shelfline.llm.arrays import runs
 
 @pytest.fixture(scope="module")
 def vocabulary():
-    return p.vocabulary_of(p.MODEL)
+    return p.vocabulary_of(p.read_model(p.MODEL))
 
 
 def coverings(segment, vocabulary):
@@ -136,3 +136,22 @@ def test_shares_do_not_depend_on_other_segments(spark, folder, vocabulary):
     whole, single = ([p.encode_run(r, keys[r.first:r.first + r.rows], vocabulary)[0] for r in runs(texts, "t", limit)]
                      for limit in (1 << 20, 1))
     assert len(whole) == 1 and np.concatenate(whole).tolist() == np.concatenate(single).tolist()
+
+
+def test_columns_with_the_names_of_results(spark):
+    df = spark.createDataFrame([(1, "ein  Text", "a", "b", "c", True)], "doc_id long, text string, piece_ids string, decoded string, __key string, lossless boolean")
+    encoded = p.encode(df, keep=["doc_id", "piece_ids", "decoded", "__key", "lossless"], verified="lossless")
+    assert encoded.columns == ["doc_id", "decoded", "__key", "piece_ids", "lossless"]
+    r = p.decode(encoded).first()
+    assert (r["decoded"], r["__key"], r["lossless"]) == ("ein  Text", "c", True)
+
+
+def test_model_comes_from_the_driver(tmp_path, spark, monkeypatch):
+    copy = tmp_path / "pieces.model"
+    copy.write_bytes(p.read_model(p.MODEL))
+    encoded = p.encode(spark.createDataFrame([(1, "one two")], "doc_id long, text string"), model=str(copy))
+    copy.write_bytes(b"")  # tasks don't read the file
+    assert p.decode(encoded).first()["decoded"] == "one two"
+    monkeypatch.setattr(p, "MODEL_BYTES", 10)
+    with pytest.raises(ValueError):
+        p.read_model(p.MODEL)
