@@ -46,20 +46,26 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, which `release` drops."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back.
 
     Stages that read a table several times start from columnar files with known sizes instead of
     recomputing their input, and nothing is lost with an executor.
     """
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def release(spark: SparkSession) -> int:
-    """Drop the tables that `materialize` wrote in this application, and return how many. Results that read them end."""
+    """Drop what this application wrote at shared paths, and return how many there were. Results that read them end."""
     paths = _written.pop(spark.sparkContext.applicationId, [])
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:
