@@ -27,7 +27,6 @@ one half and the base is log10(0.1 / 0.1). Other columns are ignored.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +37,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm.arrays import Run, lowered, runs, span_hashes, words
 from shelfline.llm.storage import read_parquet
-from shelfline.session import materialize, shared_folder
+from shelfline.session import materialize, shared_path
 
 DEPTH = 5  # grams of six bytes; `_Block` holds the depths from three on
 END = 255
@@ -327,7 +326,7 @@ def build_tree(counts: DataFrame) -> ContextTree:
             yield pa.RecordBatch.from_arrays([pa.array([r["pair"] for r in rows], pa.int32()), *(
                 pa.array([x[k].tobytes() for x in found], pa.binary()) for k in (0, 1))], names=["pair", "upper", "rest"])
 
-    path = f"{shared_folder(spark)}/context-tree-{uuid.uuid4().hex}"
+    path = shared_path(spark, "context-tree")
     twos.mapInArrow(mix, "pair int, upper binary, rest binary").write.parquet(f"{path}/pairs")
 
     def downward(batches):

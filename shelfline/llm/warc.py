@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.storage import open_folder
-from shelfline.session import materialize, shared_folder
+from shelfline.session import materialize, shared_path
 
 SKIPPABLE = 0x184D2A5D
 ARCHIVE_BYTES = 64 << 20
@@ -293,4 +293,4 @@ def _batch(rows: list[list], schema: str) -> pa.RecordBatch:
 
 
 def archive_folder(spark) -> str:
-    return f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    return shared_path(spark, "warc")

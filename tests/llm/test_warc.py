@@ -1,8 +1,10 @@
 import io
+import os
 
 import pytest
 import zstandard
 
+from shelfline import session
 from shelfline.llm import warc
 
 
@@ -93,3 +95,15 @@ def test_archives_are_read_by_many_tasks(spark, tmp_path):
         paths.append((path, len(RECORDS)))
     got = warc.read_archives(spark.createDataFrame(paths, "path string, records long"))
     assert got.rdd.getNumPartitions() == 40 and got.count() == 40 * len(RECORDS)
+
+
+def test_archives_are_dropped_by_release(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "a")], "page_id long, url string, html string")
+    folder = warc.archive_folder(spark)
+    assert warc.read_archives(warc.write_archives(pages, folder)).count() == 1
+    assert folder in session._written[spark.sparkContext.applicationId]
+    # Other tests' tables stay: only this folder is released.
+    others = session._written[spark.sparkContext.applicationId]
+    session._written[spark.sparkContext.applicationId] = [folder]
+    assert session.release(spark) == 1 and not os.path.exists(folder)
+    session._written[spark.sparkContext.applicationId] = [p for p in others if p != folder]
