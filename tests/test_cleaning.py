@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import parsing
 from shelfline.operators import cleaning, features, quality
-from shelfline.plans.catalog import clean_catalog
+from shelfline.plans.catalog import clean_catalog, deduplicate
 from shelfline.schema import CLEAN_SCHEMA, RAW_COLUMNS
+from shelfline.sources.listings import LISTING_ORDER, read_first_listings, read_listings
 
 
 def values(spark, rows, expr, kind="string"):
@@ -70,6 +71,20 @@ def test_keep_first_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_deduplicate_parses_only_rows_tied_in_first_place(spark):
+    rows = [("a", 2, "1"), ("a", 1, "10"), ("a", 1, "9"), ("b", None, "3"), ("b", 5, "x"), ("c", None, "7"), ("c", None, "5")]
+    raw = spark.createDataFrame(rows, "product_id string, ord int, actual_price string")
+    found = deduplicate(raw, ["ord", "actual_price"])
+    assert sorted(map(tuple, found.collect())) == [("a", 1, 9.0), ("b", 5, None), ("c", None, 5.0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("regexp_extract") < plan.rindex("WindowGroupLimit")
+
+
+def test_first_listings_are_those_of_all(spark, folder):
+    first, every = (deduplicate(read(spark, folder), LISTING_ORDER) for read in (read_first_listings, read_listings))
+    assert first.exceptAll(every).isEmpty() and every.exceptAll(first).isEmpty()
+
+
 def test_duplicates(spark):
     rows = [("a", 1), ("a", 1), ("a", 1), ("a", 2), ("b", 1), (None, 1), (None, 1)]
     df = spark.createDataFrame(rows, "product_id string, v int")
