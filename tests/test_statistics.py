@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import catalog_queries
 from shelfline.functions.inversions import two_sided_p, weighted_inversions
 from shelfline.functions.numeric import sized_join
 from shelfline.operators import association as assoc
@@ -200,3 +201,11 @@ def test_sized_join_cuts_hot_keys_only(spark):
                 map(str, rows.join(facts, "k", how).select("k", "id", "fact").collect()))
     told = sized_join(rows.limit(0), facts, ["k"], ["id"])
     assert told.columns == ["k", "id", "fact"] and told.collect() == []
+
+
+def test_outliers_equal_to_six_places_are_one(spark):
+    prices = [(1.0, 1.0)] * 20 + [(1.0, 100.1 - 50.05), (1.0, 200.2 - 150.15), (1.0, 50.05)]
+    assert len({p for _, p in prices}) > 2
+    df = spark.createDataFrame([("x", *p) for p in prices], "main_category string, discounted_price double, price_savings double")
+    got = catalog_queries._outlier_counts(df, ["discounted_price", "price_savings"]).collect()
+    assert [tuple(r) for r in got] == [("x", "price_savings", 50.05, 3)]
