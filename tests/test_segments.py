@@ -177,3 +177,33 @@ def test_released_tables_are_gone(spark, monkeypatch):
     assert df.count() == 5 and session.release(spark) == 1 and session.release(spark) == 0
     with pytest.raises(Exception):
         spark.read.schema("id long").parquet(path).count()
+
+
+def _highest_job(spark):
+    return max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_fits_of_many_seeds_share_their_passes(spark):
+    random = np.random.default_rng(5)
+    points = np.concatenate([random.normal(c, 1.0, (300, 2)) for c in (1e6, 1e6 + 8, 1e6 + 30)])
+    vectors = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["features"]).repartition(4).cache()
+    vectors.count()
+    start = _highest_job(spark)
+    fits = segments.train_many(vectors, 3, list(range(24)), tol=0.0)
+    assert _highest_job(spark) - start < 24 * 4
+    for fit in fits:
+        centres = np.array(fit.centres)
+        gaps = ((points[:, None] - centres) ** 2).sum(axis=2)
+        assert fit.cost == pytest.approx(gaps.min(axis=1).sum(), rel=1e-9)
+        for i, c in enumerate(centres):
+            assert c == pytest.approx(points[gaps.argmin(axis=1) == i].mean(axis=0), abs=1e-8)
+    best = min(fits, key=lambda f: f.cost)
+    assert sorted(map(tuple, best.model.clusterCenters())) == sorted(best.centres)
+
+
+def test_fits_of_fewer_points_than_centres(spark):
+    vectors = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 5 + [(Vectors.dense([3.0, 2.0]),)], ["features"])
+    fit = segments.train_kmeans(vectors, 4, restarts=2)
+    assert fit.cost == 0 and sorted(map(tuple, fit.model.clusterCenters())) == [(1.0, 2.0), (3.0, 2.0)]
+    with pytest.raises(Exception, match="finite"):
+        segments.train_kmeans(spark.createDataFrame([(Vectors.dense([float("nan")]),)], ["features"]), 2, restarts=1)
