@@ -112,3 +112,14 @@ def test_stability_over_seeds(spark):
     for r in table:
         if abs(r["cost_first"] - r["cost_second"]) < 1e-6:
             assert r["adjusted_rand"] == pytest.approx(1.0) and r["variation_of_information"] == pytest.approx(0.0, abs=1e-9)
+
+
+def test_pairs_of_blocks_are_measured_once_for_both_sides():
+    random = np.random.default_rng(3)
+    x, y = 1e4 + random.normal(size=(3, 700)), 1e4 + random.normal(size=(3, 300))
+    # Near and equal points keep their digits.
+    y[:, :100] = x[:, :100] + np.where(np.arange(100) % 2, 1e-7, 0.0)
+    wx, wy = np.eye(2)[random.integers(0, 2, 700)], 3.0 * np.eye(2)[random.integers(0, 2, 300)]
+    gaps = np.sqrt(((x[:, :, None] - y[:, None, :]) ** 2).sum(axis=0))
+    to_y, to_x = segments._add_distances(x, y, wx, wy, False)
+    assert np.allclose(to_y, gaps @ wy, rtol=1e-11, atol=0) and np.allclose(to_x, gaps.T @ wx, rtol=1e-11, atol=0)
