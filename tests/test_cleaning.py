@@ -138,3 +138,24 @@ def test_missing_profile(spark):
     assert rows["b"]["missing"] == 2 and rows["b"]["missing_pct"] == 66.67
     assert quality.total_missing(df).first()[0] == 3
     assert quality.numeric_columns(df.withColumn("c", F.lit(True)), ["a", "b", "c", "zz"]) == ["a", "c"]
+
+
+def test_sifted_rows_hold_all_first_ones_and_few_others(spark):
+    # Blocks of neighbouring keys have orders of their own, as keys made one after the other do.
+    random_order = F.floor(F.rand(7) * 1000).cast("long")
+    rows = spark.range(60_000).select((F.col("id") % 2000).alias("k"), (random_order + F.floor(F.col("id") % 2000 / 100) * 10_000).alias("o"), "id")
+    odd = spark.createDataFrame([(None, 5, -1), (None, 5, -2), (None, 6, -3), (-9, None, -4), (-9, None, -5), (-8, None, -6), (-8, 3, -7)], "k long, o long, id long")
+    df = rows.union(odd).cache()
+    for bounds in (1, 400, 1 << 18):
+        left = cleaning.sift_first(df, "k", "o", bounds)
+        assert left.columns == df.columns
+        ids = lambda kept: sorted(r["id"] for r in cleaning.keep_ties(kept, "k", ["o"]).collect())
+        assert ids(left) == ids(df)
+    assert cleaning.sift_first(df, "k", "o", 400).count() < 0.25 * df.count()
+    assert cleaning.sift_first(df.where("false"), "k", "o").isEmpty()
+    assert cleaning.sift_first(df.where("id < 0 and k = -8"), "k", "o").count() == 1
+
+
+def test_first_listings_are_sifted_before_the_sort(spark, folder):
+    plan = read_first_listings(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_bound" in plan.split("Window")[-1]
