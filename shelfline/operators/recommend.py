@@ -159,9 +159,9 @@ def recommend_all(products: DataFrame, n: int = 3, targets: DataFrame | None = N
 def combined(recommendations: DataFrame, strategies: list[str] = STRATEGIES) -> DataFrame:
     """Each recommended product once per target, under its strategy of highest priority."""
     priority = F.array_position(F.array(*[F.lit(s) for s in strategies]), F.col("strategy"))
-    first = F.row_number().over(
-        Window.partitionBy("product_id", "recommended_product_id").orderBy(priority))
-    return recommendations.withColumn("_first", first).where("_first = 1").drop("_first")
+    # A row number would be limited before the shuffle too, by a sort in each task that drops nothing, as a task has one strategy.
+    before = F.lag(F.lit(True)).over(Window.partitionBy("product_id", "recommended_product_id").orderBy(priority))
+    return recommendations.withColumn("_before", before).where("_before is null").drop("_before")
 
 
 def recommend_for(products: DataFrame, product_id: str, n: int = 5,

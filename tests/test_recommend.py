@@ -112,6 +112,15 @@ def test_combined_keeps_the_first_strategy(spark):
     assert edges(recommend.combined(everything)) == set(first.values())
 
 
+def test_combined_sorts_after_the_shuffle_only(spark):
+    _, df = build(spark, 30, 3)
+    everything = recommend.recommend_all(df, 3).localCheckpoint()
+    plan = recommend.combined(everything)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "WindowGroupLimit" not in plan
+    twice = recommend.combined(everything.union(everything))
+    assert twice.count() == recommend.combined(everything).count()
+
+
 def test_preferences(spark):
     _, df = build(spark, 200, 4)
     df = df.withColumns({"product_name": F.col("product_id"), "actual_price": F.col("discounted_price") * 2,
