@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -165,3 +166,56 @@ def test_large_sides_are_dealt_by_more_than_the_hot_key(spark):
             assert any("_salt#" in x for x in plan.split("\n") if "SortMergeJoin" in x)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def shuffled_rows(df):
+    """Rows that the shuffles of a table wrote, each once."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name == "ReusedExchange":
+            return 0
+        own = node.metrics().get("shuffleRecordsWritten").get().value() if name == "Exchange" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(i)) for i in range(children.size()))
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_search_of_different_prices_shuffles_no_blocks_of_targets(spark):
+    # 20,000 different prices in some 360 cells; a block for each target and level would be hundreds of thousands of rows.
+    rng = random.Random(5)
+    n = 20_000
+    rows = [(f"p{i:05d}", "A", 100 + 300 * (i + rng.random()) / n, rng.choice([3.0, 4.0, 5.0]), float(rng.randrange(10**6)), 0) for i in range(n)]
+    assert shuffled_rows(recommend.better_rated(spark.createDataFrame(rows, COLUMNS).cache(), 3)) < 20 * n
+
+
+def test_candidates_that_improve_along_an_end_cell(spark):
+    # The best candidates lie in the end cells, so nothing is sifted and places change at every step.
+    for factor in (1.0, -1.0):
+        rows = [(f"p{i:04d}", "A", round(100 + i / 1000, 3), 3.0 + factor * (i % 97) / 97, float(i), 0) for i in range(300)]
+        rows += [(f"q{i:04d}", "A", round(49.9 + i / 1000, 3), 4.0 + factor * i / 1000, 1.0, 0) for i in range(300)]
+        got = recommend.better_rated(spark.createDataFrame(rows, COLUMNS), 2).withColumn("strategy", F.lit("category_better_rated"))
+        assert edges(got) == {e for e in brute(rows, 2) if e[2] == "category_better_rated"}
+
+
+def test_narrow_and_open_intervals_with_infinite_and_unknown_prices(spark):
+    nan, inf = float("nan"), float("inf")
+    prices = [100.0, 100.001, 100.002, 100.003, 100.1, 0.0, -5.0, inf, -inf, nan, 1e30, 1e-9] * 3
+    rng = random.Random(3)
+    items = [(f"p{i:02d}", "A", p, float(rng.randrange(5)), 0.0, 0) for i, p in enumerate(prices)]
+    asked = [(1.0, 100.0, 100.001), (2.0, 100.0005, 100.0025), (3.0, None, 100.001), (4.0, 100.002, None), (5.0, None, None),
+             (6.0, -6.0, 0.0), (7.0, nan, nan), (8.0, 100.003, nan), (9.0, 100.0011, 100.0012), (10.0, 1e30, inf), (11.0, -inf, -5.0), (12.0, 99.0, 100.05)]
+    above = lambda a, b: math.isnan(a) or (not math.isnan(b) and a >= b)  # NaN is the largest, as in Spark
+    expected = {}
+    for t, low, high in asked:
+        low, high = -inf if low is None else low, inf if high is None else high
+        inside = sorted((-r, i) for i, _, p, r, _, _ in items if above(p, low) and above(high, p))
+        expected[t] = [i for _, i in inside[:4]]
+    targets = spark.createDataFrame([("A", *a) for a in asked], "main_category string, target_price double, low double, high double")
+    found = interval_topk(spark.createDataFrame(items, COLUMNS), targets, ["main_category"], Order((("rating", True),)), 4).collect()
+    assert {r["target_price"]: [c["product_id"] for c in r["best"]] for r in found} == {t: e for t, e in expected.items() if e}
