@@ -123,3 +123,38 @@ def test_pairs_of_blocks_are_measured_once_for_both_sides():
     gaps = np.sqrt(((x[:, :, None] - y[:, None, :]) ** 2).sum(axis=0))
     to_y, to_x = segments._add_distances(x, y, wx, wy, False)
     assert np.allclose(to_y, gaps @ wy, rtol=1e-11, atol=0) and np.allclose(to_x, gaps.T @ wx, rtol=1e-11, atol=0)
+
+
+def test_blocks_are_not_written_for_each_pair(spark):
+    labels, points = blobs(230, seed=11)
+    # Repeated points, blocks of unlike sizes, and last pieces that are not full.
+    labels, points = np.concatenate([labels, labels[:30]]), np.concatenate([points, points[:30]])
+    found = segments.silhouette_euclidean(frame(spark, labels, points), rows_per_block=7)
+    plan = found._jdf.queryExecution().executedPlan().toString().splitlines()
+    below = plan[next(i for i, line in enumerate(plan) if "MapInPandas" in line) + 1]
+    # An exchange here would write two blocks for every pair.
+    assert "CartesianProduct" in below
+    gaps = np.sqrt(((points[:, None] - points[None]) ** 2).sum(2))
+    scores = []
+    for i, own in enumerate(labels):
+        a = gaps[i, labels == own].sum() / ((labels == own).sum() - 1)
+        b = min(gaps[i, labels == c].mean() for c in set(labels) - {own})
+        scores.append((b - a) / max(a, b))
+    assert found.first()["silhouette"] == pytest.approx(np.mean(scores), abs=1e-12)
+
+
+def test_large_tables_have_larger_blocks():
+    assert [segments._block_count(n, 3, 20000) for n in (1, 20000, 400000, 1200000, 7200000)] == [1, 8, 20, 24, 36]
+    # Sums of many clusters leave less room for points.
+    assert segments._block_count(7200000, 300, 20000) == 360
+
+
+def test_points_of_several_clusters_in_a_tile_and_unknown_coordinates():
+    random = np.random.default_rng(4)
+    x, y = random.normal(size=(2, 600)), random.normal(size=(2, 520))
+    wx, wy = np.eye(5)[np.sort(random.integers(0, 5, 600))], 2.0 * np.eye(5)[np.sort(random.integers(0, 5, 520))]
+    gaps = np.sqrt(((x[:, :, None] - y[:, None, :]) ** 2).sum(axis=0))
+    to_y, to_x = segments._add_distances(x, y, wx, wy, False)
+    assert np.allclose(to_y, gaps @ wy, rtol=1e-11, atol=0) and np.allclose(to_x, gaps.T @ wx, rtol=1e-11, atol=0)
+    x[0, 3] = np.nan
+    assert all(np.isnan(d).all() for d in segments._add_distances(x, y, wx, wy, False))
