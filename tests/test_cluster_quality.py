@@ -158,3 +158,10 @@ def test_points_of_several_clusters_in_a_tile_and_unknown_coordinates():
     assert np.allclose(to_y, gaps @ wy, rtol=1e-11, atol=0) and np.allclose(to_x, gaps.T @ wx, rtol=1e-11, atol=0)
     x[0, 3] = np.nan
     assert all(np.isnan(d).all() for d in segments._add_distances(x, y, wx, wy, False))
+
+
+def test_unknown_coordinates_leave_no_score(spark):
+    rows = [(i % 2, [float(i), float(i * i % 7)]) for i in range(12)]
+    for odd in (float("nan"), None):
+        df = spark.createDataFrame([*rows, (1, [odd, 0.0])], "cluster int, features array<double>")
+        assert segments.silhouette_euclidean(df, rows_per_block=5).first()["silhouette"] == 0.0
